@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,13 +59,25 @@ def stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    try:
+        return not stored(spark, path).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
 def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY) -> None:
-    """Merge a batch into the stored table. Only the years in the batch are read and replaced;
-    running the same batch again changes nothing."""
+    """Merge a batch into the stored table, which need not exist yet. Only the years in the batch
+    are read and replaced; running the same batch again changes nothing."""
     spark = batch.sparkSession
     years = [r[0] for r in batch.select(PARTITION).distinct().collect()]
     if not years:
         return
+    if not _has_rows(spark, path):
+        append_table(batch, path)
+        return
     touched = stored(spark, path).where(F.col(PARTITION).isin(*years))
     staged = fresh_path(spark, "upsert")
     _write(merge_rows(touched, batch, key), staged, "overwrite")

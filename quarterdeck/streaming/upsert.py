@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarterdeck.functions.names import KEY
 from quarterdeck.operators.merging import keep_one
-from quarterdeck.sources.tables import append_table, upsert_table
+from quarterdeck.sources.tables import upsert_table
 
 
 def stream_upsert(facts: DataFrame, path: str, checkpoint: str, order: str,
@@ -21,6 +21,5 @@ def stream_upsert(facts: DataFrame, path: str, checkpoint: str, order: str,
         newest = keep_one(batch, key, [F.col(order).desc()])
         upsert_table(newest, path, key)
 
-    append_table(facts.sparkSession.createDataFrame([], facts.schema), path)
     return (facts.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
