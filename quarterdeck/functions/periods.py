@@ -19,8 +19,8 @@ def fiscal_ordinal(day: Column, shift_days: int = 7) -> Column:
     day = day.cast("date")
     if shift_days:
         day = F.when(F.dayofmonth(day) > 24, F.date_add(day, shift_days)).otherwise(day)
-    start = F.add_months(day, -1)
-    return F.year(start) * 4 + F.quarter(start) - 1
+    # Months counted from February, three to a quarter.
+    return F.floor((F.year(day) * 12 + F.month(day) - 2) / 3).cast("int")
 
 
 def ordinal(year: Column | int, quarter: Column | int) -> Column | int:

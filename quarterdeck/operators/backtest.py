@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quarterdeck.functions.names import ENTITY, Q_ORD
 from quarterdeck.functions.periods import label
 from quarterdeck.operators.ranking import add_weights
+from quarterdeck.session import written
 
 CHANGE = "Q_Delta_PriceAvg"
 BROADCAST_ROWS = 500_000
@@ -91,11 +92,13 @@ def portfolio_values(picks: DataFrame, panel: DataFrame, start: int, end: int, h
         return idle.select(Q_ORD, label(F.col(Q_ORD)).alias("label"),
                            F.lit(float(cash)).alias("value"))
     inside = picks.where(F.col(Q_ORD).between(start, end))
-    weighted = add_weights(inside, allocation, picks_per_quarter)
-    cohorts = live_cohorts(inside, start, end)
+    # Picks and cohort growth are tiny but stem from the whole panel: each is computed once.
+    weighted = written(add_weights(inside, allocation, picks_per_quarter).select(
+        Q_ORD, ENTITY, "weight"), "picks")
+    cohorts = live_cohorts(weighted, start, end)
     bounded = picks_per_quarter * hold * (end - start + 1) <= BROADCAST_ROWS
     paths = holding_paths(weighted, panel, cohorts, hold, bounded, change)
-    growth = cohort_paths(paths, cohorts)
+    growth = written(cohort_paths(paths, cohorts), "growth")
     amounts = cohort_amounts(cohorts, growth, hold, cash)
     held = (growth.join(amounts, "cohort")
             .groupBy((F.col("cohort") + F.col("age")).alias(Q_ORD))

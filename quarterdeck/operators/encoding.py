@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import ENTITY, KEY, Q_ORD
-from quarterdeck.session import shared_folder
+from quarterdeck.session import written
 
 MAX_CATEGORIES = 1000
 SMALL_CODES = 10_000
+FEW_HASHES = 50_000
 
 
 @dataclass(frozen=True)
@@ -93,16 +94,15 @@ def category_codes(df: DataFrame, column: str, small: int = SMALL_CODES) -> Data
     """(value, code): distinct values numbered from 0 in sorted order.
 
     Up to ``small`` values are numbered in one go. Beyond, the values are range-partitioned and
-    numbered per partition from an offset; the ranges are checkpointed, because a range
+    numbered per partition from an offset; the ranges are written down first, because a range
     partitioning that is computed again after a lost executor may cut elsewhere.
     """
     values = df.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct()
     if values.limit(small + 1).count() <= small:
         code = F.row_number().over(Window.orderBy("value")) - 1
         return F.broadcast(values.withColumn("code", code))
-    shared_folder(df.sparkSession)
-    ranged = (values.repartitionByRange("value")
-              .withColumn("part", F.spark_partition_id()).checkpoint())
+    ranged = written(values.repartitionByRange("value")
+                     .withColumn("part", F.spark_partition_id()), "values")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
                .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
@@ -142,8 +142,8 @@ def hold_out(df: DataFrame, test_size: float = 0.2, seed: int = 7, key: Sequence
 
 def _hash_limit(hashes: DataFrame, test_size: float) -> str | None:
     """The largest hash that is still held out."""
-    wanted, prefix, answer = None, "", None
-    for width in (4, 8, 32):
+    wanted, prefix, answer, width = None, "", None, 4
+    while True:
         counts = sorted(
             (r["p"], r["n"]) for r in hashes.where(F.col("h").startswith(prefix))
             .groupBy(F.substring("h", 1, width).alias("p"))
@@ -152,15 +152,14 @@ def _hash_limit(hashes: DataFrame, test_size: float) -> str | None:
             wanted = int(sum(n for _, n in counts) * test_size)
         for p, n in counts:
             if n > wanted:
-                prefix = p
                 break
             wanted -= n
             answer = p.ljust(32, "f")
         else:
             return answer
-        if wanted == 0:
+        if wanted == 0 or width == 32:
             return answer
-    return answer
+        prefix, width = p, 8 if width == 4 and n > FEW_HASHES else 32
 
 
 def split_hold_out(marked: DataFrame) -> tuple[DataFrame, DataFrame]:

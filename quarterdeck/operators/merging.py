@@ -38,8 +38,15 @@ def union_by_name(*parts: DataFrame) -> DataFrame:
 
 def fill_from_archive(primary: DataFrame, archive: DataFrame,
                       key: Sequence[str] = KEY) -> DataFrame:
-    """The primary rows plus the archive rows whose key the primary source lacks."""
-    return union_by_name(primary, except_key(archive, primary, key))
+    """The primary rows plus the archive rows whose key the primary source lacks.
+
+    Both sources go through one exchange by entity, in which the primary row of a key comes
+    first; later windows over the entity's quarters find their rows in place and in order, so a
+    whole feature table is shuffled once. Each source has one row per key.
+    """
+    rows = union_by_name(primary.withColumn("__source", F.lit(0)),
+                         archive.withColumn("__source", F.lit(1)))
+    return keep_one(rows.repartition(ENTITY), key, [F.col("__source")]).drop("__source")
 
 
 def symbol_union(known: DataFrame, requested: DataFrame) -> DataFrame:
@@ -66,8 +73,7 @@ def statements_to_panel(*statements: DataFrame, items: Sequence[str] = STATEMENT
     wide = (union_by_name(*statements)
             .where(F.col("item").isin(*items))
             .groupBy(ENTITY, "date")
-            .pivot("item", list(items))
-            .agg(F.max("value")))
+            .agg(*[F.max(F.when(F.col("item") == i, F.col("value"))).alias(i) for i in items]))
     if repair:
         labelled = repair_labels(wide, "date")
     else:

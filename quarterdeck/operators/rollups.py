@@ -142,12 +142,12 @@ def events_in_intervals(events: DataFrame, intervals: DataFrame, low: str, high:
             .drop("__bucket"))
 
 
-def splits_per_quarter(quarter_ends: DataFrame, splits: DataFrame,
-                       combine: str = "last") -> DataFrame:
+def splits_per_quarter(quarter_ends: DataFrame, splits: DataFrame, combine: str = "last",
+                       key: Sequence[str] = (ENTITY, "quarter_end")) -> DataFrame:
     """Split within the 91 days before a quarter end, both borders excluded, else null.
 
-    ``quarter_ends`` has (entity, quarter_end), ``splits`` (entity, date, split). Of several
-    splits the last one counts; ``combine="product"`` multiplies them instead.
+    ``quarter_ends`` has ``quarter_end`` and a unique key, ``splits`` (entity, date, split). Of
+    several splits the last one counts; ``combine="product"`` multiplies them instead.
     """
     if combine not in ("last", "product"):
         raise ValueError(f"unknown combine {combine!r}")
@@ -155,15 +155,16 @@ def splits_per_quarter(quarter_ends: DataFrame, splits: DataFrame,
     daily = (splits.groupBy(ENTITY, "date")
              .agg((F.max("split") if last else F.product("split")).alias("split")))
     intervals = quarter_ends.select(
-        ENTITY, "quarter_end",
-        F.date_sub("quarter_end", QUARTER_DAYS - 1).alias("__low")).distinct()
+        *{ENTITY: 0, **dict.fromkeys(key), "quarter_end": 0},
+        F.date_sub("quarter_end", QUARTER_DAYS - 1).alias("__low"))
     found = (events_in_intervals(daily, intervals, "__low", "quarter_end")
-             .groupBy(ENTITY, "quarter_end")
+             .groupBy(*key)
              .agg((F.max_by("split", "date") if last else F.product("split")).alias("Split")))
-    return quarter_ends.join(found, [ENTITY, "quarter_end"], "left")
+    return quarter_ends.join(found, list(key), "left")
 
 
-def dividends_per_quarter(quarter_ends: DataFrame, dividends: DataFrame) -> DataFrame:
+def dividends_per_quarter(quarter_ends: DataFrame, dividends: DataFrame,
+                          key: Sequence[str] = (ENTITY, "quarter_end")) -> DataFrame:
     """Sum of the dividends of each quarter, 0 where there are none.
 
     An event belongs to the first quarter end strictly after it; the oldest quarter reaches back
@@ -172,14 +173,14 @@ def dividends_per_quarter(quarter_ends: DataFrame, dividends: DataFrame) -> Data
     daily = (dividends.groupBy(ENTITY, "date")
              .agg(F.sum("dividend").alias("dividend")))
     w = Window.partitionBy(ENTITY).orderBy("quarter_end")
-    intervals = (quarter_ends.select(ENTITY, "quarter_end").distinct()
+    intervals = (quarter_ends.select(*{ENTITY: 0, **dict.fromkeys(key), "quarter_end": 0})
                  .withColumn("__low", F.coalesce(
                      F.lag("quarter_end").over(w),
                      F.date_sub("quarter_end", QUARTER_DAYS - 1))))
     paid = (events_in_intervals(daily, intervals, "__low", "quarter_end")
-            .groupBy(ENTITY, "quarter_end")
+            .groupBy(*key)
             .agg(F.sum("dividend").alias("DividendPerShare")))
-    return (quarter_ends.join(paid, [ENTITY, "quarter_end"], "left")
+    return (quarter_ends.join(paid, list(key), "left")
             .fillna({"DividendPerShare": 0.0}))
 
 

@@ -29,11 +29,15 @@ def quarterly_facts(statements: Sequence[DataFrame], dividends: DataFrame, split
     """One row per entity and fiscal quarter from all raw sources, for all entities at once.
 
     Price and rating windows of 91 days start 91 days before an entity's oldest statement and
-    meet the statements by fiscal quarter. ``earnings`` is (entity, q_ord, Earnings),
+    meet the statements by fiscal quarter. Every piece is narrow and joined on the key by which
+    the panel is already partitioned. ``earnings`` is (entity, q_ord, Earnings),
     ``market_caps`` (entity, MarketCap).
     """
     panel = statements_to_panel(*statements).withColumn("quarter_end", F.col("date"))
-    panel = splits_per_quarter(dividends_per_quarter(panel, dividends), splits)
+    spine = panel.select(*KEY, "quarter_end")
+    paid = dividends_per_quarter(spine, dividends, KEY).drop("quarter_end")
+    split = splits_per_quarter(spine, splits, key=KEY).drop("quarter_end")
+    panel = panel.join(paid, list(KEY), "left").join(split, list(KEY), "left")
     if earnings is not None:
         panel = panel.join(earnings, list(KEY), "left")
     starts = panel.groupBy(ENTITY).agg(

@@ -20,6 +20,7 @@ from quarterdeck.operators.encoding import fit_categories, fit_moments, hold_out
 from quarterdeck.operators.filters import between_quarters
 from quarterdeck.operators.metrics import absolute_error, feature_importance, regression_metrics
 from quarterdeck.plans.settings import Settings
+from quarterdeck.session import written
 
 VECTOR, HELD_OUT = "__features", "held_out"
 
@@ -72,7 +73,7 @@ class FeatureSteps:
     """Builds the fitted preparation stages for one training frame."""
 
     def __init__(self, train: DataFrame, settings: Settings):
-        skipped = {ENTITY, Q_ORD, settings.target, "PriceAvg", HELD_OUT}
+        skipped = {ENTITY, Q_ORD, "fy", settings.target, "PriceAvg", HELD_OUT}
         kinds = {c: t for c, t in train.dtypes if c not in skipped}
         self.text = [c for c, t in kinds.items() if t == "string"]
         self.numbers = [c for c in kinds if c not in self.text]
@@ -163,19 +164,32 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def training_window(quarter: int, settings: Settings) -> range:
+    """The quarters to learn from before ``quarter``."""
+    end = quarter - settings.horizon + 1 if settings.purge else quarter
+    return range(quarter - settings.training_quarters, end)
+
+
 def training_rows(features: DataFrame, quarter: int | None, settings: Settings) -> DataFrame:
     """Labelled rows of the window before ``quarter`` (all when None)."""
     rows = features.where(F.col(settings.target).isNotNull())
     if quarter is None:
         return rows
-    end = quarter - settings.horizon + 1 if settings.purge else quarter
-    return between_quarters(rows, quarter - settings.training_quarters, end)
+    window = training_window(quarter, settings)
+    return between_quarters(rows, window.start, window.stop)
+
 
+def fit(features: DataFrame, settings: Settings = Settings(), quarter: int | None = None,
+        stored: bool = False) -> Fitted:
+    """Hold out a part, fit the preparation and the regressor on the rest.
 
-def fit(features: DataFrame, settings: Settings = Settings(),
-        quarter: int | None = None) -> Fitted:
-    """Hold out a part, fit the preparation and the regressor on the rest."""
-    marked = hold_out(training_rows(features, quarter, settings), settings.test_size)
+    Fitting reads its rows several times, so they are written down first unless ``features`` is
+    a ``stored`` table already.
+    """
+    rows = training_rows(features, quarter, settings)
+    if not stored:
+        rows = written(rows, "training")
+    marked = hold_out(rows, settings.test_size)
     train = marked.where(~F.col(HELD_OUT))
     steps = FeatureSteps(train, settings)
     build = MODELS[settings.model] if isinstance(settings.model, str) else settings.model

@@ -14,16 +14,16 @@ from quarterdeck.operators.ranking import top_n, top_n_per_quarter
 from quarterdeck.operators.rollups import latest_price
 from quarterdeck.plans.features import labelled_and_candidates
 from quarterdeck.plans.settings import Settings
-from quarterdeck.plans.training import Fitted, adjust_for_price, fit, predict, training_rows
-from quarterdeck.session import fresh_path
+from quarterdeck.plans.training import Fitted, adjust_for_price, fit, predict, training_window
+from quarterdeck.session import fresh_path, written
 
 
 def recommend(features: DataFrame, prices: DataFrame, today: date, first_quarter: int,
               last_quarter: int, settings: Settings = Settings(),
               ) -> tuple[Fitted, DataFrame]:
     """(model, the best candidates of ``first_quarter <= q_ord < last_quarter``)."""
-    labelled, candidates = labelled_and_candidates(features, settings)
-    fitted = fit(labelled, settings, last_quarter)
+    labelled, candidates = labelled_and_candidates(written(features, "features"), settings)
+    fitted = fit(labelled, settings, last_quarter, stored=True)
     recent = between_quarters(candidates, first_quarter, last_quarter)
     scored = predict(fitted.pipeline, recent, settings.target)
     if settings.adjust_for_current_price:
@@ -49,12 +49,16 @@ def walk_forward_picks(features: DataFrame, start: int, end: int,
     empty = spark.createDataFrame([], f"entity {dict(features.dtypes)['entity']}, q_ord int, "
                                       f"{settings.target} double, rank int")
     empty.write.parquet(picks_path)
+    # One row per quarter says which quarters can be predicted and from which one can learn.
+    known = {r[Q_ORD]: r["labelled"] for r in table.groupBy(Q_ORD).agg(
+        F.count(settings.target).alias("labelled")).collect()}
     for quarter in range(start, end + 1):
-        candidates = between_quarters(table, quarter, quarter + 1)
-        if candidates.isEmpty() or training_rows(table, quarter, settings).isEmpty():
+        if quarter not in known or not any(
+                known.get(q) for q in training_window(quarter, settings)):
             break
-        fitted = fit(table.drop("fy", "PriceAvg"), settings, quarter)
-        scored = predict(fitted.pipeline, candidates.drop("fy", "PriceAvg", settings.target),
+        candidates = between_quarters(table, quarter, quarter + 1)
+        fitted = fit(table.drop("PriceAvg"), settings, quarter, stored=True)
+        scored = predict(fitted.pipeline, candidates.drop("PriceAvg", settings.target),
                          settings.target)
         ranked = top_n_per_quarter(scored, settings.n_to_buy, settings.target)
         ranked.select(*KEY, settings.target, F.col("rank").cast("int")) \

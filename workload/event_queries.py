@@ -14,7 +14,7 @@ from quarterdeck.operators.merging import statements_to_panel, union_by_name
 from quarterdeck.operators.metrics import count_rows
 from quarterdeck.operators import filters
 from quarterdeck.plans import loading
-from quarterdeck.session import fresh_path
+from quarterdeck.session import fresh_path, written
 from quarterdeck.streaming.rollup import stream_price_rollup
 from workload import tables as views
 from workload.catalog import query
@@ -149,16 +149,14 @@ _ITEMS = ["Cash", "CommonStock", "TotalAssets", "TotalRevenue", "ResearchDevelop
           "NetIncome", "DividendsPaid"]
 
 
-def _statements(spark, sf_dir):
-    return [views.statements(spark, sf_dir, part) for part in (_BALANCE, _INCOME, _FLOW)]
-
-
 @query("statement_pivot", f"""
     SELECT entity, date, {fiscal('date')} AS q_ord, {", ".join(f'"{i}"' for i in _ITEMS)}
     FROM facts""")
 def statement_pivot(spark, sf_dir):
     """Three long statements, one unwanted item among them, back to one row per quarter."""
-    return statements_to_panel(*_statements(spark, sf_dir), items=_ITEMS)
+    facts = views.facts(spark, sf_dir)
+    statements = [views.long_form(facts, part) for part in (_BALANCE, _INCOME, _FLOW)]
+    return statements_to_panel(*statements, items=_ITEMS)
 
 
 _STARTS = "SELECT entity, min(quarter_end) - 91 AS start FROM quarter_ends GROUP BY 1"
@@ -220,9 +218,10 @@ def index_price_history(spark, sf_dir):
        caps='SELECT entity, max("MarketCap") AS "MarketCap" FROM facts GROUP BY 1')
 def quarterly_facts(spark, sf_dir):
     """Statements, dividends, splits, prices, earnings and market value in one plan."""
-    facts = views.facts(spark, sf_dir)
+    facts = written(views.facts(spark, sf_dir), "facts")
+    statements = [views.long_form(facts, part) for part in (_BALANCE, _INCOME, _FLOW)]
     rows = loading.quarterly_facts(
-        _statements(spark, sf_dir), views.dividends(spark, sf_dir), views.splits(spark, sf_dir),
+        statements, views.dividends(spark, sf_dir), views.splits(spark, sf_dir),
         views.supplier_prices(spark, sf_dir), views.recommendations(spark, sf_dir), END,
         earnings=facts.select(*KEY, "Earnings"),
         market_caps=facts.groupBy("entity").agg(F.max("MarketCap").alias("MarketCap")))

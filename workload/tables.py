@@ -202,7 +202,7 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderpriority").alias("grade")))
 
 
-def statements(spark: SparkSession, sf_dir: str, items: list[str]) -> DataFrame:
-    """Facts in long form: one row per entity, date and item."""
-    return (facts(spark, sf_dir).select("entity", "date", *[F.col(i).cast("double") for i in items])
+def long_form(rows: DataFrame, items: list[str]) -> DataFrame:
+    """Facts as a statement: one row per entity, date and item."""
+    return (rows.select("entity", "date", *[F.col(i).cast("double") for i in items])
             .unpivot(["entity", "date"], items, "item", "value"))
