@@ -1,5 +1,6 @@
-"""Ratio columns. A formula is a name and a function that returns a Column, so that user
-formulas stay inside generated code; a missing operand or a zero divisor gives null."""
+"""Ratio columns. A formula is a name and a SQL expression (or a function that returns a Column),
+so that user formulas stay inside generated code; a missing operand or a zero divisor gives
+null."""
 
 from __future__ import annotations
 
@@ -8,32 +9,33 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Formula = Callable[[], Column]
+Formula = str | Callable[[], Column]
 
 
-def ratio(top: Column | str, bottom: Column | str) -> Column:
-    def number(x):
-        return (F.col(x) if isinstance(x, str) else x).cast("double")
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
-    return F.try_divide(number(top), number(bottom))
+
+def ratio(top: str, bottom: str) -> str:
+    """SQL text of ``top / bottom`` in doubles."""
+    return f"try_divide(CAST({top} AS DOUBLE), CAST({bottom} AS DOUBLE))"
 
 
 # The ten standard ratios by name.
 RATIOS: dict[str, Formula] = {
-    "Volatility": lambda: ratio(F.col("PriceHigh") - F.col("PriceLow"), "PriceAvg"),
-    "AssetsToLiabilitiesRatio": lambda: ratio("TotalAssets", "TotalLiab"),
-    "AvgPriceToEarningsRatio": lambda: ratio("PriceAvg", "Earnings"),
-    "DebtToEquityRatio": lambda: ratio(
-        F.col("LongTermDebt") + F.col("ShortLongTermDebt"), "TotalStockholderEquity"),
-    "ReturnOnEquity": lambda: ratio(
-        F.col("Earnings") - F.col("DividendsPaid"), "TotalStockholderEquity"),
-    "PriceToBookRatio": lambda: ratio(F.col("TotalAssets") - F.col("TotalLiab"), "MarketCap"),
-    "ProfitMargin": lambda: ratio("NetIncome", "TotalRevenue"),
-    "RnDtoRevenue": lambda: ratio("ResearchDevelopment", "TotalRevenue"),
-    "CashToRevenue": lambda: ratio("Cash", "TotalRevenue"),
-    "ExpensesToRevenue": lambda: ratio("TotalOperatingExpenses", "TotalRevenue"),
+    "Volatility": ratio("PriceHigh - PriceLow", "PriceAvg"),
+    "AssetsToLiabilitiesRatio": ratio("TotalAssets", "TotalLiab"),
+    "AvgPriceToEarningsRatio": ratio("PriceAvg", "Earnings"),
+    "DebtToEquityRatio": ratio("LongTermDebt + ShortLongTermDebt", "TotalStockholderEquity"),
+    "ReturnOnEquity": ratio("Earnings - DividendsPaid", "TotalStockholderEquity"),
+    "PriceToBookRatio": ratio("TotalAssets - TotalLiab", "MarketCap"),
+    "ProfitMargin": ratio("NetIncome", "TotalRevenue"),
+    "RnDtoRevenue": ratio("ResearchDevelopment", "TotalRevenue"),
+    "CashToRevenue": ratio("Cash", "TotalRevenue"),
+    "ExpensesToRevenue": ratio("TotalOperatingExpenses", "TotalRevenue"),
 }
 
 
 def add_formulas(df: DataFrame, formulas: Mapping[str, Formula] = RATIOS) -> DataFrame:
-    return df.withColumns({name: formula() for name, formula in formulas.items()})
+    columns = {name: F.expr(f) if isinstance(f, str) else f() for name, f in formulas.items()}
+    return df.withColumns(columns)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quarterdeck.functions.names import (
     ENTITY, Q_ORD, QUARTER_PREFIX, TARGET, VERSUS, YEAR_PREFIX,
 )
-from quarterdeck.functions.ratios import ratio
+from quarterdeck.functions.ratios import quoted, ratio
 
 
 def by_quarter():
@@ -33,22 +33,22 @@ def add_changes(df: DataFrame, columns: Sequence[str], quarters: Sequence[int] =
     ``calendar=True`` compares with the row exactly ``n`` quarters earlier instead, and is null
     where that quarter has no row.
     """
-    w = by_quarter()
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = {c: f"__filled_{c}" for c in columns}
-    base = df.select("*", *[F.last(c, ignorenulls=True).over(so_far).alias(filled[c])
-                            for c in columns])
+    w = f"PARTITION BY {ENTITY} ORDER BY {Q_ORD}"
+    filled = {c: quoted(f"__filled_{c}") for c in columns}
+    base = df.selectExpr("*", *[
+        f"last({quoted(c)}, true) OVER ({w} ROWS UNBOUNDED PRECEDING) AS {filled[c]}"
+        for c in columns])
 
-    def earlier(c: str, n: int) -> Column:
+    def earlier(c: str, n: int) -> str:
         if calendar:
-            return F.first(filled[c]).over(w.rangeBetween(-n, -n))
-        return F.lag(filled[c], n).over(w)
+            return f"first({filled[c]}) OVER ({w} RANGE BETWEEN {n} PRECEDING AND {n} PRECEDING)"
+        return f"lag({filled[c]}, {n}) OVER ({w})"
 
-    names = [f"{change_prefix(n)}{c}" for n in quarters for c in columns]
-    changes = [(ratio(F.col(filled[c]), earlier(c, n)) - 1.0).alias(f"{change_prefix(n)}{c}")
-               for n in quarters for c in columns]
-    result = base.select(*df.columns, *changes)
-    return result.dropna(subset=names) if dropna else result
+    changes = {f"{change_prefix(n)}{c}": f"{ratio(filled[c], earlier(c, n))} - 1D"
+               for n in quarters for c in columns}
+    result = base.selectExpr(*map(quoted, df.columns),
+                             *[f"{text} AS {quoted(name)}" for name, text in changes.items()])
+    return result.dropna(subset=list(changes)) if dropna else result
 
 
 def value_ahead(column: str, quarters: int, calendar: bool = False) -> Column:
@@ -74,7 +74,7 @@ def add_target(df: DataFrame, quarters: int = 4, include_dividends: bool = True,
         future = future + sum_ahead("DividendPerShare", quarters, calendar)
     with_future = df.withColumn("__future", future)
     price = F.col("PriceAvg")
-    appreciation = ratio((F.col("__future") - price) * 100.0, price)
+    appreciation = F.try_divide((F.col("__future") - price) * 100.0, price)
     return with_future.withColumn(target, F.bround(appreciation, 2)).drop("__future")
 
 
@@ -94,6 +94,6 @@ def add_index_comparison(df: DataFrame, index_panel: DataFrame, symbols: Sequenc
         .agg(*[F.max(F.when(F.col(ENTITY) == s, F.col(c))).alias(slots[s, c])
                for s, c in names]))
     joined = df.join(F.broadcast(per_quarter), Q_ORD, "left")
-    result = joined.select(*df.columns, *[ratio(F.col(c), F.col(slots[s, c])).alias(name)
-                                          for (s, c), name in names.items()])
+    result = joined.selectExpr(*map(quoted, df.columns), *[
+        f"{ratio(quoted(c), slots[s, c])} AS {quoted(name)}" for (s, c), name in names.items()])
     return result.dropna(subset=list(names.values())) if dropna else result

@@ -35,3 +35,5 @@ class Settings:
     target: str = TARGET
     # Leave out training rows whose target looks at prices after the quarter that is predicted.
     purge: bool = True
+    # Quarters of a back-test that are fitted at the same time.
+    parallelism: int = 4

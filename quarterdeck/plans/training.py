@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import ENTITY, KEY, Q_ORD, TARGET
+from quarterdeck.functions.ratios import quoted
 from quarterdeck.operators.encoding import fit_categories, fit_moments, hold_out
 from quarterdeck.operators.filters import between_quarters
 from quarterdeck.operators.metrics import absolute_error, feature_importance, regression_metrics
@@ -46,10 +47,6 @@ def linear(settings: Settings) -> Estimator:
 MODELS = {"boosted_trees": boosted_trees, "shallow_trees": shallow_trees, "linear": linear}
 
 
-def _name(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
-
-
 def _text(value) -> str:
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -57,7 +54,7 @@ def _text(value) -> str:
 
 
 def _sql(expressions: Sequence[str], dropped: Sequence[str] = (), where: str = "") -> Transformer:
-    star = f"* EXCEPT ({', '.join(map(_name, dropped))})" if dropped else "*"
+    star = f"* EXCEPT ({', '.join(map(quoted, dropped))})" if dropped else "*"
     tail = f" WHERE {where}" if where else ""
     return SQLTransformer(
         statement=f"SELECT {', '.join([star, *expressions])} FROM __THIS__{tail}")
@@ -66,7 +63,7 @@ def _sql(expressions: Sequence[str], dropped: Sequence[str] = (), where: str = "
 def _z_score(column: str, mean: float | None, std: float | None) -> str:
     if mean is None:
         return "CAST(NULL AS DOUBLE)"
-    return f"(({_name(column)} - ({mean!r}D)) / {(std or 1.0)!r}D)"
+    return f"(({quoted(column)} - ({mean!r}D)) / {(std or 1.0)!r}D)"
 
 
 class FeatureSteps:
@@ -102,11 +99,11 @@ class FeatureSteps:
             for c, values in fit_categories(train, self.text).items():
                 present = [v for v in values if v is not None]
                 if len(present) < len(values):
-                    flags.append((f"{c}_nan", f"{_name(c)} IS NULL"))
-                flags += [(f"{c}_{v}", f"{_name(c)} <=> {_text(v)}") for v in present[1:]]
+                    flags.append((f"{c}_nan", f"{quoted(c)} IS NULL"))
+                flags += [(f"{c}_{v}", f"{quoted(c)} <=> {_text(v)}") for v in present[1:]]
             if flags:
                 self.stages.append(_sql(
-                    [f"CAST({test} AS INT) AS {_name(n)}" for n, test in flags]))
+                    [f"CAST({test} AS INT) AS {quoted(n)}" for n, test in flags]))
             self.inputs += [n for n, _ in flags]
         elif self.text:
             codes = [f"__code_{c}" for c in self.text]
@@ -117,14 +114,14 @@ class FeatureSteps:
 
     def _scale(self, moments):
         self.stages.append(_sql(
-            [f"{_z_score(c, moments.mean[c], moments.std[c])} AS {_name(c)}"
+            [f"{_z_score(c, moments.mean[c], moments.std[c])} AS {quoted(c)}"
              for c in self.numbers], dropped=self.numbers))
 
     def _impute(self):
         """MLlib takes no nulls: 0 stands for a missing number and a flag says so."""
-        values = [f"coalesce(CAST({_name(c)} AS DOUBLE), 0D) AS {_name('__x_' + c)}"
+        values = [f"coalesce(CAST({quoted(c)} AS DOUBLE), 0D) AS {quoted('__x_' + c)}"
                   for c in self.numbers]
-        flags = [f"CAST({_name(c)} IS NULL AS INT) AS {_name('__null_' + c)}"
+        flags = [f"CAST({quoted(c)} IS NULL AS INT) AS {quoted('__null_' + c)}"
                  for c in self.numbers]
         self.stages.append(_sql(values + flags))
         self.inputs += [f"__x_{c}" for c in self.numbers]

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from itertools import takewhile
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from quarterdeck.functions.names import KEY, Q_ORD
+from quarterdeck.functions.periods import fiscal_year
 from quarterdeck.operators.backtest import portfolio_values
 from quarterdeck.operators.filters import between_quarters
 from quarterdeck.operators.ranking import top_n, top_n_per_quarter
@@ -35,35 +40,41 @@ def walk_forward_picks(features: DataFrame, start: int, end: int,
                        settings: Settings = Settings()) -> DataFrame:
     """Ranked picks of every quarter, each from a model that saw only the quarters before it.
 
-    The loop is over quarters, never over entities. Features and picks are written to the shared
-    folder: each fit reads its window of partitions, and a quarter's few picks do not drag the
-    model that made them through the rest of the run. It stops at the first quarter without
-    training rows or candidates.
+    The loop is over quarters, never over entities, and as no quarter needs another's model some
+    are fitted at a time. Features and picks are written to the shared folder: each fit reads its
+    window of partitions, and a quarter's few picks do not drag the model that made them through
+    the rest of the run. Quarters end at the first one without training rows or candidates.
     """
     spark = features.sparkSession
-    stored_features = fresh_path(spark, "features")
-    picks_path = fresh_path(spark, "picks")
-    features.withColumn("fy", F.floor(F.col(Q_ORD) / 4).cast("int")) \
-        .hint("rebalance", "fy").write.partitionBy("fy").parquet(stored_features)
-    table = spark.read.parquet(stored_features)
-    empty = spark.createDataFrame([], f"entity {dict(features.dtypes)['entity']}, q_ord int, "
-                                      f"{settings.target} double, rank int")
-    empty.write.parquet(picks_path)
+    stored, picks = fresh_path(spark, "features"), fresh_path(spark, "picks")
+    (features.withColumn("fy", fiscal_year(F.col(Q_ORD))).hint("rebalance", "fy")
+     .write.partitionBy("fy").parquet(stored))
+    table = spark.read.parquet(stored).drop("PriceAvg")
     # One row per quarter says which quarters can be predicted and from which one can learn.
     known = {r[Q_ORD]: r["labelled"] for r in table.groupBy(Q_ORD).agg(
         F.count(settings.target).alias("labelled")).collect()}
-    for quarter in range(start, end + 1):
-        if quarter not in known or not any(
-                known.get(q) for q in training_window(quarter, settings)):
-            break
-        candidates = between_quarters(table, quarter, quarter + 1)
-        fitted = fit(table.drop("PriceAvg"), settings, quarter, stored=True)
-        scored = predict(fitted.pipeline, candidates.drop("PriceAvg", settings.target),
-                         settings.target)
-        ranked = top_n_per_quarter(scored, settings.n_to_buy, settings.target)
-        ranked.select(*KEY, settings.target, F.col("rank").cast("int")) \
-            .coalesce(1).write.mode("append").parquet(picks_path)
-    return spark.read.parquet(picks_path)
+
+    def possible(quarter: int) -> bool:
+        return quarter in known and any(
+            known.get(q) for q in training_window(quarter, settings))
+
+    def pick(quarter: int) -> None:
+        fitted = fit(table, settings, quarter, stored=True)
+        candidates = between_quarters(table, quarter, quarter + 1).drop(settings.target)
+        scored = predict(fitted.pipeline, candidates, settings.target)
+        top_n_per_quarter(scored, settings.n_to_buy, settings.target).write.parquet(
+            f"{picks}/bought={quarter}")
+
+    quarters = list(takewhile(possible, range(start, end + 1)))
+    columns = [c for c in table.columns if c in KEY]
+    schema = StructType([*table.select(*columns).schema.fields,
+                         StructField(settings.target, DoubleType()),
+                         StructField("rank", IntegerType())])
+    if not quarters:
+        return spark.createDataFrame([], schema)
+    with ThreadPoolExecutor(settings.parallelism) as pool:
+        list(pool.map(inheritable_thread_target(spark)(pick), quarters))
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(picks)
 
 
 def walk_forward(features: DataFrame, panel: DataFrame, start: int, end: int,

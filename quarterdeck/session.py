@@ -19,6 +19,8 @@ def local_session(cpus: int | str = "*", app: str = "quarterdeck", **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        # Call sites of columns cost two round trips to the JVM per function call.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -13,7 +13,7 @@ from quarterdeck.operators import backtest, changes, encoding, metrics, ranking
 from quarterdeck.operators.merging import add_dimension
 from quarterdeck.plans import training, walk_forward as walk
 from quarterdeck.plans.settings import Settings
-from quarterdeck.session import fresh_path
+from quarterdeck.session import fresh_path, written
 from workload import tables as views
 from workload.catalog import query
 from workload.event_queries import rounded
@@ -353,8 +353,8 @@ def _small_features(spark, sf_dir):
 @query("train_predict")
 def train_predict(spark, sf_dir):
     """Boosted trees on the whole feature table, saved, loaded and applied to the candidates."""
-    rows = feature_rows(spark, sf_dir)
-    fitted = training.fit(rows.drop("PriceAvg"), _TREES)
+    rows = written(feature_rows(spark, sf_dir), "features")
+    fitted = training.fit(rows.drop("PriceAvg"), _TREES, stored=True)
     path = fresh_path(spark, "model")
     fitted.save(path)
     candidates = rows.where(F.col(TARGET).isNull()).drop(TARGET, "PriceAvg")

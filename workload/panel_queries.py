@@ -104,7 +104,7 @@ def math_and_nulls(spark, sf_dir):
         "entity", "q_ord", F.abs("Earnings").alias("size"),
         F.round(F.sqrt("TotalAssets"), 4).alias("root"), F.round(c("TotalAssets") / 3, 4).alias("third"),
         F.floor("PriceAvg").alias("whole"), rnd.isNull().alias("absent"),
-        F.coalesce(rnd, F.lit(0.0)).alias("filled"), ratio("Earnings", rnd).alias("safe"))
+        F.coalesce(rnd, F.lit(0.0)).alias("filled"), F.try_divide(c("Earnings"), rnd).alias("safe"))
 
 
 # ---------------------------------------------------------------- scans, filters, projections
@@ -242,7 +242,7 @@ def ratios(spark, sf_dir):
            "TotalRevenue" / nullif("Volume", 0) AS per_unit FROM facts""")
 def user_formulas(spark, sf_dir):
     own = {"middle": lambda: (F.col("PriceHigh") + F.col("PriceLow")) / 2,
-           "per_unit": lambda: ratio("TotalRevenue", "Volume")}
+           "per_unit": ratio("TotalRevenue", "Volume")}
     return add_formulas(views.facts(spark, sf_dir), own).select(*KEY, *own)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarterdeck.functions.periods import fiscal_ordinal
 
@@ -15,61 +16,50 @@ MARKET = "^DJI"
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+_SCHEMAS: dict[str, StructType] = {}
 
-def _price() -> Column:
-    return F.col("l_extendedprice")
 
-
-def _when(condition: Column, value: Column) -> Column:
-    return F.sum(F.when(condition, value))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is looked up in the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if name not in _SCHEMAS:
+        _SCHEMAS[name] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[name]).parquet(path)
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as companies: one row per supplier and fiscal quarter of shipping."""
-    p, d, t = _price(), F.col("l_discount"), F.col("l_tax")
-    flag = F.col("l_returnflag")
+    flagged = "round(sum(CASE WHEN l_returnflag = '{}' THEN {} END), {})"
+    price, taxed = "l_extendedprice", "l_extendedprice * l_tax"
     sums = (table(spark, sf_dir, "lineitem")
             .groupBy("l_suppkey", fiscal_ordinal(F.col("l_shipdate")).alias("q_ord"))
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.max(F.col("l_shipdate").cast("date")).alias("date"),
-                 F.sum("l_quantity").alias("qty"),
-                 F.max(p).alias("hi"), F.min(p).alias("lo"),
-                 F.round(F.sum(p), 2).alias("s_p"),
-                 F.round(F.sum(p * d), 4).alias("s_pd"),
-                 F.round(F.sum(p * t), 4).alias("s_pt"),
-                 F.round(_when(flag == "R", p * t), 4).alias("s_rt"),
-                 F.round(_when(flag == "R", p), 2).alias("s_rp"),
-                 F.round(_when(flag == "A", p), 2).alias("s_ap"),
-                 F.round(_when(flag == "N", p), 2).alias("s_np"),
-                 F.round(F.coalesce(_when(F.col("l_linestatus") == "F", p), F.lit(0.0)), 2)
-                 .alias("s_f")))
-    c = F.col
-    score = F.when(c("n") % 3 != 0, F.concat(
-        F.lit('{"a": '), c("n").cast("string"), F.lit(', "b": 1}')))
-    return sums.select(
-        c("l_suppkey").cast("string").alias("entity"), "q_ord", "date",
-        (c("s_p") / c("n")).alias("PriceAvg"), c("hi").alias("PriceHigh"),
-        c("lo").alias("PriceLow"), ((c("hi") + c("lo")) / 2).alias("PriceEoQ"),
-        (c("s_p") - c("s_pt")).alias("Ebit"), (c("s_f") - c("s_pd")).alias("GrossProfit"),
-        (c("s_p") - c("s_pd")).alias("TotalRevenue"), c("s_rt").alias("ResearchDevelopment"),
-        c("s_pt").alias("TotalOperatingExpenses"),
-        (c("s_p") - c("s_pd") - c("s_pt")).alias("IncomeBeforeTax"),
-        (c("s_pt") * 0.5).alias("IncomeTaxExpense"),
-        (c("s_p") - c("s_pd") - c("s_pt")).alias("OperatingIncome"),
-        (c("s_p") - c("s_pd") - c("s_pt") * 1.5).alias("NetIncome"),
-        c("s_pd").alias("DividendsPaid"), c("s_rp").alias("RepurchaseOfStock"),
-        c("s_np").alias("Depreciation"), c("s_ap").alias("IssuanceOfStock"),
-        c("s_pt").alias("NetBorrowings"), (c("s_pd") - c("s_pt")).alias("Investments"),
-        c("s_f").alias("Cash"), (c("qty") * 10).alias("CommonStock"),
-        c("s_p").alias("TotalAssets"), (c("s_pd") + c("s_pt")).alias("TotalLiab"),
-        c("s_pt").alias("LongTermDebt"), c("s_rt").alias("ShortLongTermDebt"),
-        (c("s_p") - c("s_pd") - c("s_pt")).alias("TotalStockholderEquity"),
-        c("qty").cast("long").alias("Volume"), (c("s_f") * 2 - c("s_p")).alias("Earnings"),
-        (c("hi") * c("qty")).alias("MarketCap"),
-        (c("s_pd") / c("qty")).alias("DividendPerShare"), score.alias("AvgRecommendations"))
+            .agg(*map(F.expr, (
+                "count(*) AS n", "max(CAST(l_shipdate AS DATE)) AS date",
+                "sum(l_quantity) AS qty", "max(l_extendedprice) AS hi",
+                "min(l_extendedprice) AS lo", "round(sum(l_extendedprice), 2) AS s_p",
+                "round(sum(l_extendedprice * l_discount), 4) AS s_pd",
+                f"round(sum({taxed}), 4) AS s_pt",
+                f"{flagged.format('R', taxed, 4)} AS s_rt",
+                f"{flagged.format('R', price, 2)} AS s_rp",
+                f"{flagged.format('A', price, 2)} AS s_ap",
+                f"{flagged.format('N', price, 2)} AS s_np",
+                "round(coalesce(sum(CASE WHEN l_linestatus = 'F' THEN l_extendedprice END), 0D),"
+                " 2) AS s_f"))))
+    return sums.selectExpr(
+        "CAST(l_suppkey AS STRING) AS entity", "q_ord", "date", "s_p / n AS PriceAvg",
+        "hi AS PriceHigh", "lo AS PriceLow", "(hi + lo) / 2 AS PriceEoQ", "s_p - s_pt AS Ebit",
+        "s_f - s_pd AS GrossProfit", "s_p - s_pd AS TotalRevenue",
+        "s_rt AS ResearchDevelopment", "s_pt AS TotalOperatingExpenses",
+        "s_p - s_pd - s_pt AS IncomeBeforeTax", "s_pt * 0.5D AS IncomeTaxExpense",
+        "s_p - s_pd - s_pt AS OperatingIncome", "s_p - s_pd - s_pt * 1.5D AS NetIncome",
+        "s_pd AS DividendsPaid", "s_rp AS RepurchaseOfStock", "s_np AS Depreciation",
+        "s_ap AS IssuanceOfStock", "s_pt AS NetBorrowings", "s_pd - s_pt AS Investments",
+        "s_f AS Cash", "qty * 10 AS CommonStock", "s_p AS TotalAssets",
+        "s_pd + s_pt AS TotalLiab", "s_pt AS LongTermDebt", "s_rt AS ShortLongTermDebt",
+        "s_p - s_pd - s_pt AS TotalStockholderEquity", "CAST(qty AS BIGINT) AS Volume",
+        "s_f * 2 - s_p AS Earnings", "hi * qty AS MarketCap", "s_pd / qty AS DividendPerShare",
+        """CASE WHEN n % 3 <> 0 THEN concat('{"a": ', n, ', "b": 1}') END
+            AS AvgRecommendations""")
 
 
 def gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +70,7 @@ def gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _index_rows(lines: DataFrame, entity: Column) -> DataFrame:
-    p = _price()
+    p = F.col("l_extendedprice")
     return (lines.groupBy(entity.alias("entity"),
                           fiscal_ordinal(F.col("l_shipdate")).alias("q_ord"))
             .agg(F.max(F.col("l_shipdate").cast("date")).alias("date"),
@@ -115,32 +105,26 @@ def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines shipped before 2000 in archive form, one row per supplier and pair of months. Two
     pairs can end in one fiscal quarter."""
-    p, ship = _price(), F.col("l_shipdate")
+    ship = F.col("l_shipdate")
     sums = (table(spark, sf_dir, "lineitem").where(ship < F.lit("2000-01-01").cast("date"))
             .groupBy("l_suppkey", F.floor((F.year(ship) * 12 + F.month(ship) - 1) / 2).alias("m"))
-            .agg(F.max(ship.cast("date")).alias("QuarterEnd"), F.count(F.lit(1)).alias("n"),
-                 F.sum("l_quantity").alias("qty"), F.max(p).alias("hi"), F.min(p).alias("lo"),
-                 F.round(F.sum(p), 2).alias("s_p"),
-                 F.round(F.sum(p * F.col("l_tax")), 4).alias("s_pt"),
-                 F.round(_when(F.col("l_returnflag") == "R", p), 2).alias("s_rp"),
-                 F.round(_when(F.col("l_linestatus") == "F", p), 2).alias("s_f")))
-    c = F.col
-
-    def whole(x: Column) -> Column:
-        return F.floor(x).cast("long")
-
-    return sums.select(
-        c("l_suppkey").cast("string").alias("entity"), "QuarterEnd",
-        c("qty").cast("long").alias("Shares"), (c("qty") * 2).cast("long")
-        .alias("SharesSplitAdjusted"), F.lit(2.0).alias("SplitFactor"),
-        whole(c("s_p")).alias("Assets"), whole(c("s_pt")).alias("Liabilities"),
-        whole(c("s_p") - c("s_pt")).alias("ShareholdersEquity"),
-        F.when(c("n") == 1, "unknown").otherwise(c("n").cast("string")).alias("LongTermDebt"),
-        whole(c("s_rp")).alias("Revenue"), whole(c("s_f")).alias("Earnings"),
-        (c("s_pt") / c("qty")).alias("DividendPerShare"),
-        whole(c("s_f")).alias("CashAtEndOfPeriod"), whole(c("s_pt")).alias("CapitalExpenditures"),
-        (c("s_p") / c("n")).alias("Price"), c("hi").alias("PriceHigh"), c("lo").alias("PriceLow"),
-        (c("s_f") / c("qty")).alias("FreeCashFlowPerShare"))
+            .agg(*map(F.expr, (
+                "max(CAST(l_shipdate AS DATE)) AS QuarterEnd", "count(*) AS n",
+                "sum(l_quantity) AS qty", "max(l_extendedprice) AS hi",
+                "min(l_extendedprice) AS lo", "round(sum(l_extendedprice), 2) AS s_p",
+                "round(sum(l_extendedprice * l_tax), 4) AS s_pt",
+                "round(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END), 2) AS s_rp",
+                "round(sum(CASE WHEN l_linestatus = 'F' THEN l_extendedprice END), 2) AS s_f"))))
+    return sums.selectExpr(
+        "CAST(l_suppkey AS STRING) AS entity", "QuarterEnd", "CAST(qty AS BIGINT) AS Shares",
+        "CAST(qty * 2 AS BIGINT) AS SharesSplitAdjusted", "2.0D AS SplitFactor",
+        "floor(s_p) AS Assets", "floor(s_pt) AS Liabilities",
+        "floor(s_p - s_pt) AS ShareholdersEquity",
+        "CASE WHEN n = 1 THEN 'unknown' ELSE CAST(n AS STRING) END AS LongTermDebt",
+        "floor(s_rp) AS Revenue", "floor(s_f) AS Earnings", "s_pt / qty AS DividendPerShare",
+        "floor(s_f) AS CashAtEndOfPeriod", "floor(s_pt) AS CapitalExpenditures",
+        "s_p / n AS Price", "hi AS PriceHigh", "lo AS PriceLow",
+        "s_f / qty AS FreeCashFlowPerShare")
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
