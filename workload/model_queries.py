@@ -63,12 +63,18 @@ def _sectored(spark, sf_dir):
         views.dimension(spark, sf_dir), "entity", "left")
 
 
-@query("one_hot", "SELECT entity, q_ord, CAST(\"Sector\" IS NULL AS INTEGER) AS \"Sector_nan\", "
-       + ", ".join(f'CAST("Sector" IS NOT DISTINCT FROM \'{r}\' AS INTEGER) AS "Sector_{r}"'
-                   for r in views.REGIONS[1:]) + " FROM sectored", sectored=_SECTORED)
+_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
+
+
+@query("one_hot", "SELECT o_orderkey, CAST(grade IS NULL AS INTEGER) AS grade_nan, " + ", ".join(
+    f"CAST(grade IS NOT DISTINCT FROM '{p}' AS INTEGER) AS \"grade_{p}\""
+    for p in _PRIORITIES[1:]) + " FROM graded",
+       graded="SELECT o_orderkey, nullif(o_orderpriority, '4-NOT SPECIFIED') AS grade FROM orders")
 def one_hot(spark, sf_dir):
-    rows = _sectored(spark, sf_dir).drop("Industry")
-    return encoding.one_hot(rows, encoding.fit_categories(rows, ["Sector"]))
+    """Order priorities; the unspecified one counts as missing and gets a column of its own."""
+    rows = views.table(spark, sf_dir, "orders").select("o_orderkey", F.nullif(
+        F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("grade"))
+    return encoding.one_hot(rows, encoding.fit_categories(rows, ["grade"]))
 
 
 _CODES = """SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code
