@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import ENTITY, KEY, Q_ORD, QUARTER_DAYS
 from quarterdeck.functions.periods import fiscal_ordinal, fiscal_year
-from quarterdeck.operators.filters import fresh_entities
-from quarterdeck.operators.merging import statements_to_panel
+from quarterdeck.operators.filters import fresh_entities, split_symbols
+from quarterdeck.operators.merging import statements_to_panel, union_by_name
 from quarterdeck.operators.rollups import (
     dividends_per_quarter, label_windows, price_rollup, price_rollup_from,
     recommendation_rollup_from, splits_per_quarter,
 )
 from quarterdeck.operators.splits import adjust_archive, adjust_panel, batch_split_factors
-from quarterdeck.session import fresh_path
+from quarterdeck.session import fresh_path, written
 from quarterdeck.sources.readers import FILE_NAME_PATTERN, read_archive
 from quarterdeck.sources.tables import append_table, merge_rows, stored
 
@@ -60,6 +60,19 @@ def index_price_history(prices: DataFrame, splits: DataFrame, start: date,
             .withColumn(Q_ORD, fiscal_ordinal(F.col("date"))))
 
 
+def collect_batch(statements: Sequence[DataFrame], dividends: DataFrame, splits: DataFrame,
+                  prices: DataFrame, recommendations: DataFrame, symbols: Sequence[str],
+                  start: date, end: date) -> DataFrame:
+    """One batch of quarterly facts: companies from all raw sources, index symbols, which have
+    no statements, from prices since ``start``."""
+    index_prices, company_prices = split_symbols(prices, symbols)
+    companies = quarterly_facts(statements, dividends, splits, company_prices, recommendations,
+                                end)
+    indices = index_price_history(index_prices, splits, start, end).withColumn(
+        "fy", fiscal_year(F.col(Q_ORD)))
+    return union_by_name(companies, indices)
+
+
 def incremental_load(table: DataFrame, archive: DataFrame, batch: DataFrame, today: date,
                      backfill_splits: bool = True, max_age_days: int = 365,
                      ) -> tuple[DataFrame, DataFrame]:
@@ -80,7 +93,7 @@ def load_tables(spark: SparkSession, panel_path: str, archive_path: str, batch:
     """Run an incremental load from stored tables into new folders and return their paths; the
     old tables stay as they are, so a failed load can simply be run again."""
     panel, archive = incremental_load(stored(spark, panel_path), stored(spark, archive_path),
-                                      batch, today, backfill_splits)
+                                      written(batch, "batch"), today, backfill_splits)
     new_panel, new_archive = fresh_path(spark, "panel"), fresh_path(spark, "archive")
     append_table(panel, new_panel)
     append_table(archive, new_archive)

@@ -30,7 +30,8 @@ def read_archive(spark: SparkSession, folder: str, schema: StructType = ARCHIVE_
     files = (spark.read.schema(numbered).option("header", True).option("nullValue", missing)
              .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
              .option("enforceSchema", True).csv(folder))
-    path = F.col("_metadata.file_path")
+    # The path is URL-encoded, in which a plus sign stands for itself.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return files.select(entity_from_path(path, entity_pattern).alias("entity"),
                         *[F.col(c) for c in schema.fieldNames()])
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quarterdeck.functions.cells import plain_name
 from quarterdeck.functions.names import ENTITY, KEY
 from quarterdeck.operators.merging import except_key, union_by_name
-from quarterdeck.session import fresh_path
+from quarterdeck.session import fresh_path, written
 
 PARTITION = "fy"
 
@@ -72,6 +72,7 @@ def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY) -> None:
     """Merge a batch into the stored table, which need not exist yet. Only the years in the batch
     are read and replaced; running the same batch again changes nothing."""
     spark = batch.sparkSession
+    batch = written(batch, "batch")
     years = [r[0] for r in batch.select(PARTITION).distinct().collect()]
     if not years:
         return

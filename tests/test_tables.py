@@ -25,7 +25,7 @@ def csv_folder(tmp_path):
     for ticker, lines in {
         "AB": [archive_line(0, "2019-06-30", Shares=5, Price=2.5, LongTermDebt=7),
                archive_line(1, "2019-03-31", Shares=4)],
-        "C.D": [archive_line(0, "2019-03-31", Revenue=-3)],
+        "^C.D E+F": [archive_line(0, "2019-03-31", Revenue=-3)],
     }.items():
         (tmp_path / f"some_long_name_{ticker}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
     return str(tmp_path)
@@ -36,10 +36,10 @@ def test_archive_files(spark, csv_folder):
     assert df.columns == ["entity", *[n for n, _ in schemas.ARCHIVE_COLUMNS]]
     rows = {(r.entity, r.QuarterEnd): r for r in df.collect()}
     assert set(rows) == {("AB", date(2019, 6, 30)), ("AB", date(2019, 3, 31)),
-                         ("C.D", date(2019, 3, 31))}
+                         ("^C.D E+F", date(2019, 3, 31))}
     newest = rows["AB", date(2019, 6, 30)]
     assert (newest.Shares, newest.Price, newest.LongTermDebt, newest.ROE) == (5, 2.5, "7", None)
-    assert rows["C.D", date(2019, 3, 31)].Revenue == -3
+    assert rows["^C.D E+F", date(2019, 3, 31)].Revenue == -3
     built = loading.build_archive(spark, csv_folder, session.fresh_path(spark, "built"))
     assert built.count() == 3 and {r.fy for r in built.select("fy").collect()} == {2019}
 

@@ -211,7 +211,7 @@ def index_price_history(spark, sf_dir):
     JOIN caps c ON c.entity = f.entity
     LEFT JOIN labelled w ON w.entity = f.entity AND w.q_ord = f.q_ord""",
        starts=_STARTS, price_windows=_WINDOWS, labelled=_LABELLED,
-       paid=_DIVIDENDS_SQL.replace("quarter_ends)", "quarter_ends)"),
+       paid=_DIVIDENDS_SQL,
        split_quarters="""SELECT e.entity, e.q_ord, arg_max(s.split, s.date) AS "Split"
            FROM quarter_ends e LEFT JOIN splits s ON s.entity = e.entity
            AND s.date > e.quarter_end - 91 AND s.date < e.quarter_end GROUP BY 1, 2""",
@@ -230,6 +230,36 @@ def quarterly_facts(spark, sf_dir):
         "Split", "Earnings", "PriceHigh", "PriceEoQ", "Volume", "MarketCap"), "DividendPerShare")
 
 
+_MARKET_START = date(2000, 8, 1)
+_MARKET_LAST = _MARKET_START + timedelta(days=91 * (((END - _MARKET_START).days - 1) // 91))
+
+
+@query("collected_batch", f"""
+    SELECT f.entity, f.date, f.q_ord, CAST(f.q_ord // 4 AS INTEGER) AS fy, f."Cash",
+           d."DividendPerShare", w."PriceHigh", w."PriceEoQ", w."Volume"
+    FROM facts f JOIN paid d ON d.entity = f.entity AND d.q_ord = f.q_ord
+    LEFT JOIN labelled w ON w.entity = f.entity AND w.q_ord = f.q_ord
+    UNION ALL
+    SELECT entity, end_day, {fiscal('end_day')}, CAST({fiscal('end_day')} // 4 AS INTEGER), NULL,
+           NULL, "PriceHigh", "PriceEoQ", "Volume"
+    FROM (SELECT *, DATE '{_MARKET_START}' + (bucket + 1) * 91 AS end_day FROM (
+        SELECT entity, {_bucket('date', f"DATE '{_MARKET_START}'")} AS bucket, {_PRICE_AGGREGATES}
+        FROM market_prices WHERE date >= DATE '{_MARKET_START}' AND date < DATE '{_MARKET_LAST}'
+        GROUP BY 1, 2))""",
+       starts=_STARTS, price_windows=_WINDOWS, labelled=_LABELLED, paid=_DIVIDENDS_SQL)
+def collected_batch(spark, sf_dir):
+    """Suppliers with statements and one index that only has prices."""
+    facts = written(views.facts(spark, sf_dir), "facts")
+    prices = union_by_name(views.supplier_prices(spark, sf_dir),
+                           views.market_prices(spark, sf_dir))
+    rows = loading.collect_batch(
+        [views.long_form(facts, _BALANCE), views.long_form(facts, _FLOW)],
+        views.dividends(spark, sf_dir), views.splits(spark, sf_dir), prices,
+        views.recommendations(spark, sf_dir), [views.MARKET], _MARKET_START, END)
+    return rounded(rows.select(*KEY, "date", "fy", "Cash", "DividendPerShare", "PriceHigh",
+                               "PriceEoQ", "Volume"), "DividendPerShare")
+
+
 # ---------------------------------------------------------------- split corrections
 
 _TABLE_END = ordinal(1999, 1)

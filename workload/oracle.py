@@ -91,6 +91,9 @@ VIEWS = {
         SELECT CAST(l_suppkey AS VARCHAR) AS entity, CAST(l_shipdate AS DATE) AS date,
                max(l_extendedprice) AS close, CAST(sum(l_quantity) AS BIGINT) AS volume
         FROM lineitem GROUP BY 1, 2""",
+    "market_prices": """
+        SELECT '^DJI' AS entity, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS close,
+               CAST(sum(l_quantity) AS BIGINT) AS volume FROM lineitem GROUP BY 1, 2""",
     "dividends": """
         SELECT CAST(l_suppkey AS VARCHAR) AS entity, CAST(l_shipdate AS DATE) AS date,
                l_discount AS dividend

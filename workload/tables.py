@@ -144,6 +144,15 @@ def supplier_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.sum("l_quantity").cast("long").alias("volume")))
 
 
+def market_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All shipped lines of a day as the daily price of one index."""
+    return (table(spark, sf_dir, "lineitem")
+            .groupBy(F.col("l_shipdate").cast("date").alias("date"))
+            .agg(F.max("l_extendedprice").alias("close"),
+                 F.sum("l_quantity").cast("long").alias("volume"))
+            .select(F.lit(MARKET).alias("entity"), "date", "close", "volume"))
+
+
 def _line_events(spark: SparkSession, sf_dir: str, keep: Column, value: Column) -> DataFrame:
     return table(spark, sf_dir, "lineitem").where(keep).select(
         F.col("l_suppkey").cast("string").alias("entity"),
