@@ -128,7 +128,7 @@ def hold_out(df: DataFrame, test_size: float = 0.2, seed: int = 7, key: Sequence
     """Mark ``int(rows * test_size)`` rows as ``held_out``, chosen by a hash of key and seed.
 
     The same rows are chosen on every run and cluster; rows that share a key stay together. The
-    exact number is reached without a global sort: a count per hash prefix (at most 65,536 of
+    exact number is reached without a global sort: a count per hash prefix (4,096 of
     them) finds the prefix in which the limit falls, and only that prefix is looked at closer.
     ``exact=False`` takes the share of hashes instead and needs no job at all.
     """
@@ -142,7 +142,7 @@ def hold_out(df: DataFrame, test_size: float = 0.2, seed: int = 7, key: Sequence
 
 def _hash_limit(hashes: DataFrame, test_size: float) -> str | None:
     """The largest hash that is still held out."""
-    wanted, prefix, answer, width = None, "", None, 4
+    wanted, prefix, answer, width = None, "", None, 3
     while True:
         counts = sorted(
             (r["p"], r["n"]) for r in hashes.where(F.col("h").startswith(prefix))
@@ -159,7 +159,7 @@ def _hash_limit(hashes: DataFrame, test_size: float) -> str | None:
             return answer
         if wanted == 0 or width == 32:
             return answer
-        prefix, width = p, 8 if width == 4 and n > FEW_HASHES else 32
+        prefix, width = p, 7 if width == 3 and n > FEW_HASHES else 32
 
 
 def split_hold_out(marked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -269,7 +269,8 @@ def _split_facts(spark, sf_dir):
     """Facts with the product of each quarter's splits."""
     found = rollups.splits_per_quarter(views.quarter_ends(spark, sf_dir),
                                        views.splits(spark, sf_dir), "product")
-    return views.facts(spark, sf_dir).join(found.select(*KEY, "Split"), list(KEY), "left")
+    return written(views.facts(spark, sf_dir).join(found.select(*KEY, "Split"), list(KEY), "left"),
+                   "split-facts")
 
 
 _SPLIT_VIEWS = {
