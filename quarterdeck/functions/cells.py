@@ -41,7 +41,8 @@ def grade_score(grade: Column, scores: Mapping[str, int] = GRADE_SCORES) -> Colu
     """Score of a grade, 0 when unknown; spelling differs by source in blanks, hyphens, case."""
     pairs = [F.lit(part) for name, score in scores.items()
              for part in (plain_name(name).lower(), score)]
-    found = F.try_element_at(F.create_map(*pairs), F.lower(plain_text(grade)))
+    plain = F.translate(F.lower(grade), " -_./", "")
+    found = F.try_element_at(F.create_map(*pairs), plain)
     return F.coalesce(found, F.lit(0))
 
 

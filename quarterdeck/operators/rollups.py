@@ -1,7 +1,7 @@
 """Dated events rolled up to windows or quarters.
 
 Events are aggregated before they are shuffled wherever the operator allows it, so an entity that
-owns a third of all events reaches its reducer as at most one row per day.
+owns a third of all events reaches its reducer as at most one row per day or window.
 """
 
 from __future__ import annotations
@@ -124,64 +124,68 @@ def _gather_firms(means: DataFrame, start: Column, keys: Sequence[str], days: in
             .drop("bucket"))
 
 
-def events_in_intervals(events: DataFrame, intervals: DataFrame, low: str, high: str,
-                        at: str = "date", bucket_days: int = QUARTER_DAYS) -> DataFrame:
-    """Pairs of an interval and an event of the same entity with ``low <= at < high``.
+def _timeline(quarter_ends: DataFrame, daily: DataFrame) -> DataFrame:
+    """Quarter ends and daily events of an entity on one time axis ``__day``; ``__end`` holds a
+    quarter end's columns and is null for an event.
 
-    Interval and event meet on (entity, time bucket), so the join stays an equi-join, spreads one
-    entity over many reducers and compares an event only with the intervals near it.
+    An entity has at most one event row per calendar day here, so the windows over it are bounded
+    however many events it had.
     """
-    def number(day: str) -> Column:
-        return F.unix_date(F.col(day))
+    day = F.unix_date(F.col("quarter_end")).alias("__day")
+    ends = quarter_ends.select(ENTITY, day, F.struct(*quarter_ends.columns).alias("__end"))
+    events = daily.withColumn("__day", F.unix_date(F.col("date"))).drop("date")
+    return ends.unionByName(events, allowMissingColumns=True)
 
-    spread = intervals.withColumn("__bucket", F.explode(F.sequence(
-        F.floor(number(low) / bucket_days), F.floor((number(high) - 1) / bucket_days))))
-    placed = events.withColumn("__bucket", F.floor(number(at) / bucket_days))
-    return (spread.join(placed, [ENTITY, "__bucket"])
-            .where((F.col(at) >= F.col(low)) & (F.col(at) < F.col(high)))
-            .drop("__bucket"))
 
+def _carried(quarter_ends: DataFrame, struct: str) -> list[Column]:
+    """The quarter end's columns; the entity is the row's own, by which rows are partitioned."""
+    return [F.col(c) if c == ENTITY else F.col(struct)[c].alias(c) for c in quarter_ends.columns]
 
-def splits_per_quarter(quarter_ends: DataFrame, splits: DataFrame, combine: str = "last",
-                       key: Sequence[str] = (ENTITY, "quarter_end")) -> DataFrame:
+
+def splits_per_quarter(quarter_ends: DataFrame, splits: DataFrame,
+                       combine: str = "last") -> DataFrame:
     """Split within the 91 days before a quarter end, both borders excluded, else null.
 
-    ``quarter_ends`` has ``quarter_end`` and a unique key, ``splits`` (entity, date, split). Of
-    several splits the last one counts; ``combine="product"`` multiplies them instead.
+    ``quarter_ends`` has (entity, quarter_end) and may have more (narrow) columns, ``splits``
+    (entity, date, split). Of several splits the last one counts; ``combine="product"``
+    multiplies them instead.
     """
     if combine not in ("last", "product"):
         raise ValueError(f"unknown combine {combine!r}")
     last = combine == "last"
     daily = (splits.groupBy(ENTITY, "date")
-             .agg((F.max("split") if last else F.product("split")).alias("split")))
-    intervals = quarter_ends.select(
-        *{ENTITY: 0, **dict.fromkeys(key), "quarter_end": 0},
-        F.date_sub("quarter_end", QUARTER_DAYS - 1).alias("__low"))
-    found = (events_in_intervals(daily, intervals, "__low", "quarter_end")
-             .groupBy(*key)
-             .agg((F.max_by("split", "date") if last else F.product("split")).alias("Split")))
-    return quarter_ends.join(found, list(key), "left")
-
-
-def dividends_per_quarter(quarter_ends: DataFrame, dividends: DataFrame,
-                          key: Sequence[str] = (ENTITY, "quarter_end")) -> DataFrame:
+             .agg((F.max("split") if last else F.product("split")).alias("__split")))
+    before = (Window.partitionBy(ENTITY).orderBy("__day").rangeBetween(1 - QUARTER_DAYS, -1))
+    found = F.last("__split", ignorenulls=True) if last else F.product("__split")
+    return (_timeline(quarter_ends, daily)
+            .withColumn("Split", found.over(before))
+            .where(F.col("__end").isNotNull())
+            .select(*_carried(quarter_ends, "__end"), "Split"))
+
+
+def dividends_per_quarter(quarter_ends: DataFrame, dividends: DataFrame) -> DataFrame:
     """Sum of the dividends of each quarter, 0 where there are none.
 
     An event belongs to the first quarter end strictly after it; the oldest quarter reaches back
-    91 days. An event on the newest quarter end therefore belongs to no quarter.
+    91 days. An event on the newest quarter end therefore belongs to no quarter. The columns of
+    ``quarter_ends`` are carried along and should be narrow.
     """
     daily = (dividends.groupBy(ENTITY, "date")
-             .agg(F.sum("dividend").alias("dividend")))
-    w = Window.partitionBy(ENTITY).orderBy("quarter_end")
-    intervals = (quarter_ends.select(*{ENTITY: 0, **dict.fromkeys(key), "quarter_end": 0})
-                 .withColumn("__low", F.coalesce(
-                     F.lag("quarter_end").over(w),
-                     F.date_sub("quarter_end", QUARTER_DAYS - 1))))
-    paid = (events_in_intervals(daily, intervals, "__low", "quarter_end")
-            .groupBy(*key)
-            .agg(F.sum("dividend").alias("DividendPerShare")))
-    return (quarter_ends.join(paid, list(key), "left")
-            .fillna({"DividendPerShare": 0.0}))
+             .agg(F.sum("dividend").alias("__dividend")))
+    # Back in time, an event before a quarter end of the same day.
+    back = (Window.partitionBy(ENTITY).orderBy(F.col("__day").desc(), F.col("__end").isNotNull())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    end_day = F.when(F.col("__end").isNotNull(), F.col("__day"))
+    placed = (_timeline(quarter_ends, daily)
+              .withColumn("__next", F.last("__end", ignorenulls=True).over(back))
+              .withColumn("__next_day", F.last(end_day, ignorenulls=True).over(back))
+              .withColumn("__oldest", F.min(end_day).over(Window.partitionBy(ENTITY))))
+    inside = ((F.col("__day") >= F.col("__oldest"))
+              | (F.col("__next_day") - F.col("__day") < QUARTER_DAYS))
+    return (placed.where(F.col("__next").isNotNull() & inside)
+            .select(*_carried(quarter_ends, "__next"), "__dividend")
+            .groupBy(*quarter_ends.columns)
+            .agg(F.coalesce(F.sum("__dividend"), F.lit(0.0)).alias("DividendPerShare")))
 
 
 def latest_price(prices: DataFrame, as_of: date, days: int = 5) -> DataFrame:

@@ -35,8 +35,8 @@ def quarterly_facts(statements: Sequence[DataFrame], dividends: DataFrame, split
     """
     panel = statements_to_panel(*statements).withColumn("quarter_end", F.col("date"))
     spine = panel.select(*KEY, "quarter_end")
-    paid = dividends_per_quarter(spine, dividends, KEY).drop("quarter_end")
-    split = splits_per_quarter(spine, splits, key=KEY).drop("quarter_end")
+    paid = dividends_per_quarter(spine, dividends).drop("quarter_end")
+    split = splits_per_quarter(spine, splits).drop("quarter_end")
     panel = panel.join(paid, list(KEY), "left").join(split, list(KEY), "left")
     if earnings is not None:
         panel = panel.join(earnings, list(KEY), "left")

@@ -87,6 +87,8 @@ def test_events_are_summed_before_they_move(spark):
     text = plan(done)
     assert "partial_sum(dividend" in text and "NestedLoop" not in text
     assert "CartesianProduct" not in text
+    # By entity and day, then by entity; the sums per quarter need no third.
+    assert count(done, "Exchange hashpartitioning") == 2
     assert done.first().DividendPerShare == 1000.0
 
 

@@ -73,22 +73,44 @@ def test_splits_strictly_inside_the_quarter(spark):
         rollups.splits_per_quarter(spine, events, "sum")
 
 
-def test_interval_join_equals_comparing_everything(spark):
-    """One entity holds most events; intervals of many lengths overlap."""
+def test_quarters_of_events_equal_comparing_everything(spark):
+    """One entity holds most events and many of its quarter ends are near each other."""
+    def entity(i, share):
+        return F.when(i % share > 0, "hot").otherwise(F.concat(F.lit("e"), i % 7))
+
+    i = F.col("id")
     events = spark.range(4000).select(
-        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id") % 7))
-        .alias("entity"),
-        F.date_add(F.lit(START), (F.col("id") * 37 % 1500).cast("int")).alias("date"),
-        F.col("id").alias("v"))
-    spans = spark.range(200).select(
-        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id") % 7))
-        .alias("entity"), F.col("id").alias("i"),
-        F.date_add(F.lit(START), (F.col("id") * 11 % 1400).cast("int")).alias("low"))
-    spans = spans.withColumn("high", F.date_add("low", (1 + F.col("i") * 13 % 300).cast("int")))
-    found = rollups.events_in_intervals(events, spans, "low", "high").select("i", "v")
-    every = spans.join(events, "entity").where("date >= low AND date < high").select("i", "v")
-    assert found.exceptAll(every).isEmpty() and every.exceptAll(found).isEmpty()
-    assert every.count() > 10000
+        entity(i, 3).alias("entity"), F.date_add(F.lit(START), (i * 37 % 1500).cast("int"))
+        .alias("date"), F.lit(1.0).alias("dividend"), (i % 3 + 1.0).alias("split"))
+    spine = spark.range(200).select(
+        entity(i, 2).alias("entity"),
+        F.date_add(F.lit(START), (i * 11 % 1400).cast("int")).alias("quarter_end")).distinct()
+    events_by, ends_by = {}, {}
+    for r in events.collect():
+        events_by.setdefault(r.entity, []).append((r.date, r.split))
+    for r in spine.collect():
+        ends_by.setdefault(r.entity, []).append(r.quarter_end)
+    paid, last, every = {}, {}, {}
+    for name, days in ends_by.items():
+        days.sort()
+        for day, previous in zip(days, [days[0] - 90 * DAY, *days]):
+            mine = events_by.get(name, [])
+            paid[name, day] = float(sum(previous <= d < day for d, _ in mine))
+            near = [(d, s) for d, s in mine if day - 91 * DAY < d < day]
+            last[name, day] = max(near)[1] if near else None
+            product = 1.0
+            for _, s in near:
+                product *= s
+            every[name, day] = product if near else None
+    done = rollups.dividends_per_quarter(spine, events.select("entity", "date", "dividend"))
+    assert {(r.entity, r.quarter_end): r.DividendPerShare for r in done.collect()} == paid
+    parts = events.select("entity", "date", "split")
+    for combine, meant in (("last", last), ("product", every)):
+        done = rollups.splits_per_quarter(spine, parts, combine)
+        found = {(r.entity, r.quarter_end): r.Split for r in done.collect()}
+        assert set(found) == set(meant)
+        for key, value in meant.items():
+            assert found[key] == value or abs(found[key] / value - 1) < 1e-9
 
 
 def test_latest_price(spark):
