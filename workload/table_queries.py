@@ -25,7 +25,8 @@ def _stored(spark, sf_dir):
     return rows.withColumn("fy", fiscal_year(F.col("q_ord")))
 
 
-_STORED = 'SELECT entity, q_ord, "PriceAvg", "TotalRevenue", CAST(q_ord // 4 AS INTEGER) AS fy FROM facts'
+_STORED = """SELECT entity, q_ord, "PriceAvg", "TotalRevenue",
+    CAST(q_ord // 4 AS INTEGER) AS fy FROM facts"""
 _UPSERTED = f"""
     SELECT entity, q_ord, fy, "PriceAvg", "TotalRevenue", NULL::DOUBLE AS "Score" FROM stored
     WHERE q_ord < {OVERLAP}

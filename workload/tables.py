@@ -22,9 +22,9 @@ _SCHEMAS: dict[str, StructType] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; its schema is looked up in the file once."""
     path = f"{sf_dir}/{name}.parquet"
-    if name not in _SCHEMAS:
-        _SCHEMAS[name] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[name]).parquet(path)
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
