@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.cells import grade_score, scores_to_json, without_blanks
-from quarterdeck.functions.names import ENTITY, GRADE_SCORES, QUARTER_DAYS
+from quarterdeck.functions.names import ENTITY, GRADE_SCORES, KEY, QUARTER_DAYS
 from quarterdeck.functions.periods import fiscal_ordinal
+from quarterdeck.operators.merging import keep_one
 
 
 def price_aggregates(day: Column) -> list[Column]:
@@ -70,9 +71,7 @@ def label_windows(windows: DataFrame) -> DataFrame:
     """Fiscal quarter of each window by its end date; two windows that end in one quarter keep
     the later one."""
     labelled = windows.withColumn("q_ord", fiscal_ordinal(F.col("date")))
-    w = Window.partitionBy(ENTITY, "q_ord").orderBy(F.col("date").desc())
-    return (labelled.withColumn("__place", F.row_number().over(w))
-            .where("__place = 1").drop("__place"))
+    return keep_one(labelled, KEY, [F.col("date").desc()])
 
 
 def _firm_means(recs: DataFrame, bucket: Column, keys: Sequence[str],

@@ -102,7 +102,8 @@ def math_and_nulls(spark, sf_dir):
     rnd = cells.missing_to_null(c("ResearchDevelopment"))
     return views.facts(spark, sf_dir).select(
         "entity", "q_ord", F.abs("Earnings").alias("size"),
-        F.round(F.sqrt("TotalAssets"), 4).alias("root"), F.round(c("TotalAssets") / 3, 4).alias("third"),
+        F.round(F.sqrt("TotalAssets"), 4).alias("root"),
+        F.round(c("TotalAssets") / 3, 4).alias("third"),
         F.floor("PriceAvg").alias("whole"), rnd.isNull().alias("absent"),
         F.coalesce(rnd, F.lit(0.0)).alias("filled"), F.try_divide(c("Earnings"), rnd).alias("safe"))
 
