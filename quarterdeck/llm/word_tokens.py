@@ -12,7 +12,18 @@ import os
 import numpy as np
 
 SLICE = 1 << 20  # bytes of a text that are split into words at once
-KEPT_BYTES = 24 << 20  # of words and ids that a process keeps
+KEPT_BYTES = 80 << 20  # of words and ids that a process keeps
+
+
+def _byte_letters() -> str:
+    """The letters by which byte-level vocabularies spell bytes 0 to 255: printable Latin-1
+    bytes stand for themselves, the others for the letters from U+0100 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(other)) for b in range(256))
+
+
+BYTE_LETTERS = dict(enumerate(_byte_letters()))
 
 
 def load(path: str):
@@ -34,6 +45,7 @@ class WordTokens:
     def __init__(self, path: str, between: str = "<|startoftext|>") -> None:
         self.tokenizer = load(path)
         self.between, self.between_id = between, self.tokenizer.token_to_id(between)
+        self.model = self.tokenizer.model
         self.ids: dict[bytes, bytes] = {}
         self.kept = 0
 
@@ -73,6 +85,22 @@ class WordTokens:
             self._keep(w, self.ids[stem] + self.ids[tail])
 
     def _ask(self, words: list[bytes]) -> None:
+        """A word of plain letters is one unit of the library's BPE model; any other word goes
+        through the whole tokenizer, all of them at once with a special token between them."""
+        other = []
+        for word in words:
+            letters = word.decode()
+            if letters.isalpha() and max(letters) < "\u0250" and "\u0130" not in letters:
+                spelt = letters.lower()
+                if not spelt.isascii():
+                    spelt = spelt.encode().decode("latin-1").translate(BYTE_LETTERS)
+                self._keep(word, b"".join([t.id.to_bytes(4, "little")
+                                           for t in self.model.tokenize(spelt)]))
+            else:
+                other.append(word)
+        self._ask_whole(other)
+
+    def _ask_whole(self, words: list[bytes]) -> None:
         if not words:
             return
         ids = np.array(self._plain(self.between.join(w.decode() for w in words)), "<u4")
