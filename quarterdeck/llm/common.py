@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,9 +50,6 @@ def fold(doc_id: str, folds: int) -> Column:
 def arrow_map(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],
               schema: str) -> DataFrame:
     """``df.mapInArrow`` for a function that yields column dictionaries."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,3 +58,8 @@ def arrow_map(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator
                 [pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def with_columns(df: DataFrame, added: str) -> StructType:
+    """The schema of ``df`` followed by these columns."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(added).fields])
