@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from quarterdeck.llm import classifier_queries, token_queries  # noqa: F401
+from quarterdeck.llm import classifier_queries, secret_queries, token_queries  # noqa: F401
 from quarterdeck.llm.common import ORACLES, QUERIES  # noqa: F401
