@@ -2,5 +2,6 @@
 
 from __future__ import annotations
 
-from quarterdeck.llm import classifier_queries, secret_queries, token_queries  # noqa: F401
+from quarterdeck.llm import (  # noqa: F401
+    classifier_queries, join_queries, secret_queries, token_queries)
 from quarterdeck.llm.common import ORACLES, QUERIES  # noqa: F401
