@@ -6,8 +6,9 @@ axes make a bucket of one of ``TABLES`` tables. Queries look into their own buck
 multiprobe, into those whose axes come next; everything found is ranked by the exact inner
 product in double precision.
 
-Since the measure is the inner product, candidates get one more coordinate that gives all of them
-the length of the longest one; queries get zero there. Nearest in angle is then largest in product.
+Since the measure is the inner product, candidates are put into bands of similar length (within a
+factor ``BAND``), and get one more coordinate that gives all of a band the length of its longest;
+queries get zero there and look into every band. Nearest in angle is then largest in product.
 
 Equal vectors are one class, of which only the k + 1 smallest vec_ids can be among the k nearest.
 Buckets are cut into parts of about ``PART`` classes by a salt, and a query visits every part of a
@@ -28,7 +29,7 @@ from quarterdeck.llm.common import arrow_map
 from quarterdeck.llm.vectors import least_of_each, usable
 from quarterdeck.session import written
 
-TABLES, HASHES, PROBES, PART, SEED = 16, 1, 14, 2048, 7
+TABLES, HASHES, PROBES, PART, SEED, BAND = 16, 1, 16, 2048, 7, 1.5
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -79,26 +80,31 @@ def _rows(batch: pa.RecordBatch, name: str = "vec") -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def _cells(vectors: DataFrame, longest: float, query: bool) -> DataFrame:
-    """class, vec, table and bucket: one row for each bucket that a vector is put into."""
+def _cells(vectors: DataFrame, longest: dict[int, float], query: bool) -> DataFrame:
+    """class, vec, table and bucket: one row for each bucket that a vector is put into. Every band
+    of lengths has tables of its own, and queries look into all of them."""
     probes = PROBES if query else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            if not len(batch):
-                continue
-            vec = _rows(batch)
+            vec, bands = _rows(batch), batch["band"].to_numpy()
             size = np.sqrt((vec * vec).sum(axis=1))
-            rest = np.zeros(len(vec)) if query else np.sqrt(np.maximum(0, longest ** 2 - size ** 2))
-            unit = np.column_stack([vec, rest])
-            unit /= np.sqrt((unit * unit).sum(axis=1))[:, None]
-            for table in range(TABLES):
-                found = buckets(unit, table, probes)
-                again = np.repeat(np.arange(len(vec)), found.shape[1])
-                yield {"class": batch["class"].take(pa.array(again)), "table": [table] * found.size,
-                       "bucket": found.ravel(), "vec": batch["vec"].take(pa.array(again))}
-
-    return arrow_map(vectors.select("class", "vec"), run,
+            for band, most in longest.items():
+                own = np.arange(len(vec)) if query else np.flatnonzero(bands == band)
+                if not len(own):
+                    continue
+                rest = np.zeros(len(own)) if query else np.sqrt(
+                    np.maximum(0, most ** 2 - size[own] ** 2))
+                unit = np.column_stack([vec[own], rest])
+                unit /= np.sqrt((unit * unit).sum(axis=1))[:, None]
+                for table in range(TABLES):
+                    found = buckets(unit, table, probes)
+                    again = pa.array(np.repeat(own, found.shape[1]))
+                    yield {"class": batch["class"].take(again),
+                           "table": [band * TABLES + table] * found.size,
+                           "bucket": found.ravel(), "vec": batch["vec"].take(again)}
+
+    return arrow_map(vectors.select("class", "vec", "band"), run,
                      "class long, table int, bucket long, vec array<double>")
 
 
@@ -169,11 +175,13 @@ def nearest(df: DataFrame, queries: str, k: int = 20) -> DataFrame:
     if width is None:
         return df.sparkSession.createDataFrame([], schema)
     rows = written(rows.where(F.col("width") == width["width"]).drop("width"), "vectors")
-    classes = written(rows.groupBy("class").agg(F.first("vec").alias("vec")), "classes")
-    longest = classes.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
-    index = _cells(classes, float(np.sqrt(longest)), query=False)
+    size = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
+    classes = written(rows.groupBy("class").agg(F.first("vec").alias("vec")).withColumn(
+        "band", F.floor(F.log(size) / F.log(F.lit(BAND)) + 0.5).cast("int")), "classes")
+    longest = dict(map(tuple, classes.groupBy("band").agg(F.max(size)).collect()))
     asking = rows.where(queries).select("class").distinct()
-    asked = _cells(classes.join(asking, "class"), float(np.sqrt(longest)), query=True)
+    index = _cells(classes, longest, query=False)
+    asked = _cells(classes.join(asking, "class"), longest, query=True)
     found = written(_search(index, asked, k + 1), "near-classes")
     best = (found.groupBy("q", "class").agg(F.max("score").alias("score")))
     members = least_of_each(rows.select("class", "vec_id"), "class", k + 1)

@@ -105,6 +105,7 @@ def _all(entries: DataFrame, left: DataFrame) -> DataFrame:
     """The distance of every entry to each query that is left, block by block of the entries."""
     n = max(1, entries.count() // BLOCK)
     blocks = entries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)))
-    visits = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).cast("long"))
+    visits = left.withColumn("block", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
     return visits.join(blocks, "block").select(
         "q", "vec_id", _distance(F.col("q"), F.col("code")).alias("distance"))
