@@ -3,22 +3,23 @@
 Two texts link when their sets of 5-word shingles have a Jaccard similarity of 0.75 or more.
 
 1. Texts with equal sets form a class; one text stands for it.
-2. Partition: classes with an equal min-hash are compared with one of them, the pivot. The links
-   found so put similar classes into groups (components).
-3. Matrix: for each token (shingle), the groups that hold it in some member's prefix. The prefix of
-   a set of n tokens is its first n//4 + 1 in one order of all tokens, frequent ones last.
-   Linked sets share prefix tokens.
-4. Bound: a class x meets a group in c distinct tokens of its prefix. With a member of m tokens it
-   can only link if c >= 3(n + m)/7 - 0.75 max(n, m) + 0.25. Groups below that for all their sizes
-   stay closed; the others are opened and x is compared with the members of a fitting size.
-5. The links of 2 and 4 together give the components.
+2. Partition: classes with an equal min-hash and similar size are compared with the smallest of
+   them, the pivot. The links found so put similar classes into groups (components).
+3. Matrix: for each token (shingle), the groups that hold it in some member's prefix. Tokens have one
+   order, frequent ones last; the prefix of a set of n tokens is its first n//4 + 1.
+4. Bound: let the first token that two sets share, of n and m >= n tokens, be at places i and j
+   (from 0). They share at most n - i and m - j tokens and, to link, need 3(n + m)/7. So m must be at
+   most (4n - 7i)/3, n at most (4m - 7j)/3, and the smaller set asks with its first n//7 + 1 tokens
+   only. Two groups that share a token and cannot satisfy this by any of their sizes stay closed; the
+   others are opened and their members held to it one by one.
+5. The pairs left are compared. Their links and those of 2 give the components.
 
 No link is lost: two classes are compared unless they are already in one group or provably too far
 apart. Group members are not compared pair by pair. Comparing is done in cells of one pivot and at
 most about ``CELL`` texts, so a large group is many cells.
 
-The order of tokens only steers the work. At most ``MOST_FREQUENT`` frequent shingles, those
-that repeat within some stretch of a task, are brought to the driver for it.
+The order of tokens only steers the work. How often each token occurs is counted over all documents
+(by 32 bits and more of its hash); at most ``MOST_FREQUENT`` frequent ones go through the driver.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from quarterdeck.llm.components import components
 from quarterdeck.llm.shingles import linked, mix, shingle_sets
 from quarterdeck.session import written
 
-ROUNDS, CELL, FREQUENT, MOST_FREQUENT, STRETCH = 4, 64, 16, 300_000, 2_000_000
+ROUNDS, CELL, FREQUENT, MOST_FREQUENT, STRETCH = 4, 64, 8, 400_000, 2_000_000
 SETS = "row long, doc_id long, n long, class long, " + ", ".join(
     f"key{r} long" for r in range(ROUNDS)) + ", prefix binary"
 
@@ -46,26 +47,55 @@ def _row() -> Column:
     return F.xxhash64("doc_id", utf8())
 
 
-def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, ascending, and the logarithm of how often they were seen."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _dealt(place: np.ndarray, buckets: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The buckets that occur in ``place`` and, for each, where."""
+    order = np.argsort(place, kind="stable")
+    ends = np.searchsorted(place[order], np.arange(buckets + 1))
+    used = np.flatnonzero(np.diff(ends))
+    return used, [order[ends[k]:ends[k + 1]] for k in used]
+
+
+def _frequent(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many bits of a token are dropped, the codes of frequent tokens, ascending, and the
+    logarithms of their counts. Tokens travel as blocks of 32 bits, the bucket's bits left out."""
+    split = max(10, (_partitions(docs) - 1).bit_length())
+    drop = 32 - split
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held: list[np.ndarray] = []
 
-        def repeats() -> dict:
-            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+        def blocks() -> dict:
+            codes = np.concatenate(held) >> np.uint64(drop)
             held.clear()
-            return {"token": tokens[n > 1].view(np.int64), "n": n[n > 1]}
+            used, places = _dealt((codes & np.uint64((1 << split) - 1)).astype(np.int64), 1 << split)
+            rest = (codes >> np.uint64(split)).astype(np.uint32)
+            return {"bucket": used, "codes": [rest[p].tobytes() for p in places]}
 
         for batch in batches:
             held += shingle_sets([t.as_py() for t in batch["utf8"]])
             if sum(map(len, held)) > STRETCH:
-                yield repeats()
+                yield blocks()
         if held:
-            yield repeats()
+            yield blocks()
 
-    found = written(arrow_map(docs.select(utf8().alias("utf8")), run, "token long, n long")
-                    .groupBy("token").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("bits"))
-                    .where(F.col("bits") >= int(np.log2(FREQUENT))), "frequent")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for bucket, codes in zip(batch["bucket"].to_pylist(), batch["codes"]):
+                held.setdefault(bucket, []).append(codes.as_py())
+        for bucket, parts in held.items():
+            codes, n = np.unique(np.frombuffer(b"".join(parts), np.uint32), return_counts=True)
+            often = n >= FREQUENT
+            yield {"code": (codes[often].astype(np.int64) << split) + bucket,
+                   "bits": np.log2(n[often]).astype(np.int32)}
+
+    blocks = arrow_map(docs.select(utf8().alias("utf8")), deal, "bucket int, codes binary")
+    found = written(arrow_map(blocks.repartition(_partitions(docs), "bucket"), count,
+                              "code long, bits int"), "frequent")
     least, total = 0, 0
     for bits, rows in sorted(map(tuple, found.groupBy("bits").count().collect()), reverse=True):
         total += rows
@@ -73,16 +103,17 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             least = bits + 1
             break
     rows = found.where(F.col("bits") >= least).collect()
-    tokens = np.array([r["token"] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(tokens)
-    return tokens[order], np.array([r["bits"] for r in rows], np.int8)[order]
+    codes = np.array([r["code"] for r in rows], np.uint64)
+    order = np.argsort(codes)
+    return drop, codes[order], np.array([r["bits"] for r in rows], np.int8)[order]
 
 
-def _prefix(tokens: np.ndarray, frequent: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def _prefix(tokens: np.ndarray, drop: int, frequent: np.ndarray, bits: np.ndarray) -> np.ndarray:
     wanted = len(tokens) // 4 + 1
     if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        rank = np.where(frequent[at] == tokens, bits[at], 0)
+        codes = tokens >> np.uint64(drop)
+        at = np.minimum(np.searchsorted(frequent, codes), len(frequent) - 1)
+        rank = np.where(frequent[at] == codes, bits[at], 0)
         if rank.any():
             return tokens[np.lexsort((tokens, rank))[:wanted]]
     return tokens[:wanted]
@@ -93,7 +124,7 @@ def shingled(docs: DataFrame) -> DataFrame:
     given = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        frequent, bits = given.value
+        order = given.value
         for batch in batches:
             sets = shingle_sets([t.as_py() for t in batch["utf8"]])
             out = {"row": batch["row"], "doc_id": batch["doc_id"], "n": [len(s) for s in sets]}
@@ -103,7 +134,7 @@ def shingled(docs: DataFrame) -> DataFrame:
                 salt = np.uint64(xxhash.xxh3_64_intdigest(b"%d" % r))
                 out[f"key{r}"] = [int(mix(s ^ salt).min().view(np.int64)) if len(s) else None
                                   for s in sets]
-            out["prefix"] = [_prefix(s, frequent, bits).tobytes() if len(s) else None for s in sets]
+            out["prefix"] = [_prefix(s, *order).tobytes() if len(s) else None for s in sets]
             yield out
 
     rows = docs.select(_row().alias("row"), "doc_id", utf8().alias("utf8"))
@@ -119,13 +150,15 @@ def _fits(n: Column, m: Column) -> Column:
 
 
 def _pivots(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b): a class and the pivot of one of its min-hashes, where the sizes fit."""
-    keys = classes.select("class", "n", F.posexplode(
+    """Pairs (a, b): a class and the smallest class with the same min-hash in its band of sizes
+    (a factor 4/3 wide, at another place in each round)."""
+    keys = (classes.select("class", "n", F.posexplode(
         F.array(*[f"key{r}" for r in range(ROUNDS)])).alias("round", "key"))
-    pivots = (keys.groupBy("round", "key")
-              .agg(F.min(F.struct("class", "n")).alias("pivot"), F.count("*").alias("rows"))
+        .withColumn("band", F.floor(F.log("n") / F.log(F.lit(4 / 3)) + F.col("round") / ROUNDS)))
+    pivots = (keys.groupBy("round", "key", "band")
+              .agg(F.min(F.struct("n", "class")).alias("pivot"), F.count("*").alias("rows"))
               .where("rows > 1"))
-    return (keys.join(pivots, ["round", "key"])
+    return (keys.join(pivots, ["round", "key", "band"])
             .where((F.col("class") != F.col("pivot.class")) & _fits(F.col("n"), F.col("pivot.n")))
             .select(F.col("class").alias("a"), F.col("pivot.class").alias("b")).distinct())
 
@@ -164,83 +197,73 @@ def _compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
 
 def _postings(sets: DataFrame) -> DataFrame:
-    """(token, class, n) of prefix tokens that more than one class has.
-
-    Tokens travel in blocks, one for each of the buckets into which a task deals its tokens.
-    """
-    buckets = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """(token, class, n, reach) of prefix tokens that more than one class has, where ``reach`` is the
+    most tokens of a set that may share this one first. Tokens travel in blocks by bucket."""
+    buckets = _partitions(sets)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             parts = [np.frombuffer(p.as_py(), np.uint64) for p in batch["prefix"]]
-            sizes = [len(p) for p in parts]
-            if not sum(sizes):
+            if not parts:
                 continue
+            sizes = [len(p) for p in parts]
             tokens = np.concatenate(parts)
-            owners = np.repeat(np.array(batch["class"].to_numpy(), np.int64), sizes)
-            lengths = np.repeat(np.array(batch["n"].to_numpy(), np.int32), sizes)
-            place = (tokens % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(place, kind="stable")
-            cuts = np.searchsorted(place[order], np.arange(buckets + 1))
-            pieces = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-            yield {"bucket": range(buckets), "tokens": [tokens[p].tobytes() for p in pieces],
-                   "owners": [owners[p].tobytes() for p in pieces],
-                   "lengths": [lengths[p].tobytes() for p in pieces]}
+            owners = np.repeat(batch["class"].to_numpy(), sizes)
+            lengths = np.repeat(batch["n"].to_numpy().astype(np.int32), sizes)
+            places = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
+            used, at = _dealt((tokens % np.uint64(buckets)).astype(np.int64), buckets)
+            yield {"bucket": used} | {name: [column[p].tobytes() for p in at] for name, column in
+                                      zip(names, (tokens, owners, lengths, places))}
+
+    names = ("tokens", "owners", "lengths", "places")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         blocks = [b for b in batches if len(b)]
         if not blocks:
             return
-        tokens, owners, lengths = (
+        tokens, owners, lengths, places = (
             np.frombuffer(b"".join(x.as_py() for b in blocks for x in b[name]), kind)
-            for name, kind in (("tokens", np.uint64), ("owners", np.int64), ("lengths", np.int32)))
+            for name, kind in zip(names, (np.uint64, np.int64, np.int32, np.int32)))
         order = np.lexsort((owners, tokens))
-        tokens, owners, lengths = tokens[order], owners[order], lengths[order]
-        new_token = np.append(True, tokens[1:] != tokens[:-1])
-        kept = new_token | np.append(True, owners[1:] != owners[:-1])
-        tokens, owners, lengths = tokens[kept], owners[kept], lengths[kept]
-        _, at, n = np.unique(tokens, return_inverse=True, return_counts=True)
-        shared = n[at] > 1
-        for start in range(0, max(1, shared.sum()), 100_000):
-            some = np.flatnonzero(shared)[start:start + 100_000]
-            yield {"token": tokens[some].view(np.int64), "class": owners[some], "n": lengths[some]}
+        tokens, owners, lengths, places = (
+            x[order] for x in (tokens, owners, lengths, places))
+        kept = np.append(True, (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1]))
+        tokens, owners, lengths, places = (x[kept] for x in (tokens, owners, lengths, places))
+        first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+        several = np.diff(np.append(first, len(tokens)))
+        asked = np.add.reduceat((7 * places <= lengths).astype(np.int64), first) > 0
+        shared = np.flatnonzero(np.repeat((several > 1) & asked, several))
+        for start in range(0, max(1, len(shared)), 100_000):
+            some = shared[start:start + 100_000]
+            yield {"token": tokens[some].view(np.int64), "class": owners[some], "n": lengths[some],
+                   "reach": (4 * lengths[some] - 7 * places[some]) // 3}
 
     dealt = arrow_map(sets.where("n > 0").select("class", "n", "prefix"), deal,
-                      "bucket int, tokens binary, owners binary, lengths binary")
-    return arrow_map(dealt.repartition(buckets, "bucket"), meet, "token long, class long, n long")
-
-
-def _bound(n: Column, m: Column) -> Column:
-    return 3 * (n + m) / 7 - 0.75 * F.greatest(n, m) + 0.25
-
-
-def _opened(postings: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) still to compare: a class and the fitting members of the groups it may link to.
-    Of two groups the classes of the smaller one ask (of equal ones, the one of the lesser name)."""
-    members = (classes.select("class", "n")
-               .join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
-               .withColumn("component", F.coalesce("component", "class")))
-    members = written(members, "members")
-    sizes = members.groupBy("component").agg(F.count("*").alias("size"), F.min("n").alias("low"),
-                                             F.max("n").alias("high"))
-    known = postings.join(members.drop("n").join(sizes, "component"), "class")
-    several = (known.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-               .where("x <> y").select("token"))
-    known = known.join(several, "token")
-    matrix = known.select("token", F.struct("size", "component").alias("group"), "low",
-                          "high").distinct()
-    asked = known.select("token", "class", "n", F.struct("size", "component").alias("own"))
-    n = F.col("n")
-    low = F.greatest("low", F.ceil(0.75 * n))
-    high = F.least("high", F.floor(n / 0.75))
-    held = (asked.join(matrix, "token").where((F.col("own") < F.col("group")) & (low <= high))
-            .groupBy("class", "n", F.col("group.component").alias("component"), "low", "high")
-            .agg(F.count("*").alias("c"))
-            .where(F.col("c") >= F.least(_bound(n, low), _bound(n, high))))
-    inside = members.select("component", F.col("class").alias("b"), F.col("n").alias("m"))
-    return (held.join(inside, "component")
-            .where(_fits(n, F.col("m")) & (F.col("c") >= _bound(n, F.col("m"))))
-            .select(F.col("class").alias("a"), "b"))
+                      "bucket int, tokens binary, owners binary, lengths binary, places binary")
+    return arrow_map(dealt.repartition(buckets, "bucket"), meet,
+                     "token long, class long, n long, reach long")
+
+
+def _opened(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (a, b) still to compare, a the smaller one: classes of different groups that may link."""
+    known = written(
+        postings.join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
+        .withColumn("group", F.coalesce("component", "class")).drop("component"), "postings")
+    small = known.where("n <= reach")  # 7 i <= n: these ask
+    asking = small.groupBy("token", F.col("group").alias("x")).agg(
+        F.min("n").alias("x_low"), F.max("reach").alias("x_reach"))
+    matrix = known.groupBy("token", F.col("group").alias("y")).agg(
+        F.min("n").alias("y_low"), F.max("n").alias("y_high"), F.max("reach").alias("y_reach"))
+    opened = asking.join(matrix, "token").where(
+        "x <> y AND y_low <= x_reach AND x_low <= y_reach AND x_low <= y_high")
+    askers = small.select("token", F.col("group").alias("x"), F.col("class").alias("a"),
+                          F.col("n").alias("a_n"), F.col("reach").alias("a_reach"))
+    members = known.select("token", F.col("group").alias("y"), F.col("class").alias("b"),
+                           F.col("n").alias("b_n"), F.col("reach").alias("b_reach"))
+    return (opened.select("token", "x", "y").join(askers, ["token", "x"])
+            .join(members, ["token", "y"])
+            .where("b_n <= a_reach AND a_n <= b_reach AND (a_n < b_n OR a_n = b_n AND a < b)")
+            .select("a", "b").distinct())
 
 
 def components_of(docs: DataFrame) -> DataFrame:
@@ -256,7 +279,7 @@ def components_of(docs: DataFrame) -> DataFrame:
              *[F.first(f"key{r}").alias(f"key{r}") for r in range(ROUNDS)]), "classes")
     near = written(_compare(_pivots(classes), classes, docs), "near")
     groups = components(near)
-    far = _compare(_opened(_postings(sets), groups, classes), classes, docs)
+    far = _compare(_opened(_postings(sets), groups), classes, docs)
     whole = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
                        .unionByName(far))
     return (sets.select("row", "doc_id", F.col("n").alias("n_shingles"), "class")
