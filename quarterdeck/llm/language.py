@@ -48,6 +48,23 @@ class Pieces:
         self.known |= {p: k for k, p in enumerate(pieces)}
         self.other = len(pieces)  # stands for a letter that is no piece
 
+    def packed(self, word: str, row: int) -> list[int]:
+        """``within`` for a short word as numbers that sort by end, then row: 8 bits for the end,
+        20 for the row, 8 for the start, 20 for the piece."""
+        word, found, get, base = START + word, [], self.known.get, row << 28
+        n = len(word)
+        for i in range(n):
+            k = get(word[i], -1)
+            here = base | i << 20
+            found.append((i + 1) << 48 | here | (k if k >= 0 else self.other))
+            for j in range(i + 2, n + 1):
+                k = get(word[i:j])
+                if k is None:
+                    break
+                if k >= 0:
+                    found.append(j << 48 | here | k)
+        return found
+
     def within(self, word: str) -> list[tuple[int, int, int]]:
         """(start, end, piece) for every piece in the marked word and every unknown letter."""
         word, found, known = START + word, [], self.known
@@ -71,6 +88,7 @@ class LanguageModel:
         self.languages, self.pieces, self.chances = languages, Pieces(pieces), chances
         self.place: dict[str, int] = {}
         self.logs = np.zeros((1024, len(languages)))
+        self.old: tuple[dict[str, int], np.ndarray] = ({}, self.logs)
 
     def _long(self, word: str) -> np.ndarray:
         ends: dict[int, list[tuple[int, int]]] = {}
@@ -90,37 +108,50 @@ class LanguageModel:
 
     def _short(self, words: list[str]) -> np.ndarray:
         """All words at once, position by position."""
-        hits = np.array([(j, r, i, k) for r, w in enumerate(words)
-                         for i, j, k in self.pieces.within(w)], np.int32)
-        hits = hits[np.lexsort((hits[:, 1], hits[:, 0]))]
-        longest = hits[-1, 0]
+        hits = []
+        for row, word in enumerate(words):
+            hits += self.pieces.packed(word, row)
+        hits = np.sort(np.array(hits, np.int64))
+        ends, rows = hits >> 48, hits >> 28 & 0xFFFFF
+        starts, pieces = hits >> 20 & 0xFF, hits & 0xFFFFF
+        longest = int(ends[-1])
         alpha = np.zeros((longest + 1, len(words), len(self.languages)))
         alpha[0] = 1
-        bounds = np.searchsorted(hits[:, 0], np.arange(1, longest + 2))
+        bounds = np.searchsorted(ends, np.arange(1, longest + 2))
         for j in range(1, longest + 1):
-            _, row, start, piece = hits[bounds[j - 1]:bounds[j]].T
+            own = slice(bounds[j - 1], bounds[j])
+            row, start, piece = rows[own], starts[own], pieces[own]
             first = np.flatnonzero(np.diff(row, prepend=-1))
             alpha[j, row[first]] = np.add.reduceat(alpha[start, row] * self.chances[piece], first)
         return np.log(alpha[[len(w) + 1 for w in words], np.arange(len(words))])
 
     def learn(self, words: set[str]) -> None:
-        """Remember the log-likelihoods of these words; forget all others when there are many."""
+        """Remember the log-likelihoods of these words. When there are many, those not met since
+        the last time are forgotten."""
         if len(self.place) > KEPT_WORDS:
-            self.place = {}
+            self.old, self.place = (self.place, self.logs), {}
+            self.logs = np.zeros((KEPT_WORDS + 1024, len(self.languages)))
         new = [w for w in words if w not in self.place]
+        if new and self.old[0]:
+            place, logs = self.old
+            again = [w for w in new if w in place]
+            if again:
+                self._put(again, logs[[place[w] for w in again]])
+                new = [w for w in new if w not in place]
         for start in range(0, len(new), 5000):
             some = sorted(new[start:start + 5000], key=len)
             short = [w for w in some if len(w) <= SHORT]
-            parts = ([self._short(short)] if short else []) + [
-                self._long(w)[None] for w in some[len(short):]]
-            at = len(self.place)
-            logs = np.concatenate(parts)
-            if at + len(logs) > len(self.logs):
-                grown = np.zeros((2 * (at + len(logs)), len(self.languages)))
-                grown[:at] = self.logs[:at]
-                self.logs = grown
-            self.logs[at:at + len(logs)] = logs
-            self.place.update(zip(some, range(at, at + len(some))))
+            self._put(some, np.concatenate(([self._short(short)] if short else []) + [
+                self._long(w)[None] for w in some[len(short):]]))
+
+    def _put(self, words: list[str], logs: np.ndarray) -> None:
+        at = len(self.place)
+        if at + len(logs) > len(self.logs):
+            grown = np.zeros((2 * (at + len(logs)), len(self.languages)))
+            grown[:at] = self.logs[:at]
+            self.logs = grown
+        self.logs[at:at + len(logs)] = logs
+        self.place.update(zip(words, range(at, at + len(words))))
 
     def text(self, words: list[str]) -> np.ndarray:
         """Sum of the words' log-likelihoods, by language; the words must be learnt."""
@@ -159,10 +190,15 @@ def train(docs: DataFrame, path: str, smoothing: float = 0.5) -> LanguageModel:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         lookup, totals = Pieces(pieces), {}
         for batch in batches:
+            found: dict[str, tuple[list[int], list[int]]] = {}
             for lang, word, n in zip(*(batch[c].to_pylist() for c in ("lang", "word", "n"))):
+                ids, times = found.setdefault(lang, ([], []))
+                inside = lookup.packed(word, 0)
+                ids += inside
+                times += [n] * len(inside)
+            for lang, (ids, times) in found.items():
                 total = totals.setdefault(lang, np.zeros(len(pieces) + 1, np.int64))
-                for _, _, k in lookup.within(word):
-                    total[k] += n
+                np.add.at(total, [k & 0xFFFFF for k in ids], times)
         for lang, total in totals.items():
             used = np.flatnonzero(total)
             yield {"lang": [lang] * len(used), "piece": used, "n": total[used]}
