@@ -93,7 +93,7 @@ def portfolio_values(picks: DataFrame, panel: DataFrame, start: int, end: int, h
                            F.lit(float(cash)).alias("value"))
     inside = picks.where(F.col(Q_ORD).between(start, end))
     # Picks and cohort growth are tiny but stem from the whole panel: each is computed once.
-    weighted = written(add_weights(inside, allocation, picks_per_quarter).select(
+    weighted = written(add_weights(inside, allocation).select(
         Q_ORD, ENTITY, "weight"), "picks")
     cohorts = live_cohorts(weighted, start, end)
     bounded = picks_per_quarter * hold * (end - start + 1) <= BROADCAST_ROWS

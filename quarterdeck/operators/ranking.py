@@ -38,31 +38,35 @@ def top_n_per_quarter(df: DataFrame, n: int, score: str) -> DataFrame:
     return ranked.where(F.col("rank") <= n)
 
 
-def _equal(rank: Column, n: Column, most: int) -> Column:
+def _equal(rank: Column, n: Column) -> Column:
     return F.lit(1.0) / n
 
 
-def _fibonacci(rank: Column, n: Column, most: int) -> Column:
-    terms = [1.0, 1.0]
-    while len(terms) < most:
-        terms.append(terms[-1] + terms[-2])
-    terms = terms[:most]
-    sums = [sum(terms[:i + 1]) for i in range(most)]
-    term = F.element_at(F.array(*map(F.lit, terms)), (n - rank + 1).cast("int"))
-    return term / F.element_at(F.array(*map(F.lit, sums)), n.cast("int"))
+def _term(k: Column) -> Column:
+    """The k-th Fibonacci number, folded up from 0 and 1 for any k."""
+    return F.aggregate(
+        F.sequence(F.lit(1).cast("long"), k.cast("long")),
+        F.struct(F.lit(0.0).alias("now"), F.lit(1.0).alias("next")),
+        lambda pair, _: F.struct(pair["next"].alias("now"),
+                                 (pair["now"] + pair["next"]).alias("next")),
+        lambda pair: pair["now"])
 
 
-ALLOCATIONS: dict[str, Callable[[Column, Column, int], Column]] = {
+def _fibonacci(rank: Column, n: Column) -> Column:
+    return _term(n - rank + 1) / (_term(n + 2) - 1)  # the first n terms add up to this
+
+
+ALLOCATIONS: dict[str, Callable[[Column, Column], Column]] = {
     "equal": _equal,
     "fibonacci": _fibonacci,
 }
 
 
-def add_weights(picks: DataFrame, allocation: str = "equal", most: int = 21) -> DataFrame:
-    """Share of a quarter's cash for each of its ranked picks; the best pick of the Fibonacci
-    scheme gets the largest term. ``most`` is the largest number of picks in a quarter."""
+def add_weights(picks: DataFrame, allocation: str = "equal") -> DataFrame:
+    """Share of a quarter's cash for each of its ranked picks, however many they are; the best
+    pick of the Fibonacci scheme gets the largest term."""
     if allocation.lower() not in ALLOCATIONS:
         raise ValueError(f"unknown allocation {allocation!r}")
     count = F.count(F.lit(1)).over(Window.partitionBy(Q_ORD))
-    share = ALLOCATIONS[allocation.lower()](F.col("rank"), F.col("__n"), most)
+    share = ALLOCATIONS[allocation.lower()](F.col("rank"), F.col("__n"))
     return picks.withColumn("__n", count).withColumn("weight", share).drop("__n")

@@ -76,7 +76,8 @@ def label_windows(windows: DataFrame) -> DataFrame:
 
 def _firm_means(recs: DataFrame, bucket: Column, keys: Sequence[str],
                 scores: Mapping[str, int]) -> DataFrame:
-    return (recs.groupBy(*keys, bucket.alias("bucket"),
+    """Mean score by firm; a rating without a firm counts for none, as in a grouping by firm."""
+    return (recs.where(F.col("firm").isNotNull()).groupBy(*keys, bucket.alias("bucket"),
                          without_blanks(F.col("firm")).alias("firm"))
             .agg(F.avg(grade_score(F.col("grade"), scores)).alias("score")))
 

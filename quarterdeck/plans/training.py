@@ -191,6 +191,10 @@ def fit(features: DataFrame, settings: Settings = Settings(), quarter: int | Non
     steps = FeatureSteps(train, settings)
     build = MODELS[settings.model] if isinstance(settings.model, str) else settings.model
     model = build(settings)
+    if model.hasParam("maxBins") and steps.text and not settings.one_hot_encode:
+        # Trees need a bin for every category, and one for unseen values.
+        most = max(train.agg(*[F.count_distinct(quoted(c)) for c in steps.text]).first())
+        model.set(model.maxBins, max(model.getOrDefault(model.maxBins), most + 2))
     uses_held_out = (model.hasParam("validationIndicatorCol")
                      and model.isDefined("validationIndicatorCol"))
     pipeline = Pipeline(stages=[*steps.stages, model]).fit(marked if uses_held_out else train)

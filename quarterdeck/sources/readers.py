@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quarterdeck.functions.cells import entity_from_path
 from quarterdeck.sources.schemas import ARCHIVE_SCHEMA
@@ -25,15 +25,36 @@ def entities(df: DataFrame) -> DataFrame:
 def read_archive(spark: SparkSession, folder: str, schema: StructType = ARCHIVE_SCHEMA,
                  entity_pattern: str = FILE_NAME_PATTERN, missing: str = "None") -> DataFrame:
     """All CSV files below a folder in one scan. The first, unnamed column is a row number and is
-    dropped; the entity is part of the path; ``missing`` stands for no value."""
-    numbered = StructType([StructField("__row", IntegerType()), *schema.fields])
+    dropped; the entity is part of the path; ``missing`` stands for no value.
+
+    No cell is lost: a whole number may be written as ``5.0`` or ``1e9``; any other cell that does
+    not fit its column's type, and a file whose name does not hold an entity, ends the read.
+    """
+    numbered = StructType([StructField("__row", StringType()),
+                           *[StructField(f.name, StringType()) for f in schema.fields]])
     files = (spark.read.schema(numbered).option("header", True).option("nullValue", missing)
              .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
              .option("enforceSchema", True).csv(folder))
     # The path is URL-encoded, in which a plus sign stands for itself.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return files.select(entity_from_path(path, entity_pattern).alias("entity"),
-                        *[F.col(c) for c in schema.fieldNames()])
+    entity = entity_from_path(path, entity_pattern)
+    named = F.when(entity != "", entity).otherwise(
+        F.raise_error(F.concat(F.lit("no entity in the file name "), path)))
+    return files.select(named.alias("entity"),
+                        *[_cell(f.name, f.dataType.simpleString()).alias(f.name)
+                          for f in schema.fields])
+
+
+def _cell(name: str, kind: str) -> Column:
+    """The text as its type; a whole number also in a notation with a point or an exponent."""
+    text = F.trim(F.col(name))
+    value = text.try_cast(kind)
+    if kind in ("bigint", "int"):
+        number = text.try_cast("decimal(38,10)")
+        number = F.coalesce(number, text.try_cast("double").try_cast("decimal(38,10)"))
+        value = F.when(number == F.floor(number), number.try_cast(kind))
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is not a {kind}: "), text))
+    return F.when(F.col(name).isNull(), None).otherwise(F.coalesce(value, wrong))
 
 
 # Dimension file columns.

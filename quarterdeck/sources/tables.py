@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions.cells import plain_name
 from quarterdeck.functions.names import ENTITY, KEY
-from quarterdeck.operators.merging import except_key, union_by_name
+from quarterdeck.operators.merging import except_key, keep_one, union_by_name
 from quarterdeck.session import fresh_path, written
+from quarterdeck.sources.schemas import duplicate_keys
 
 PARTITION = "fy"
 
@@ -68,11 +69,20 @@ def _has_rows(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY) -> None:
+def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY,
+                 order: str | None = None) -> None:
     """Merge a batch into the stored table, which need not exist yet. Only the years in the batch
-    are read and replaced; running the same batch again changes nothing."""
+    are read and replaced; running the same batch again changes nothing.
+
+    With ``order``, the row with the largest value in that column stays of each key, whether it is
+    stored or new (of equal ones the new one). Without it a key may be only once in the batch.
+    """
     spark = batch.sparkSession
+    if order is not None:
+        batch = keep_one(batch, key, [F.col(order).desc_nulls_last()])
     batch = written(batch, "batch")
+    if order is None and not duplicate_keys(batch, key).isEmpty():
+        raise ValueError(f"a key of {list(key)} is in the batch more than once; name an order")
     years = [r[0] for r in batch.select(PARTITION).distinct().collect()]
     if not years:
         return
@@ -81,5 +91,12 @@ def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY) -> None:
         return
     touched = stored(spark, path).where(F.col(PARTITION).isin(*years))
     staged = fresh_path(spark, "upsert")
-    _write(merge_rows(touched, batch, key), staged, "overwrite")
+    if order is None:
+        merged = merge_rows(touched, batch, key)
+    else:
+        both = batch.withColumn("__new", F.lit(1)).unionByName(
+            touched.withColumn("__new", F.lit(0)), allowMissingColumns=True)
+        merged = keep_one(both, key, [F.col(order).desc_nulls_last(),
+                                      F.col("__new").desc()]).drop("__new")
+    _write(merged, staged, "overwrite")
     _write(stored(spark, staged), path, "overwrite")

@@ -5,21 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarterdeck.functions.names import KEY
-from quarterdeck.operators.merging import keep_one
 from quarterdeck.sources.tables import upsert_table
 
 
 def stream_upsert(facts: DataFrame, path: str, checkpoint: str, order: str,
                   key: Sequence[str] = KEY) -> StreamingQuery:
-    """Merge each micro-batch into the table at ``path``; within a batch the row with the largest
-    ``order`` wins. A batch that is delivered twice leaves the same table."""
+    """Merge each micro-batch into the table at ``path``; the row with the largest ``order`` wins,
+    in whichever batch it comes. A batch that is delivered twice leaves the same table."""
     def merge(batch: DataFrame, batch_id: int) -> None:
-        newest = keep_one(batch, key, [F.col(order).desc()])
-        upsert_table(newest, path, key)
+        upsert_table(batch, path, key, order)
 
     return (facts.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

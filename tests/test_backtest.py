@@ -109,7 +109,7 @@ def test_weights(spark):
     picks = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "c", 3), (2, "a", 1)],
                                   "q_ord int, entity string, rank int")
     done = {(r.q_ord, r["rank"]): r.weight
-            for r in ranking.add_weights(picks, "Fibonacci", 30).collect()}
+            for r in ranking.add_weights(picks, "Fibonacci").collect()}
     assert done == {(1, 1): 0.5, (1, 2): 0.25, (1, 3): 0.25, (2, 1): 1.0}
     with pytest.raises(ValueError):
         ranking.add_weights(picks, "random")
@@ -136,3 +136,12 @@ def test_top_of_a_crowded_quarter(spark, n):
         spark.conf.set(limit, before)
     assert {(r.q_ord, r.entity, r["rank"]) for r in done} == meant
     assert [r.score for r in ranking.top_n(df, 2, "score").collect()] == [499.0, 499.0]
+
+
+def test_fibonacci_weights_of_many_picks(spark):
+    picks = spark.range(1, 51).selectExpr("1 AS q_ord", "CAST(id AS INT) AS rank")
+    terms = [1, 1]
+    while len(terms) < 50:
+        terms.append(terms[-1] + terms[-2])
+    found = {r.rank: r.weight for r in ranking.add_weights(picks, "fibonacci").collect()}
+    assert found == {k + 1: terms[49 - k] / sum(terms) for k in range(50)}

@@ -8,6 +8,9 @@ from quarterdeck.operators.metrics import count_rows
 from quarterdeck.plans import loading
 from quarterdeck.sources import readers, schemas, tables
 from quarterdeck.streaming.rollup import stream_price_rollup
+from pyspark.sql.types import StructType
+
+from quarterdeck.sources.readers import read_archive
 from quarterdeck.streaming.upsert import stream_upsert
 from quarterdeck.operators.rollups import price_rollup
 
@@ -174,6 +177,39 @@ def test_stream_upsert_over_several_batches(spark, tmp_path):
         assert found == ({("a", 2.0)} if number == 0 else {("a", 3.0), ("b", 4.0)})
 
 
+def test_stream_upsert_keeps_the_largest_order_whatever_the_batch(spark, tmp_path):
+    source, path = str(tmp_path / "in"), session.fresh_path(spark, "late")
+    for row in [("a", 8080, 5.0, 2020, 5), ("a", 8080, 3.0, 2020, 3), ("a", 8080, 4.0, 2020, 4)]:
+        batch = frame(spark, [row], ", n int")
+        batch.coalesce(1).write.mode("append").parquet(source)
+        facts = spark.readStream.schema(batch.schema).parquet(source)
+        stream_upsert(facts, path, str(tmp_path / "state"), "n").awaitTermination()
+        assert [r.x for r in tables.stored(spark, path).collect()] == [5.0]
+
+
+def test_upsert_refuses_two_rows_of_a_key(spark):
+    twice = frame(spark, [("a", 8080, 1.0, 2020), ("a", 8080, 2.0, 2020)])
+    with pytest.raises(ValueError):
+        tables.upsert_table(twice, session.fresh_path(spark, "twice"))
+
+
+@pytest.mark.parametrize("cell, meant", [("5.0", 5), ("1e9", 10**9), ("None", None),
+                                         ("9007199254740993", 9007199254740993),
+                                         ("5.5", ValueError), ("x", ValueError)])
+def test_archive_cells_are_never_lost(spark, tmp_path, cell, meant):
+    (tmp_path / "some_X.csv").write_text(f",Shares,Price\n0,{cell},1.5\n")
+    rows = read_archive(spark, str(tmp_path), StructType.fromDDL("Shares long, Price double"))
+    if meant is ValueError:
+        with pytest.raises(Exception, match="Shares is not a bigint"):
+            rows.collect()
+    else:
+        assert [tuple(r) for r in rows.collect()] == [("X", meant, 1.5)]
+    (tmp_path / "noentity.csv").write_text(",Shares,Price\n0,1,1\n")
+    with pytest.raises(Exception):
+        rows.collect()
+        read_archive(spark, str(tmp_path), StructType.fromDDL("Shares long, Price double")).collect()
+
+
 class FakeSession:
     """A session that only knows its settings."""
 

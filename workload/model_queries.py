@@ -218,14 +218,14 @@ _FIB_TERM = "[1, 1, 2, 3, 5, 8, 13][n - rank + 1] / list_sum([1, 1, 2, 3, 5, 8,
 @query("allocation_equal", _ALLOCATION.format(share="1.0 / n"),
        changed=_CHANGED.format("facts"), top=_TOP)
 def allocation_equal(spark, sf_dir):
-    weighted = ranking.add_weights(_picks(_changed(views.facts(spark, sf_dir))), "equal", 7)
+    weighted = ranking.add_weights(_picks(_changed(views.facts(spark, sf_dir))), "equal")
     return weighted.select(*KEY, "rank", F.round("weight", 9).alias("weight"))
 
 
 @query("allocation_fibonacci", _ALLOCATION.format(share=_FIB_TERM),
        changed=_CHANGED.format("facts"), top=_TOP)
 def allocation_fibonacci(spark, sf_dir):
-    weighted = ranking.add_weights(_picks(_changed(views.facts(spark, sf_dir))), "fibonacci", 7)
+    weighted = ranking.add_weights(_picks(_changed(views.facts(spark, sf_dir))), "fibonacci")
     return weighted.select(*KEY, "rank", F.round("weight", 9).alias("weight"))
 
 
@@ -301,7 +301,7 @@ def cohort_values(spark, sf_dir):
     changed = _changed(views.facts(spark, sf_dir))
     picks = _picks(changed).where(F.col("q_ord").between(_START, _END))
     cohorts = backtest.live_cohorts(picks, _START, _END)
-    paths = backtest.holding_paths(ranking.add_weights(picks, "equal", 7), changed, cohorts,
+    paths = backtest.holding_paths(ranking.add_weights(picks, "equal"), changed, cohorts,
                                    _HOLD, True)
     return paths.select("cohort", "entity", "age", F.round("growth", 6).alias("growth"))
 
