@@ -145,3 +145,12 @@ def test_recommendation_and_walk_forward(spark, features):
         1000.0, 1050.0, 1155.0, 1270.5, 1397.55]
     # Without rows to learn from nothing is bought.
     assert walk.walk_forward_picks(features, 100, 103, settings).isEmpty()
+
+
+def test_trees_take_more_categories_than_the_default_bins(spark):
+    rows = spark.range(400).selectExpr(
+        "concat('e', id) AS entity", "8080 AS q_ord", "CAST(2020 AS INT) AS fy",
+        "concat('industry ', id % 60) AS Industry", "CAST(id AS DOUBLE) AS x",
+        "10.0D AS PriceAvg", "CAST(id % 60 AS DOUBLE) AS goal")
+    settings = Settings(target="goal", model="shallow_trees", n_estimators=2, one_hot_encode=False)
+    assert training.fit(rows, settings).scored.count() > 0
