@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +31,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables. Python workers learn where this package lies, for a session that was
+    started elsewhere; on a cluster it is installed or sent with the job."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = known.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
