@@ -12,7 +12,9 @@ Two texts link when their sets of 5-word shingles have a Jaccard similarity of 0
    most (4n - 7i)/3, n at most (4m - 7j)/3, and the smaller set asks with its first n//7 + 1 tokens
    only. Two groups that share a token and cannot satisfy this by any of their sizes stay closed; the
    others are opened and their members held to it one by one.
-5. The pairs left are compared. Their links and those of 2 give the components.
+5. Where many classes share a token, a few of them speak for it: the others are compared with these
+   first. Groups linked so are joined, in ``SPOKEN`` turns, and are not opened to each other. Then
+   all the pairs left are compared. All links give the components.
 
 No link is lost: two classes are compared unless they are already in one group or provably too far
 apart. Group members are not compared pair by pair. Comparing is done in cells of one pivot and at
@@ -38,6 +40,8 @@ from quarterdeck.llm.shingles import linked, mix, shingle_sets
 from quarterdeck.session import written
 
 ROUNDS, CELL, FREQUENT, MOST_FREQUENT, STRETCH = 4, 64, 8, 400_000, 2_000_000
+SPOKEN, HEADS = 2, 8  # turns, and classes in each of them, that speak for a token
+STEPS = 16  # ranks of frequent tokens to a doubling of their counts
 SETS = "row long, doc_id long, n long, class long, " + ", ".join(
     f"key{r} long" for r in range(ROUNDS)) + ", prefix binary"
 
@@ -60,8 +64,9 @@ def _dealt(place: np.ndarray, buckets: int) -> tuple[np.ndarray, list[np.ndarray
 
 
 def _frequent(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
-    """How many bits of a token are dropped, the codes of frequent tokens, ascending, and the
-    logarithms of their counts. Tokens travel as blocks of 32 bits, the bucket's bits left out."""
+    """How many bits of a token are dropped, the codes of frequent tokens, ascending, and their
+    ranks, ``STEPS`` to a doubling of the count. Tokens travel as blocks of 32 bits, the bucket's bits
+    left out."""
     split = max(10, (_partitions(docs) - 1).bit_length())
     drop = 32 - split
 
@@ -91,29 +96,29 @@ def _frequent(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
             codes, n = np.unique(np.frombuffer(b"".join(parts), np.uint32), return_counts=True)
             often = n >= FREQUENT
             yield {"code": (codes[often].astype(np.int64) << split) + bucket,
-                   "bits": np.log2(n[often]).astype(np.int32)}
+                   "rank": (STEPS * np.log2(n[often])).astype(np.int32)}
 
     blocks = arrow_map(docs.select(utf8().alias("utf8")), deal, "bucket int, codes binary")
     found = written(arrow_map(blocks.repartition(_partitions(docs), "bucket"), count,
-                              "code long, bits int"), "frequent")
+                              "code long, rank int"), "frequent")
     least, total = 0, 0
-    for bits, rows in sorted(map(tuple, found.groupBy("bits").count().collect()), reverse=True):
+    for rank, rows in sorted(map(tuple, found.groupBy("rank").count().collect()), reverse=True):
         total += rows
         if total > MOST_FREQUENT:
-            least = bits + 1
+            least = rank + 1
             break
-    rows = found.where(F.col("bits") >= least).collect()
+    rows = found.where(F.col("rank") >= least).collect()
     codes = np.array([r["code"] for r in rows], np.uint64)
     order = np.argsort(codes)
-    return drop, codes[order], np.array([r["bits"] for r in rows], np.int8)[order]
+    return drop, codes[order], np.array([r["rank"] for r in rows], np.int16)[order]
 
 
-def _prefix(tokens: np.ndarray, drop: int, frequent: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def _prefix(tokens: np.ndarray, drop: int, frequent: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     wanted = len(tokens) // 4 + 1
     if len(frequent):
         codes = tokens >> np.uint64(drop)
         at = np.minimum(np.searchsorted(frequent, codes), len(frequent) - 1)
-        rank = np.where(frequent[at] == codes, bits[at], 0)
+        rank = np.where(frequent[at] == codes, ranks[at], 0)
         if rank.any():
             return tokens[np.lexsort((tokens, rank))[:wanted]]
     return tokens[:wanted]
@@ -244,28 +249,62 @@ def _postings(sets: DataFrame) -> DataFrame:
                      "token long, class long, n long, reach long")
 
 
-def _opened(postings: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (a, b) still to compare, a the smaller one: classes of different groups that may link."""
-    known = written(
+def _placed(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """The postings with the group of each class; a class without links is its own group."""
+    return written(
         postings.join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
         .withColumn("group", F.coalesce("component", "class")).drop("component"), "postings")
-    small = known.where("n <= reach")  # 7 i <= n: these ask
-    asking = small.groupBy("token", F.col("group").alias("x")).agg(
-        F.min("n").alias("x_low"), F.max("reach").alias("x_reach"))
-    matrix = known.groupBy("token", F.col("group").alias("y")).agg(
-        F.min("n").alias("y_low"), F.max("n").alias("y_high"), F.max("reach").alias("y_reach"))
-    opened = asking.join(matrix, "token").where(
-        "x <> y AND y_low <= x_reach AND x_low <= y_reach AND x_low <= y_high")
-    askers = small.select("token", F.col("group").alias("x"), F.col("class").alias("a"),
-                          F.col("n").alias("a_n"), F.col("reach").alias("a_reach"))
+
+
+def _matrix(known: DataFrame) -> DataFrame:
+    """(token, x, y) where groups x and y both hold the token, x asks, and some members may link;
+    with a member of each. Sizes are compared with the class as a tie-break, as members are."""
+    sized = F.struct("n", "class")
+    asking = known.where("n <= reach").groupBy("token", F.col("group").alias("x")).agg(
+        F.min(sized).alias("x_low"), F.max("reach").alias("x_reach"))
+    held = known.groupBy("token", F.col("group").alias("y")).agg(
+        F.min(sized).alias("y_low"), F.max(sized).alias("y_high"), F.max("reach").alias("y_reach"))
+    return asking.join(held, "token").where(
+        "x <> y AND y_low.n <= x_reach AND x_low.n <= y_reach AND x_low < y_high")
+
+
+def _spokesmen(known: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of classes of different groups: b is one of ``HEADS`` classes, drawn anew in each
+    turn, that speak for a token and a band of sizes, and a another class there. Tokens with few
+    classes need none; all they open is compared later."""
+    draw = F.xxhash64(F.lit(turn), "class")
+    banded = known.withColumn("band", F.floor(
+        F.log("n") / F.log(F.lit(4 / 3)) + F.lit(turn / SPOKEN)))
+    heads = (banded.groupBy("token", "band", F.pmod(draw, F.lit(HEADS)).alias("slot"))
+             .agg(F.min(F.struct(draw.alias("draw"), "class", "n", "reach", "group")).alias("head"),
+                  F.count("*").alias("rows"))
+             .groupBy("token", "band")
+             .agg(F.collect_list("head").alias("heads"), F.sum("rows").alias("rows"))
+             .where(F.col("rows") > HEADS).select("token", "band", F.explode("heads").alias("head")))
+    return (banded.join(heads, ["token", "band"])
+            .where("`group` <> head.group AND n <= head.reach AND head.n <= reach")
+            .select(F.col("class").alias("a"), F.col("head.class").alias("b")).distinct())
+
+
+def _opened(known: DataFrame) -> DataFrame:
+    """Pairs (a, b) still to compare, a the smaller one: classes of different groups that may link."""
+    askers = known.where("n <= reach").select(
+        "token", F.col("group").alias("x"), F.col("class").alias("a"), F.col("n").alias("a_n"),
+        F.col("reach").alias("a_reach"))
     members = known.select("token", F.col("group").alias("y"), F.col("class").alias("b"),
                            F.col("n").alias("b_n"), F.col("reach").alias("b_reach"))
-    return (opened.select("token", "x", "y").join(askers, ["token", "x"])
+    return (_matrix(known).select("token", "x", "y").join(askers, ["token", "x"])
             .join(members, ["token", "y"])
             .where("b_n <= a_reach AND a_n <= b_reach AND (a_n < b_n OR a_n = b_n AND a < b)")
             .select("a", "b").distinct())
 
 
+def _joined(groups: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The components of groups and more links."""
+    return components(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                      .unionByName(pairs))
+
+
 def components_of(docs: DataFrame) -> DataFrame:
     """row, doc_id, n_shingles, component (a class, null without shingles) of every document.
 
@@ -279,9 +318,11 @@ def components_of(docs: DataFrame) -> DataFrame:
              *[F.first(f"key{r}").alias(f"key{r}") for r in range(ROUNDS)]), "classes")
     near = written(_compare(_pivots(classes), classes, docs), "near")
     groups = components(near)
-    far = _compare(_opened(_postings(sets), groups), classes, docs)
-    whole = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                       .unionByName(far))
+    postings = written(_postings(sets), "postings")
+    for turn in range(SPOKEN):
+        pairs = _spokesmen(_placed(postings, groups), turn)
+        groups = _joined(groups, _compare(pairs, classes, docs))
+    whole = _joined(groups, _compare(_opened(_placed(postings, groups)), classes, docs))
     return (sets.select("row", "doc_id", F.col("n").alias("n_shingles"), "class")
             .join(whole.select(F.col("node").alias("class"), "component"), "class", "left")
             .select("row", "doc_id", "n_shingles", F.coalesce("component", "class")
