@@ -177,7 +177,8 @@ def _compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / CELL).alias("cells"))
     placed = pairs.join(sizes, "b").withColumn("cell", F.pmod(F.xxhash64("a"), "cells"))
     members = placed.select("b", "cell", F.col("a").alias("class"), F.lit(1).alias("part"))
-    heads = placed.select("b", "cell", F.col("b").alias("class"), F.lit(0).alias("part")).distinct()
+    heads = sizes.select("b", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
+                         F.col("b").alias("class"), F.lit(0).alias("part"))
     wanted = (members.unionByName(heads)
               .join(classes.select("class", F.col("first_row").alias("row")), "class"))
     texts = docs.select(_row().alias("row"), utf8().alias("utf8"))
