@@ -15,8 +15,6 @@ from quarterdeck.functions.names import ENTITY, KEY, Q_ORD
 from quarterdeck.session import written
 
 MAX_CATEGORIES = 1000
-SMALL_CODES = 10_000
-FEW_HASHES = 50_000
 
 
 @dataclass(frozen=True)
@@ -90,17 +88,14 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence], drop_one: bool =
     return df.select(*kept, *flags)
 
 
-def category_codes(df: DataFrame, column: str, small: int = SMALL_CODES) -> DataFrame:
+def category_codes(df: DataFrame, column: str) -> DataFrame:
     """(value, code): distinct values numbered from 0 in sorted order.
 
-    Up to ``small`` values are numbered in one go. Beyond, the values are range-partitioned and
-    numbered per partition from an offset; the ranges are written down first, because a range
-    partitioning that is computed again after a lost executor may cut elsewhere.
+    The values are range-partitioned and numbered per partition from an offset; the ranges are
+    written down first, because a range partitioning that is computed again after a lost executor may
+    cut elsewhere.
     """
     values = df.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct()
-    if values.limit(small + 1).count() <= small:
-        code = F.row_number().over(Window.orderBy("value")) - 1
-        return F.broadcast(values.withColumn("code", code))
     ranged = written(values.repartitionByRange("value")
                      .withColumn("part", F.spark_partition_id()), "values")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -128,8 +123,8 @@ def hold_out(df: DataFrame, test_size: float = 0.2, seed: int = 7, key: Sequence
     """Mark ``int(rows * test_size)`` rows as ``held_out``, chosen by a hash of key and seed.
 
     The same rows are chosen on every run and cluster; rows that share a key stay together. The
-    exact number is reached without a global sort: a count per hash prefix (4,096 of
-    them) finds the prefix in which the limit falls, and only that prefix is looked at closer.
+    exact number is reached without a global sort: a count per hash prefix (4,096 of them) finds the
+    prefix in which the limit falls, and only that prefix is looked at closer, four digits at a time.
     ``exact=False`` takes the share of hashes instead and needs no job at all.
     """
     digest = _key_hash(seed, key)
@@ -159,7 +154,7 @@ def _hash_limit(hashes: DataFrame, test_size: float) -> str | None:
             return answer
         if wanted == 0 or width == 32:
             return answer
-        prefix, width = p, 7 if width == 3 and n > FEW_HASHES else 32
+        prefix, width = p, min(width + 4, 32)
 
 
 def split_hold_out(marked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,10 +11,8 @@ from quarterdeck.plans.features import labelled_and_candidates
 from quarterdeck.plans.settings import Settings
 
 
-@pytest.mark.parametrize("few", [50_000, 0])
 @pytest.mark.parametrize("rows, size", [(1000, 0.2), (997, 0.33), (3, 0.2), (10, 1.0), (200, 0.0)])
-def test_hold_out_has_the_exact_size(spark, monkeypatch, few, rows, size):
-    monkeypatch.setattr(encoding, "FEW_HASHES", few)
+def test_hold_out_has_the_exact_size(spark, rows, size):
     df = spark.range(rows).select(F.col("id").cast("string").alias("entity"),
                                   (F.col("id") % 7).alias("q_ord"))
     marked = encoding.hold_out(df, size)
@@ -61,15 +59,13 @@ def test_one_hot(spark):
         encoding.fit_categories(df, ["k"], limit=3)
 
 
-def test_codes_are_the_same_in_one_go_and_by_range(spark):
+def test_codes_number_the_sorted_values(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).when(
         F.col("id") % 50 > 0, F.format_string("%05d", F.col("id") * 7919 % 3001)).alias("k"))
-    small = encoding.category_codes(df, "k")
-    ranged = encoding.category_codes(df, "k", small=10)
-    rows = sorted(tuple(r) for r in small.collect())
-    assert sorted((r.value, r.code) for r in ranged.collect()) == rows
-    assert [code for _, code in rows] == list(range(len(rows)))
-    done = encoding.encode(df, "k", ranged)
+    codes = encoding.category_codes(df, "k")
+    values = sorted(r.k for r in df.where("k IS NOT NULL").distinct().collect())
+    assert sorted((r.code, r.value) for r in codes.collect()) == list(enumerate(values))
+    done = encoding.encode(df, "k", codes)
     assert done.count() == 3000 and done.where("k = -1").count() == df.where("k IS NULL").count()
 
 

@@ -97,7 +97,7 @@ def category_codes(spark, sf_dir):
 def category_codes_many(spark, sf_dir):
     """Codes of a column with many values, numbered partition by partition."""
     rows = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    codes = encoding.category_codes(rows, "o_custkey", small=100)
+    codes = encoding.category_codes(rows, "o_custkey")
     return encoding.encode(rows, "o_custkey", codes)
 
 
