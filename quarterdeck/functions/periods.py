@@ -6,6 +6,8 @@ statistics, range frames and equi-joins all understand.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,3 +60,10 @@ def parse_label_value(text: str) -> int:
     """Driver-side twin of :func:`parse_label` for parameters."""
     quarter, year = text.upper().split("Q")
     return ordinal(int(year), int(quarter))
+
+
+def fiscal_ordinal_value(day: date, shift_days: int = 7) -> int:
+    """Driver-side twin of :func:`fiscal_ordinal` for parameters."""
+    if day.day > 24:
+        day += timedelta(days=shift_days)
+    return (day.year * 12 + day.month - 2) // 3

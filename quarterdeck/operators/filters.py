@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import ENTITY, Q_ORD
+from quarterdeck.functions.periods import fiscal_ordinal_value
 
 
 def between_dates(df: DataFrame, start: date, end: date, column: str = "date") -> DataFrame:
@@ -25,6 +26,11 @@ def between_quarters(df: DataFrame, start: int, end: int) -> DataFrame:
     return df.where(keep)
 
 
+def between_quarters_of(df: DataFrame, start: date, end: date) -> DataFrame:
+    """Rows from the fiscal quarter of ``start`` up to, and without, that of ``end``."""
+    return between_quarters(df, fiscal_ordinal_value(start), fiscal_ordinal_value(end))
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop rows in which any of the columns is missing."""
     return df.dropna(subset=list(columns))

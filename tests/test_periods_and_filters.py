@@ -21,6 +21,7 @@ def test_fiscal_quarter_of_every_day(spark, shift):
     df = spark.createDataFrame([(d,) for d in days], "day date")
     rows = df.select("day", periods.fiscal_ordinal(F.col("day"), shift)).collect()
     assert all(q == by_hand(day, shift) for day, q in rows)
+    assert all(q == periods.fiscal_ordinal_value(day, shift) for day, q in rows)
 
 
 def test_quarter_arithmetic(spark):
@@ -43,6 +44,12 @@ def test_quarter_filter(panel):
     assert found == {(e, periods.ordinal(2020, 2) + i) for e in ("A", "AAPL") for i in range(4)}
 
 
+def test_quarter_filter_by_dates(panel):
+    kept = filters.between_quarters_of(panel, date(2020, 4, 28), date(2021, 5, 1))
+    found = {(r.entity, r.q_ord) for r in kept.collect()}
+    assert found == {(e, periods.ordinal(2020, 2) + i) for e in ("A", "AAPL") for i in range(4)}
+
+
 def test_quarter_filter_bounds_the_partition_column(spark):
     df = spark.createDataFrame([("a", periods.ordinal(y, q), y) for y in (2019, 2020, 2021)
                                 for q in range(1, 5)], "entity string, q_ord int, fy int")
