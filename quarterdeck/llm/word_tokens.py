@@ -12,7 +12,7 @@ import os
 import numpy as np
 
 SLICE = 1 << 20  # bytes of a text that are split into words at once
-KEPT_BYTES = 80 << 20  # of words and ids that a process keeps
+KEPT_BYTES = 128 << 20  # of words and ids that a process keeps
 
 
 def _byte_letters() -> str:
@@ -46,6 +46,7 @@ class WordTokens:
         self.tokenizer = load(path)
         self.between, self.between_id = between, self.tokenizer.token_to_id(between)
         self.model = self.tokenizer.model
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.ids: dict[bytes, bytes] = {}
         self.kept = 0
 
@@ -67,37 +68,40 @@ class WordTokens:
         words = text.lower().replace(b"\n", b" ").split(b" ")
         if self.kept > KEPT_BYTES:
             self.ids, self.kept = {}, 0
-        new = [w for w in set(words) if w not in self.ids]
+        new = set(words).difference(self.ids)
         if new:
             self._learn(new)
         return b"".join(map(self.ids.__getitem__, words))
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
         """A word after whose last ASCII letter only dots and commas stand is cut there."""
-        cut = {}
+        cut, parts = [], set()
         for w in words:
-            stem = w.rstrip(b".,")
-            if stem != w and stem[-1:].isalpha():
-                cut[w] = (stem, w[len(stem):])
-        parts = {p for pair in cut.values() for p in pair} | {w for w in words if w not in cut}
-        self._ask([p for p in parts if p not in self.ids])
-        for w, (stem, tail) in cut.items():
+            if w[-1:] in (b".", b","):
+                stem = w.rstrip(b".,")
+                if stem[-1:].isalpha():
+                    cut.append((w, stem, w[len(stem):]))
+                    parts.update(cut[-1][1:])
+                    continue
+            parts.add(w)
+        self._ask(parts.difference(self.ids))
+        for w, stem, tail in cut:
             self._keep(w, self.ids[stem] + self.ids[tail])
 
-    def _ask(self, words: list[bytes]) -> None:
+    def _ask(self, words: set[bytes]) -> None:
         """A word of plain letters is one unit of the library's BPE model; any other word goes
         through the whole tokenizer, all of them at once with a special token between them."""
-        other = []
+        other, packed, tokenize = [], self.packed, self.model.tokenize
         for word in words:
-            letters = word.decode()
-            if letters.isalpha() and max(letters) < "\u0250" and "\u0130" not in letters:
-                spelt = letters.lower()
-                if not spelt.isascii():
-                    spelt = spelt.encode().decode("latin-1").translate(BYTE_LETTERS)
-                self._keep(word, b"".join([t.id.to_bytes(4, "little")
-                                           for t in self.model.tokenize(spelt)]))
+            if word.isalpha():  # ASCII letters, lowered before
+                spelt = word.decode()
             else:
-                other.append(word)
+                letters = word.decode()
+                if not letters.isalpha() or max(letters) >= "\u0250" or "\u0130" in letters:
+                    other.append(word)
+                    continue
+                spelt = letters.lower().encode().decode("latin-1").translate(BYTE_LETTERS)
+            self._keep(word, b"".join([packed[t.id] for t in tokenize(spelt)]))
         self._ask_whole(other)
 
     def _ask_whole(self, words: list[bytes]) -> None:
