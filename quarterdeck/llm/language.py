@@ -25,6 +25,7 @@ from quarterdeck.llm.common import arrow_map, fold, utf8, with_columns
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # fixed value: the vocabulary's mark of a word's start
 FOLDS, KEPT_WORDS, COUNTED_WORDS = 5, 250_000, 200_000
+WORDS_TOGETHER = 100_000  # of the texts that are looked up at once
 SHORT = 40  # letters; longer words take a forward pass of their own, rescaled on its way
 UNKNOWN = "und"
 
@@ -51,18 +52,18 @@ class Pieces:
     def packed(self, word: str, row: int) -> list[int]:
         """``within`` for a short word as numbers that sort by end, then row: 8 bits for the end,
         20 for the row, 8 for the start, 20 for the piece."""
-        word, found, get, base = START + word, [], self.known.get, row << 28
-        n = len(word)
+        word, found, get, other = START + word, [], self.known.get, self.other
+        put, here, n = found.append, row << 28, len(word)
         for i in range(n):
             k = get(word[i], -1)
-            here = base | i << 20
-            found.append((i + 1) << 48 | here | (k if k >= 0 else self.other))
+            put((i + 1) << 48 | here | (k if k >= 0 else other))
             for j in range(i + 2, n + 1):
                 k = get(word[i:j])
                 if k is None:
                     break
                 if k >= 0:
-                    found.append(j << 48 | here | k)
+                    put(j << 48 | here | k)
+            here += 1 << 20
         return found
 
     def within(self, word: str) -> list[tuple[int, int, int]]:
@@ -121,7 +122,7 @@ class LanguageModel:
         for j in range(1, longest + 1):
             own = slice(bounds[j - 1], bounds[j])
             row, start, piece = rows[own], starts[own], pieces[own]
-            first = np.flatnonzero(np.diff(row, prepend=-1))
+            first = np.append(0, np.flatnonzero(row[1:] != row[:-1]) + 1)
             alpha[j, row[first]] = np.add.reduceat(alpha[start, row] * self.chances[piece], first)
         return np.log(alpha[[len(w) + 1 for w in words], np.arange(len(words))])
 
@@ -229,17 +230,18 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
         mine = _model(given)
         for batch in batches:
             langs, scores = [], []
-            for text in batch[batch.schema.names.index("text")]:
-                words = WORD.findall((text.as_py() or "").lower())
-                if not mine.languages or not any(c.isalpha() for w in words for c in w):
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                mine.learn(set(words))
-                logs = mine.text(words)
-                best = int(np.argmax(logs))
-                langs.append(mine.languages[best])
-                scores.append(float(1 / np.exp(logs - logs[best]).sum()))
+            for some in _together(batch[batch.schema.names.index("text")]):
+                if mine.languages:
+                    mine.learn(set().union(*some))
+                for words in some:
+                    if not mine.languages or not any(c.isalpha() for w in words for c in w):
+                        langs.append(UNKNOWN)
+                        scores.append(0.0)
+                        continue
+                    logs = mine.text(words)
+                    best = int(np.argmax(logs))
+                    langs.append(mine.languages[best])
+                    scores.append(float(1 / np.exp(logs - logs[best]).sum()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"])
@@ -248,6 +250,20 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return kept.mapInArrow(run, with_columns(kept, "lang_pred string, score double"))
 
 
+def _together(texts: pa.Array) -> Iterator[list[list[str]]]:
+    """The words of each text, in order, for some texts at a time: new words of many texts take one
+    forward pass."""
+    some, size = [], 0
+    for text in texts:
+        some.append(WORD.findall((text.as_py() or "").lower()))
+        size += len(some[-1])
+        if size > WORDS_TOGETHER:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 _models: dict[int, LanguageModel] = {}
 
 
