@@ -19,10 +19,12 @@ from quarterdeck.operators.merging import keep_one
 
 
 def price_aggregates(day: Column) -> list[Column]:
-    """Mean, low and high close, last close and last volume of a group of daily prices."""
+    """Mean, low and high close, last close and last volume of a group of daily prices. Of several
+    prices of the last day the highest is the last."""
+    order = F.struct(day, F.col("close"), F.col("volume"))
     return [F.avg("close").alias("PriceAvg"), F.min("close").alias("PriceLow"),
-            F.max("close").alias("PriceHigh"), F.max_by("close", day).alias("PriceEoQ"),
-            F.max_by("volume", day).alias("Volume")]
+            F.max("close").alias("PriceHigh"), F.max_by("close", order).alias("PriceEoQ"),
+            F.max_by("volume", order).alias("Volume")]
 
 
 def _windows(start: date, end: date, days: int, inclusive: bool) -> int:
@@ -55,13 +57,20 @@ def price_rollup(prices: DataFrame, start: date, end: date,
 
 def price_rollup_from(prices: DataFrame, starts: DataFrame, end: date,
                       days: int = QUARTER_DAYS) -> DataFrame:
-    """The same with a start per entity (entity, start)."""
+    """The same with a start per entity (entity, start). Prices are brought to one row per entity
+    and day before they meet the starts, so that an entity with many prices is no hot key."""
     bucket = F.floor(F.datediff(F.col("date"), F.col("start")) / days).cast("int")
-    return (prices.where(F.col("date") < F.lit(end))
-            .join(starts, ENTITY)
+    daily = prices.where(F.col("date") < F.lit(end)).groupBy(ENTITY, "date").agg(
+        F.sum("close").alias("sum"), F.count("close").alias("n"), F.min("close").alias("low"),
+        F.max("close").alias("high"), F.max(F.struct("close", "volume")).alias("last"))
+    return (daily.join(starts, ENTITY)
             .where(F.col("date") >= F.col("start"))
             .groupBy(ENTITY, "start", bucket.alias("bucket"))
-            .agg(*price_aggregates(F.col("date")))
+            .agg(F.try_divide(F.sum("sum"), F.sum("n")).alias("PriceAvg"),
+                 F.min("low").alias("PriceLow"), F.max("high").alias("PriceHigh"),
+                 F.max_by("last", "date").alias("last"))
+            .withColumn("PriceEoQ", F.col("last.close"))
+            .withColumn("Volume", F.col("last.volume")).drop("last")
             .withColumn("date", _window_end(F.col("start"), F.col("bucket"), days))
             .where(F.col("date") < F.lit(end))
             .drop("start", "bucket"))
@@ -99,14 +108,20 @@ def recommendation_rollup(recs: DataFrame, start: date, end: date, days: int = Q
 
 
 def recommendation_rollup_from(recs: DataFrame, starts: DataFrame, end: date,
-                               days: int = QUARTER_DAYS,
+                               days: int = QUARTER_DAYS, collapse: bool = True,
+                               firms: Sequence[str] | None = None,
                                scores: Mapping[str, int] = GRADE_SCORES) -> DataFrame:
-    """The collapsed form with a start per entity (entity, start)."""
+    """Both forms with a start per entity (entity, start). Ratings are summed per entity, day and
+    firm before they meet the starts."""
     bucket = F.floor(F.datediff(F.col("date"), F.col("start")) / days).cast("int")
-    started = (recs.where(F.col("date") < F.lit(end)).join(starts, ENTITY)
-               .where(F.col("date") >= F.col("start")))
-    means = _firm_means(started, bucket, [ENTITY, "start"], scores)
-    windows = _gather_firms(means, F.col("start"), [ENTITY, "start"], days, True, None)
+    score = grade_score(F.col("grade"), scores)
+    daily = (recs.where((F.col("date") < F.lit(end)) & F.col("firm").isNotNull())
+             .groupBy(ENTITY, "date", without_blanks(F.col("firm")).alias("firm"))
+             .agg(F.sum(score).alias("sum"), F.count(score).alias("n")))
+    means = (daily.join(starts, ENTITY).where(F.col("date") >= F.col("start"))
+             .groupBy(ENTITY, "start", bucket.alias("bucket"), "firm")
+             .agg(F.try_divide(F.sum("sum"), F.sum("n")).alias("score")))
+    windows = _gather_firms(means, F.col("start"), [ENTITY, "start"], days, collapse, firms)
     return windows.where(F.col("date") <= F.lit(end)).drop("start")
 
 

@@ -19,7 +19,8 @@ from quarterdeck.operators.rollups import (
 from quarterdeck.operators.splits import adjust_archive, adjust_panel, batch_split_factors
 from quarterdeck.session import fresh_path, written
 from quarterdeck.sources.readers import FILE_NAME_PATTERN, read_archive
-from quarterdeck.sources.tables import append_table, merge_rows, stored
+from quarterdeck.sources.schemas import ARCHIVE_KEY, duplicate_keys
+from quarterdeck.sources.tables import append_table, merge_rows, replace_table, stored
 
 
 def quarterly_facts(statements: Sequence[DataFrame], dividends: DataFrame, splits: DataFrame,
@@ -29,18 +30,19 @@ def quarterly_facts(statements: Sequence[DataFrame], dividends: DataFrame, split
     """One row per entity and fiscal quarter from all raw sources, for all entities at once.
 
     Price and rating windows of 91 days start 91 days before an entity's oldest statement and
-    meet the statements by fiscal quarter. Every piece is narrow and joined on the key by which
-    the panel is already partitioned. ``earnings`` is (entity, q_ord, Earnings),
+    meet the statements by fiscal quarter. The statements are pivoted once and written; the
+    quarter ends and the starts are read from there. ``earnings`` is (entity, q_ord, Earnings),
     ``market_caps`` (entity, MarketCap).
     """
-    panel = statements_to_panel(*statements).withColumn("quarter_end", F.col("date"))
+    panel = written(statements_to_panel(*statements).withColumn("quarter_end", F.col("date")),
+                    "statements")
     spine = panel.select(*KEY, "quarter_end")
     paid = dividends_per_quarter(spine, dividends).drop("quarter_end")
     split = splits_per_quarter(spine, splits).drop("quarter_end")
     panel = panel.join(paid, list(KEY), "left").join(split, list(KEY), "left")
     if earnings is not None:
         panel = panel.join(earnings, list(KEY), "left")
-    starts = panel.groupBy(ENTITY).agg(
+    starts = spine.groupBy(ENTITY).agg(
         F.date_sub(F.min("quarter_end"), QUARTER_DAYS).alias("start"))
     price_windows = label_windows(price_rollup_from(prices, starts, end))
     rating_windows = label_windows(recommendation_rollup_from(recommendations, starts, end))
@@ -102,7 +104,13 @@ def load_tables(spark: SparkSession, panel_path: str, archive_path: str, batch:
 
 def build_archive(spark: SparkSession, csv_folder: str, path: str,
                   entity_pattern: str = FILE_NAME_PATTERN) -> DataFrame:
-    """First build of the archive table from its CSV files, partitioned by fiscal year."""
+    """First build of the archive table from its CSV files, partitioned by fiscal year. Built again
+    it is the same; a key that occurs twice ends the build before the table is touched."""
     rows = read_archive(spark, csv_folder, entity_pattern=entity_pattern)
-    append_table(rows.withColumn("fy", fiscal_year(fiscal_ordinal(F.col("QuarterEnd")))), path)
+    rows = written(rows.withColumn("fy", fiscal_year(fiscal_ordinal(F.col("QuarterEnd")))),
+                   "archive")
+    twice = duplicate_keys(rows, ARCHIVE_KEY).first()
+    if twice is not None:
+        raise ValueError(f"{twice.asDict()}: more than one row of a key of {list(ARCHIVE_KEY)}")
+    replace_table(rows, path)
     return stored(spark, path)

@@ -12,6 +12,7 @@ from quarterdeck.functions.cells import entity_from_path
 from quarterdeck.sources.schemas import ARCHIVE_SCHEMA
 
 FILE_NAME_PATTERN = r"_([^_/]+)\.csv$"
+SPARE = 64
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -24,27 +25,43 @@ def entities(df: DataFrame) -> DataFrame:
 
 def read_archive(spark: SparkSession, folder: str, schema: StructType = ARCHIVE_SCHEMA,
                  entity_pattern: str = FILE_NAME_PATTERN, missing: str = "None") -> DataFrame:
-    """All CSV files below a folder in one scan. The first, unnamed column is a row number and is
-    dropped; the entity is part of the path; ``missing`` stands for no value.
-
-    No cell is lost: a whole number may be written as ``5.0`` or ``1e9``; any other cell that does
-    not fit its column's type, and a file whose name does not hold an entity, ends the read.
+    """All CSV files below a folder. The first, unnamed column is a row number and is dropped; the
+    entity is part of the path; ``missing`` stands for no value.
+
+    Each file's columns are found by the names in its header, whatever their order; the headers, one
+    row a file, are joined to the rows by path. No cell is lost: a whole number may be written as
+    ``5.0`` or ``1e9``; any other cell that does not fit its column's type, a file that lacks a
+    column or a header, and one whose name does not hold an entity, end the read. Columns that
+    ``schema`` does not name are left out; up to ``SPARE`` of them are read over.
     """
-    numbered = StructType([StructField("__row", StringType()),
-                           *[StructField(f.name, StringType()) for f in schema.fields]])
-    files = (spark.read.schema(numbered).option("header", True).option("nullValue", missing)
-             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-             .option("enforceSchema", True).csv(folder))
-    # The path is URL-encoded, in which a plus sign stands for itself.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    entity = entity_from_path(path, entity_pattern)
+    places = [f"_c{i}" for i in range(len(schema) + 1 + SPARE)]
+    lines = (spark.read.schema(StructType([StructField(c, StringType()) for c in places]))
+             .option("nullValue", missing).option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv").csv(folder)
+             # The path is URL-encoded, in which a plus sign stands for itself.
+             .select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"),
+                                            F.lit("%2B"))).alias("path"),
+                     F.col("_c0").alias("row"), F.array(*places[1:]).alias("cells")))
+    is_header = F.col("row").try_cast("long").isNull() & F.coalesce(
+        F.array_contains("cells", schema.fields[0].name), F.lit(False))
+    headers = lines.where(is_header).select("path", F.col("cells").alias("header"))
+    rows = lines.where(~is_header).join(headers, "path", "left")
+    found = rows.select("path", *[_named(f.name).alias(f.name) for f in schema.fields])
+    entity = entity_from_path(F.col("path"), entity_pattern)
     named = F.when(entity != "", entity).otherwise(
-        F.raise_error(F.concat(F.lit("no entity in the file name "), path)))
-    return files.select(named.alias("entity"),
+        F.raise_error(F.concat(F.lit("no entity in the file name "), F.col("path"))))
+    return found.select(named.alias("entity"),
                         *[_cell(f.name, f.dataType.simpleString()).alias(f.name)
                           for f in schema.fields])
 
 
+def _named(name: str) -> Column:
+    """The cell below this name of the file's header."""
+    at = F.array_position("header", name)
+    absent = F.raise_error(F.concat(F.lit(f"no column {name} in "), F.col("path")))
+    return F.when(at > 0, F.get("cells", (at - 1).cast("int"))).otherwise(absent)
+
+
 def _cell(name: str, kind: str) -> Column:
     """The text as its type; a whole number also in a notation with a point or an exponent."""
     text = F.trim(F.col(name))

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.cells import plain_name
-from quarterdeck.functions.names import ENTITY, KEY
+from quarterdeck.functions.names import ENTITY, KEY, Q_ORD
+from quarterdeck.functions.periods import fiscal_year
 from quarterdeck.operators.merging import except_key, keep_one, union_by_name
 from quarterdeck.session import fresh_path, written
 from quarterdeck.sources.schemas import duplicate_keys
@@ -35,7 +36,8 @@ def merge_rows(table: DataFrame, batch: DataFrame, key: Sequence[str] = KEY) ->
 def update_column(table: DataFrame, events: DataFrame, column: str, date_column: str = "date",
                   key: Sequence[str] = KEY) -> DataFrame:
     """Set a column where an event has the row's key; the last event by date wins."""
-    newest = events.groupBy(*key).agg(F.max_by(column, date_column).alias("__new"))
+    order = F.struct(date_column, column)
+    newest = events.groupBy(*key).agg(F.max_by(column, order).alias("__new"))
     joined = table.join(newest, list(key), "left")
     return joined.select(*[F.coalesce("__new", F.col(c)).alias(c) if c == column else F.col(c)
                            for c in table.columns])
@@ -51,22 +53,75 @@ def _write(df: DataFrame, path: str, mode: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path))
 
 
+def _as_stored(df: DataFrame, path: str) -> DataFrame:
+    """The rows in the types of the stored table, so that its files can be read together. A value
+    that its column's stored type cannot hold ends the write."""
+    spark = df.sparkSession
+    if not _exists(spark, path):
+        return df
+    kinds = {f.name: f.dataType.simpleString() for f in stored(spark, path).schema.fields}
+
+    def cast(name: str, kind: str):
+        column = F.col(f"`{name}`")
+        wanted = kinds.get(name, kind)
+        if wanted == kind:
+            return column
+        value = column.try_cast(wanted)
+        wrong = F.raise_error(F.concat(F.lit(f"{name} does not fit the stored {wanted}: "),
+                                       column.cast("string")))
+        return F.when(value.try_cast(kind).eqNullSafe(column), value).otherwise(wrong).alias(name)
+
+    return df.select(*[cast(name, kind) for name, kind in df.dtypes])
+
+
 def append_table(df: DataFrame, path: str) -> None:
-    _write(df, path, "append")
+    _write(_as_stored(df, path), path, "append")
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame:
-    """The table with the columns of all its files."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def replace_table(df: DataFrame, path: str) -> None:
+    """The table holds these rows and no others."""
+    (df.hint("rebalance", PARTITION).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(PARTITION).parquet(path))
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
+def update_column_table(events: DataFrame, path: str, column: str,
+                        date_column: str = "date") -> None:
+    """``update_column`` on the stored panel; only the fiscal years with an event are replaced."""
+    spark = events.sparkSession
+    events = written(events, "events")
+    years = [r[0] for r in events.select(fiscal_year(F.col(Q_ORD))).distinct().collect()]
+    if not years:
+        return
+    touched = stored(spark, path).where(F.col(PARTITION).isin(*years))
+    staged = fresh_path(spark, "update")
+    _write(update_column(touched, events, column, date_column), staged, "overwrite")
+    if _exists(spark, staged):
+        _write(stored(spark, staged), path, "overwrite")
+
+
+def insert_absent_table(rows: DataFrame, path: str, key: Sequence[str] = (ENTITY,)) -> None:
+    """Add the rows whose key the stored (unpartitioned) table lacks; what is stored stays as it is.
+    Of several new rows of a key one stays, the same whenever it runs."""
+    spark = rows.sparkSession
+    new = keep_one(rows, key, [F.xxhash64(*[f"`{c}`" for c in rows.columns])])
+    if _exists(spark, path):
+        new = _as_stored(except_key(new, stored(spark, path), key), path)
+    written(new, "absent").write.mode("append").parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
     try:
-        return not stored(spark, path).isEmpty()
+        stored(spark, path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
         raise
+    return True
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The table with the columns of all its files."""
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY,
@@ -86,9 +141,10 @@ def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY,
     years = [r[0] for r in batch.select(PARTITION).distinct().collect()]
     if not years:
         return
-    if not _has_rows(spark, path):
+    if not _exists(spark, path):
         append_table(batch, path)
         return
+    batch = _as_stored(batch, path)
     touched = stored(spark, path).where(F.col(PARTITION).isin(*years))
     staged = fresh_path(spark, "upsert")
     if order is None:

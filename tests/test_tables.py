@@ -210,6 +210,58 @@ def test_archive_cells_are_never_lost(spark, tmp_path, cell, meant):
         read_archive(spark, str(tmp_path), StructType.fromDDL("Shares long, Price double")).collect()
 
 
+def test_archive_columns_go_by_their_names(spark, tmp_path):
+    (tmp_path / "some_A.csv").write_text(",Shares,Price\n0,5,1.5\n1,6,2.5\n")
+    (tmp_path / "some_B.csv").write_text(",Price,Note,Shares\n0,3.5,x,7\n")
+    schema = StructType.fromDDL("Shares long, Price double")
+    rows = {tuple(r) for r in read_archive(spark, str(tmp_path), schema).collect()}
+    assert rows == {("A", 5, 1.5), ("A", 6, 2.5), ("B", 7, 3.5)}
+    (tmp_path / "some_C.csv").write_text(",Shares\n0,5\n")
+    with pytest.raises(Exception, match="no column Price"):
+        read_archive(spark, str(tmp_path), schema).collect()
+
+
+def test_archive_built_twice_equals_once(spark, csv_folder):
+    path = session.fresh_path(spark, "twice")
+    for _ in range(2):
+        assert loading.build_archive(spark, csv_folder, path).count() == 3
+    (readers_copy := csv_folder + "/again_AB.csv")
+    with open(readers_copy, "w") as copy:
+        copy.write("\n".join([HEADER, archive_line(0, "2019-06-30", Shares=9)]) + "\n")
+    with pytest.raises(ValueError, match="more than one row"):
+        loading.build_archive(spark, csv_folder, path)
+    assert tables.stored(spark, path).count() == 3
+
+
+def test_append_keeps_the_stored_types(spark):
+    path = session.fresh_path(spark, "types")
+    tables.append_table(frame(spark, [("a", 8080, 1.5, 2020)]), path)
+    whole = spark.createDataFrame([("b", 8080, 2, 2020)], "entity string, q_ord int, x int, fy int")
+    tables.append_table(whole, path)
+    tables.upsert_table(whole.withColumn("x", F.lit(3)), path)
+    assert {(r.entity, r.x) for r in tables.stored(spark, path).collect()} == {("a", 1.5), ("b", 3.0)}
+    ints = session.fresh_path(spark, "ints")
+    tables.append_table(whole, ints)
+    with pytest.raises(Exception, match="does not fit the stored int"):
+        tables.append_table(frame(spark, [("c", 8080, 1.5, 2020)]), ints)
+
+
+def test_stored_column_update_and_insert(spark):
+    path = session.fresh_path(spark, "column")
+    tables.append_table(frame(spark, [("a", 8080, 1.0, 2020), ("a", 8084, 2.0, 2021)]), path)
+    events = spark.createDataFrame(
+        [("a", 8080, date(2020, 1, 1), 7.0), ("a", 8080, date(2020, 1, 1), 8.0),
+         ("z", 8080, date(2020, 1, 2), 9.0)], "entity string, q_ord int, date date, x double")
+    for _ in range(2):
+        tables.update_column_table(events, path, "x")
+        found = {(r.entity, r.q_ord, r.x) for r in tables.stored(spark, path).collect()}
+        assert found == {("a", 8080, 8.0), ("a", 8084, 2.0)}
+    names = session.fresh_path(spark, "names")
+    for rows in ([("a", "T")], [("a", "U"), ("b", "V"), ("b", "V")], [("b", "W")]):
+        tables.insert_absent_table(spark.createDataFrame(rows, "entity string, Sector string"), names)
+    assert sorted(map(tuple, spark.read.parquet(names).collect())) == [("a", "T"), ("b", "V")]
+
+
 class FakeSession:
     """A session that only knows its settings."""
 

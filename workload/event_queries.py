@@ -205,7 +205,8 @@ def index_price_history(spark, sf_dir):
 @query("quarterly_facts", """
     SELECT f.entity, f.date, f.q_ord, CAST(f.q_ord // 4 AS INTEGER) AS fy, f."Cash",
            f."TotalRevenue", f."ResearchDevelopment", d."DividendPerShare", s."Split",
-           f."Earnings", w."PriceHigh", w."PriceEoQ", w."Volume", c."MarketCap"
+           f."Earnings", round(w."PriceAvg", 6) AS "PriceAvg", w."PriceLow", w."PriceHigh",
+           w."PriceEoQ", w."Volume", c."MarketCap"
     FROM facts f JOIN paid d ON d.entity = f.entity AND d.q_ord = f.q_ord
     JOIN split_quarters s ON s.entity = f.entity AND s.q_ord = f.q_ord
     JOIN caps c ON c.entity = f.entity
@@ -227,7 +228,8 @@ def quarterly_facts(spark, sf_dir):
         market_caps=facts.groupBy("entity").agg(F.max("MarketCap").alias("MarketCap")))
     return rounded(rows.select(
         *KEY, "date", "fy", "Cash", "TotalRevenue", "ResearchDevelopment", "DividendPerShare",
-        "Split", "Earnings", "PriceHigh", "PriceEoQ", "Volume", "MarketCap"), "DividendPerShare")
+        "Split", "Earnings", "PriceAvg", "PriceLow", "PriceHigh", "PriceEoQ", "Volume", "MarketCap"),
+        "DividendPerShare", "PriceAvg")
 
 
 _MARKET_START = date(2000, 8, 1)

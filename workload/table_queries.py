@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import KEY
 from quarterdeck.functions.periods import fiscal_ordinal, fiscal_year, ordinal
+from quarterdeck.operators import splits
 from quarterdeck.plans import loading
 from quarterdeck.session import fresh_path
 from quarterdeck.sources import readers, schemas, tables
@@ -101,6 +102,41 @@ def column_update(spark, sf_dir):
     return tables.update_column(rows, daily, "DividendPerShare")
 
 
+@query("column_update_stored", f"""
+    SELECT f.entity, f.q_ord, CAST(f.q_ord // 4 AS INTEGER) AS fy,
+           coalesce(d.dividend, f."DividendPerShare") AS "DividendPerShare"
+    FROM facts f LEFT JOIN (
+        SELECT entity, {fiscal('date')} AS q_ord, arg_max(dividend, date) AS dividend
+        FROM (SELECT entity, date, max(dividend) AS dividend FROM dividends GROUP BY 1, 2)
+        GROUP BY 1, 2) d ON d.entity = f.entity AND d.q_ord = f.q_ord""")
+def column_update_stored(spark, sf_dir):
+    """The last dividend of each quarter written into the stored panel, the events delivered twice."""
+    rows = views.facts(spark, sf_dir).select(*KEY, "DividendPerShare")
+    path = fresh_path(spark, "panel")
+    tables.append_table(rows.withColumn("fy", fiscal_year(F.col("q_ord"))), path)
+    events = (views.dividends(spark, sf_dir)
+              .withColumnRenamed("dividend", "DividendPerShare")
+              .withColumn("q_ord", fiscal_ordinal(F.col("date"))))
+    tables.update_column_table(events, path, "DividendPerShare")
+    tables.update_column_table(events, path, "DividendPerShare")
+    return tables.stored(spark, path)
+
+
+@query("dim_insert_stored", """
+    SELECT entity, "Sector", "Industry" FROM dimension
+    UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL FROM supplier
+    WHERE s_acctbal < 0""")
+def dim_insert_stored(spark, sf_dir):
+    """The same insert into the stored dimension, delivered twice."""
+    path = fresh_path(spark, "dimension")
+    tables.insert_absent_table(views.dimension(spark, sf_dir), path)
+    rows = views.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("entity"), F.col("s_name").alias("Sector"))
+    tables.insert_absent_table(rows, path)
+    tables.insert_absent_table(rows, path)
+    return tables.stored(spark, path)
+
+
 @query("dim_insert_absent", """
     SELECT entity, "Sector", "Industry" FROM dimension
     UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL FROM supplier
@@ -128,7 +164,8 @@ _CSV = ("QuarterEnd", "Shares", "Revenue", "Earnings", "Price", "LongTermDebt")
     FROM archive a JOIN supplier ON a.entity = CAST(s_suppkey AS VARCHAR)
     JOIN nation ON s_nationkey = n_nationkey""")
 def csv_archive_scan(spark, sf_dir):
-    """The archive as CSV files, one folder per nation: row number first, "None" for missing."""
+    """The archive as CSV files, a folder per nation: row number first, "None" for missing. The files
+    of losses have their columns the other way round and whole numbers written with a point."""
     homes = (views.table(spark, sf_dir, "supplier")
              .join(views.table(spark, sf_dir, "nation"),
                    F.col("s_nationkey") == F.col("n_nationkey"))
@@ -136,8 +173,13 @@ def csv_archive_scan(spark, sf_dir):
     rows = views.archive(spark, sf_dir).join(homes, "entity").select(
         F.lit(0).alias("row"), "n_name", *_CSV)
     folder = fresh_path(spark, "csv")
-    (rows.write.option("header", True).option("nullValue", "None")
-     .partitionBy("n_name").csv(folder))
+    loss = F.coalesce(F.col("Earnings") < 0, F.lit(False))
+    pointed = [F.concat(F.col(c).cast("string"), F.lit(".0")).alias(c) if c == "Shares" else F.col(c)
+               for c in reversed(_CSV)]
+    for name, part in (("plain", rows.where(~loss)),
+                       ("turned", rows.where(loss).select("row", "n_name", *pointed))):
+        (part.write.option("header", True).option("nullValue", "None")
+         .partitionBy("n_name").csv(f"{folder}/{name}"))
     schema = schemas.StructType([f for f in schemas.ARCHIVE_SCHEMA if f.name in _CSV])
     order = schemas.StructType(sorted(schema.fields, key=lambda f: _CSV.index(f.name)))
     return readers.read_archive(spark, folder, order, entity_pattern=r"n_name=([^/]+)/")
@@ -161,16 +203,32 @@ _LOAD_VIEWS = {
 }
 
 
-@query("incremental_load", _LOADED, **_LOAD_VIEWS)
-def incremental_load(spark, sf_dir):
-    """A batch that overlaps the table: stale suppliers skipped, history split-adjusted."""
+def _loaded(spark, sf_dir):
     rows = _split_facts(spark, sf_dir).select(*KEY, "date", "PriceAvg", "Split")
     table = rows.where(F.col("q_ord") < _TABLE_END)
     batch = rows.where(F.col("q_ord") >= _TABLE_END - 2)
-    archive = views.archive(spark, sf_dir)
-    panel, _ = loading.incremental_load(table, archive, batch, date(2001, 11, 4),
-                                        max_age_days=30)
-    return panel.drop("date")
+    archive = views.archive(spark, sf_dir).select(
+        "entity", "QuarterEnd", *splits.ARCHIVE_DIVIDED, *splits.ARCHIVE_MULTIPLIED)
+    return loading.incremental_load(table, archive, batch, date(2001, 11, 4), max_age_days=30)
+
+
+@query("incremental_load", _LOADED, **_LOAD_VIEWS)
+def incremental_load(spark, sf_dir):
+    """A batch that overlaps the table: stale suppliers skipped, history split-adjusted."""
+    return _loaded(spark, sf_dir)[0].drop("date")
+
+
+@query("incremental_archive", """
+    SELECT a.entity, "QuarterEnd", "Price" / coalesce(factor, 1) AS "Price",
+           "PriceHigh" / coalesce(factor, 1) AS "PriceHigh",
+           "PriceLow" / coalesce(factor, 1) AS "PriceLow",
+           "DividendPerShare" / coalesce(factor, 1) AS "DividendPerShare",
+           "SharesSplitAdjusted" * coalesce(factor, 1) AS "SharesSplitAdjusted",
+           "SplitFactor" * coalesce(factor, 1) AS "SplitFactor"
+    FROM archive a LEFT JOIN fresh_factors s ON s.entity = a.entity""", **_LOAD_VIEWS)
+def incremental_archive(spark, sf_dir):
+    """The archive after the same load."""
+    return _loaded(spark, sf_dir)[1]
 
 
 @query("bulk_build", f"""
