@@ -19,12 +19,10 @@ from quarterdeck.operators.merging import keep_one
 
 
 def price_aggregates(day: Column) -> list[Column]:
-    """Mean, low and high close, last close and last volume of a group of daily prices. Of several
-    prices of the last day the highest is the last."""
-    order = F.struct(day, F.col("close"), F.col("volume"))
+    """Mean, low and high close, last close and last volume of a group of daily prices."""
     return [F.avg("close").alias("PriceAvg"), F.min("close").alias("PriceLow"),
-            F.max("close").alias("PriceHigh"), F.max_by("close", order).alias("PriceEoQ"),
-            F.max_by("volume", order).alias("Volume")]
+            F.max("close").alias("PriceHigh"), F.max_by("close", day).alias("PriceEoQ"),
+            F.max_by("volume", day).alias("Volume")]
 
 
 def _windows(start: date, end: date, days: int, inclusive: bool) -> int:
@@ -58,19 +56,19 @@ def price_rollup(prices: DataFrame, start: date, end: date,
 def price_rollup_from(prices: DataFrame, starts: DataFrame, end: date,
                       days: int = QUARTER_DAYS) -> DataFrame:
     """The same with a start per entity (entity, start). Prices are brought to one row per entity
-    and day before they meet the starts, so that an entity with many prices is no hot key."""
+    and day before they meet the starts, so that an entity with many prices is no hot key. Of several
+    prices of a day the highest is the last."""
     bucket = F.floor(F.datediff(F.col("date"), F.col("start")) / days).cast("int")
     daily = prices.where(F.col("date") < F.lit(end)).groupBy(ENTITY, "date").agg(
         F.sum("close").alias("sum"), F.count("close").alias("n"), F.min("close").alias("low"),
-        F.max("close").alias("high"), F.max(F.struct("close", "volume")).alias("last"))
+        F.max("close").alias("high"), F.max_by("volume", "close").alias("volume"))
     return (daily.join(starts, ENTITY)
             .where(F.col("date") >= F.col("start"))
             .groupBy(ENTITY, "start", bucket.alias("bucket"))
             .agg(F.try_divide(F.sum("sum"), F.sum("n")).alias("PriceAvg"),
                  F.min("low").alias("PriceLow"), F.max("high").alias("PriceHigh"),
-                 F.max_by("last", "date").alias("last"))
-            .withColumn("PriceEoQ", F.col("last.close"))
-            .withColumn("Volume", F.col("last.volume")).drop("last")
+                 F.max_by("high", "date").alias("PriceEoQ"),
+                 F.max_by("volume", "date").alias("Volume"))
             .withColumn("date", _window_end(F.col("start"), F.col("bucket"), days))
             .where(F.col("date") < F.lit(end))
             .drop("start", "bucket"))

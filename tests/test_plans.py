@@ -101,6 +101,16 @@ def test_price_bounds_reach_the_scan(spark):
     assert count(rollups.price_rollup(prices, date(2020, 1, 1), date(2021, 1, 1)), "Sort") == 0
 
 
+def test_prices_are_summed_before_they_meet_their_starts(spark):
+    starts = spark.createDataFrame([("a", date(2020, 1, 1))], "entity string, start date")
+    prices = written(spark.range(1000).select(
+        F.lit("a").alias("entity"), F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 50)
+                                               .cast("int")).alias("date"),
+        F.lit(1.0).alias("close"), F.col("id").alias("volume")), "prices").hint("merge")
+    text = plan(rollups.price_rollup_from(prices, starts, date(2021, 1, 1)))
+    assert text.index("SortMergeJoin") < text.index("partial_sum(close")
+
+
 def test_holdings_do_not_shuffle_the_panel(spark, facts):
     changed = facts.withColumn("Q_Delta_PriceAvg", F.col("a") / 100)
     picks = ranking.add_weights(written(
