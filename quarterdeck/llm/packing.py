@@ -73,14 +73,14 @@ class Packer:
         """The level from 0 to window - size with the least sum of squares after the placing;
         of equal ones the fullest."""
         n = self.level
-        source, goal = n[:self.window - size + 1], n[size:]
-        cost = 2 * (goal - source) + 2
-        cost[0] -= 1  # a new window leaves no level
-        cost[-1] = 1 - 2 * source[-1] if size < self.window else 0  # a full one is not counted
-        allowed = source > 0
-        allowed[0] = True
-        cost = np.where(allowed, cost, np.iinfo(np.int64).max)
-        return len(cost) - 1 - int(np.argmin(cost[::-1]))
+        used = np.flatnonzero(n[:self.window - size + 1])  # level 0 holds no open window
+        if not len(used):
+            return 0
+        cost = 2 * (n[used + size] - n[used]) + 2
+        if used[-1] + size == self.window:
+            cost[-1] = 1 - 2 * n[used[-1]]  # a full window is not counted
+        at = len(cost) - 1 - int(np.argmin(cost[::-1]))
+        return int(used[at]) if cost[at] <= 2 * n[size] + 1 else 0  # a new window leaves no level
 
     def _run_together(self, last: bool) -> list[list[Piece]]:
         pieces = [p for h in sorted(self.open, reverse=True) for w in self.open[h] for p in w]

@@ -12,7 +12,7 @@ import os
 import numpy as np
 
 SLICE = 1 << 20  # bytes of a text that are split into words at once
-KEPT_BYTES = 128 << 20  # of words and ids that a process keeps
+KEPT_BYTES = 96 << 20  # of words and ids in each of the two generations that a process keeps
 
 
 def _byte_letters() -> str:
@@ -48,6 +48,7 @@ class WordTokens:
         self.model = self.tokenizer.model
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.ids: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.kept = 0
 
     @classmethod
@@ -67,8 +68,13 @@ class WordTokens:
         # Lowering A-Z first changes nothing: the tokenizer lowers every letter itself.
         words = text.lower().replace(b"\n", b" ").split(b" ")
         if self.kept > KEPT_BYTES:
-            self.ids, self.kept = {}, 0
+            self.old, self.ids, self.kept = self.ids, {}, 0
         new = set(words).difference(self.ids)
+        if new and self.old:
+            again = [w for w in new if w in self.old]
+            for w in again:
+                self._keep(w, self.old[w])
+            new.difference_update(again)
         if new:
             self._learn(new)
         return b"".join(map(self.ids.__getitem__, words))
