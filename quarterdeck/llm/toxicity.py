@@ -11,8 +11,10 @@ length in letters; a document by its highest passage, so that length does not hi
 an expression. A logistic curve turns this into a score between 0 and 1. The curve is fitted on
 training documents that the counts it is fitted with do not hold.
 
-Counts cover all training documents. The driver and the tasks hold at most ``MOST_GRAMS`` grams: if
-there are more, those below a count (a power of two) are left to the shared backoff.
+Counts cover all training documents and every gram that they have. Counts, continuation counts and
+ratios are tables with a row per gram; the ratios lie in the shared folder in files of about
+``FILE_ROWS`` rows, and tasks look up the grams of many new words at a time, file by file. The driver
+holds none of them.
 """
 
 from __future__ import annotations
@@ -21,19 +23,28 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import arrow_map, fold, utf8, with_columns
-from quarterdeck.session import fresh_path
+from quarterdeck.session import fresh_path, written
 
 WORD = re.compile(r"[^\W\d_]+")
 ORDER, DISCOUNT, PASSAGE = 5, 0.75, 4
 FOLDS, HELD_OUT, CURVE_FOLD = 3, 1, 2
-MOST_GRAMS, CURVE_ROWS, KEPT_WORDS, COUNTED_WORDS = 300_000, 20_000, 300_000, 100_000
+CURVE_ROWS, KEPT_WORDS, COUNTED_WORDS = 20_000, 300_000, 100_000
+FILE_ROWS, FILES_READ, HELD_BYTES = 1 << 16, 16, 1 << 24
+TRIAL, FINAL = 0, 1
+HISTORY = " "  # in no gram
 TOXIC_FROM = 0.7
 
 
@@ -43,44 +54,121 @@ def grams(word: str) -> list[str]:
     return [marked[max(0, i - ORDER + 1):i + 1] for i in range(1, len(marked))]
 
 
-class ToxicityModel:
+class Ratios(NamedTuple):
     """``ratio[gram]`` and, for grams not met, ``history[gram without its last letter]``: the log
     of the letter's chance in the toxic class over that in the ordinary class."""
 
-    def __init__(self, ratio: dict[str, float], history: dict[str, float], slope: float = 0.0,
-                 at: float = 0.0) -> None:
-        self.ratio, self.history, self.slope, self.at = ratio, history, slope, at
-        self.words: dict[str, float] = {}
-
-    def word(self, word: str) -> float:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) > KEPT_WORDS:
-                self.words = {}
-            ratio, history, found = self.ratio, self.history, 0.0
-            for gram in grams(word):
-                part = ratio.get(gram)
-                found += history.get(gram[:-1], 0.0) if part is None else part
-            self.words[word] = found
-        return found
-
-    def passage(self, text: str) -> float:
+    ratio: dict[str, float]
+    history: dict[str, float]
+
+
+class ToxicityModel(NamedTuple):
+    """The folder of a table of ratios (none: everything scores 0) and a logistic curve."""
+
+    folder: str | None = None
+    slope: float = 0.0
+    at: float = 0.0
+
+    def score(self, passage: float) -> float:
+        z = self.slope * (passage - self.at)
+        return 1 / (1 + math.exp(-max(-700.0, min(700.0, z)))) if self.slope else 0.0
+
+
+class Words:
+    """The words that a process has met and, one flush later, the sums of their grams' ratios."""
+
+    def __init__(self, folder: str) -> None:
+        self.folder = folder
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = defaultdict()
+        self.place.default_factory = self.place.__len__
+        self.values, self.sizes = np.empty(0), np.empty(0, np.int64)
+
+    def lookup(self, wanted: list[str]) -> np.ndarray:
+        """The values of these rows of the table, NaN for others; a few files at a time."""
+        out, keys = np.full(len(wanted), np.nan), pa.array(wanted, pa.string())
+        fs, root = pa.fs.FileSystem.from_uri(self.folder)
+        files = sorted(f.path for f in fs.get_file_info(pa.fs.FileSelector(root))
+                       if f.path.endswith(".parquet"))
+        for start in range(0, len(files), FILES_READ):
+            parts = []
+            for path in files[start:start + FILES_READ]:
+                with fs.open_input_file(path) as source:
+                    parts.append(pq.ParquetFile(source).read(columns=["gram", "value"]))
+            rows = pa.concat_tables(parts).combine_chunks()
+            at = pc.index_in(rows["gram"], value_set=keys)
+            known = pc.is_valid(at)
+            out[at.filter(known).to_numpy()] = rows["value"].filter(known).to_numpy()
+        return out
+
+    def learn(self) -> None:
+        """Values of the words met since the last time."""
+        new = list(islice(self.place, len(self.values), None))
+        if not new:
+            return
+        met = list({gram for word in new for gram in grams(word)})
+        histories = list({gram[:-1] for gram in met})
+        values = self.lookup([*met, *(h + HISTORY for h in histories)])
+        backoff = dict(zip(histories, np.nan_to_num(values[len(met):], nan=0.0).tolist()))
+        part = {gram: backoff[gram[:-1]] if math.isnan(value) else value
+                for gram, value in zip(met, values[:len(met)].tolist())}
+        self.values = np.append(self.values, [sum(part[g] for g in grams(w)) for w in new])
+        self.sizes = np.append(self.sizes, [len(w) + 1 for w in new])
+
+    def passage(self, words: np.ndarray) -> float:
         """The highest difference of log-likelihoods per letter of any PASSAGE words in a row."""
-        words = WORD.findall(text.lower())
-        if not words:
+        if not len(words):
             return -1.0
-        sums = np.cumsum([0.0, *map(self.word, words)])
-        sizes = np.cumsum([0, *(len(w) + 1 for w in words)])
+        sums = np.concatenate([[0.0], np.cumsum(self.values[words])])
+        sizes = np.concatenate([[0], np.cumsum(self.sizes[words])])
         k = min(PASSAGE, len(words))
         return float(((sums[k:] - sums[:-k]) / (sizes[k:] - sizes[:-k])).max())
 
-    def score(self, text: str) -> float:
-        z = self.slope * (self.passage(text) - self.at)
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, z)))) if self.slope else 0.0
+    def passages(self, batches: Iterator[pa.RecordBatch], column: str,
+                 ) -> Iterator[tuple[pa.RecordBatch, list[float]]]:
+        """Every batch with the passages of this column of texts (strings or UTF-8 bytes). Batches
+        wait until there are COUNTED_WORDS new words or HELD_BYTES of text."""
+        held, size = [], 0
 
+        def flush() -> Iterator[tuple[pa.RecordBatch, list[float]]]:
+            self.learn()
+            for batch, texts in held:
+                yield batch, [self.passage(words) for words in texts]
+            held.clear()
+            if len(self.place) > KEPT_WORDS:
+                self.forget()
 
-def build(counts: dict[int, dict[str, int]]) -> ToxicityModel:
-    """The model of gram counts by class (0 ordinary, 1 toxic)."""
+        for batch in batches:
+            texts = []
+            for value in batch[batch.schema.names.index(column)]:
+                text = value.as_py() or ""
+                text = text.decode() if isinstance(text, bytes) else text
+                words = WORD.findall(text.lower())
+                texts.append(np.fromiter(map(self.place.__getitem__, words), np.int32, len(words)))
+                size += len(text)
+            held.append((batch, texts))
+            if len(self.place) - len(self.values) > COUNTED_WORDS or size > HELD_BYTES:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+
+_words: dict[str, Words] = {}
+
+
+def _known(folder: str) -> Words:
+    """One per process, so that tasks share the words it has met."""
+    if folder not in _words:
+        _words.clear()
+        _words[folder] = Words(folder)
+    return _words[folder]
+
+
+def build(counts: dict[int, dict[str, int]]) -> Ratios:
+    """The ratios of gram counts by class (0 ordinary, 1 toxic), in memory: what :func:`ratios`
+    is compared with."""
     before: dict[str, set[str]] = defaultdict(set)
     for own in counts.values():
         for gram in own:
@@ -118,7 +206,7 @@ def build(counts: dict[int, dict[str, int]]) -> ToxicityModel:
         return backoff + (max(n - DISCOUNT, 0) / totals[label][h] if n else 0.0)
 
     met = {g for own in counts.values() for g in own}
-    return ToxicityModel(
+    return Ratios(
         {g: math.log(chance(1, g) / chance(0, g)) for g in met},
         {h: math.log(freed(1, h) / freed(0, h)) for h in {g[:-1] for g in met}})
 
@@ -175,17 +263,53 @@ def _gather(labelled: DataFrame) -> DataFrame:
             .groupBy("fold", "toxic", "gram").agg(F.sum("n").alias("n")))
 
 
-def _bounded(counted: DataFrame) -> list:
-    """At most MOST_GRAMS rows, those of the highest counts, cut at a power of two."""
-    sizes = (counted.groupBy(F.floor(F.log2("n")).cast("int").alias("bits"))
-             .agg(F.count("*").alias("rows")).collect())
-    least, total = 0, 0
-    for row in sorted(sizes, reverse=True):
-        total += row["rows"]
-        if total > MOST_GRAMS:
-            least = row["bits"] + 1
-            break
-    return counted.where(F.col("n") >= 1 << least).collect()
+def _freed(label: int) -> Column:
+    return F.coalesce(F.try_divide(F.lit(DISCOUNT) * F.col(f"kinds{label}"),
+                                   F.col(f"total{label}")), F.lit(1.0))
+
+
+def _chance(label: int) -> Column:
+    own = F.greatest(F.col(f"n{label}") - F.lit(DISCOUNT), F.lit(0.0))
+    return (_freed(label) * F.col("shared")
+            + F.coalesce(F.try_divide(own, F.col(f"total{label}")), F.lit(0.0)))
+
+
+def ratios(counted: DataFrame) -> DataFrame:
+    """model, gram, value of all grams in ``counted`` (model, toxic, gram, n); the rows of histories
+    have ``HISTORY`` behind their letters. A window is the letters after one history."""
+    history = F.expr("substr(gram, 1, length(gram) - 1)")
+    after = Window.partitionBy("model", "history")
+    own = (counted.groupBy("model", "gram").agg(
+        *[F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}")
+          for c in (0, 1)]).withColumn("history", history))
+    for c in (0, 1):
+        own = (own.withColumn(f"total{c}", F.sum(f"n{c}").over(after))
+               .withColumn(f"kinds{c}", F.sum((F.col(f"n{c}") > 0).cast("int")).over(after)))
+    own = written(own.withColumn("first", F.row_number().over(after.orderBy("gram")) == 1),
+                  "grams-by-class")
+    ends = own.select("model", F.expr(
+        "inline(transform(sequence(1, length(gram) - 1), k -> "
+        "named_struct('gram', substr(gram, k + 1), 'letter', substr(gram, k, 1))))"))
+    letters = ends.distinct().groupBy("model", "gram").agg(F.count(F.lit(1)).alias("letters"))
+    steps = written(letters.withColumn("history", history)
+                    .withColumn("total", F.sum("letters").over(after))
+                    .withColumn("kinds", F.count(F.lit(1)).over(after)), "continuations")
+    levels: list[DataFrame] = []
+    for size in range(1, ORDER):
+        level = steps.where(F.length("gram") == size).withColumn("end", F.expr("substr(gram, 2)"))
+        level = (level.join(levels[-1].select("model", F.col("gram").alias("end"),
+                                              F.col("shared").alias("lower")), ["model", "end"])
+                 if levels else level.withColumn("lower", F.lit(1 / 256)))
+        levels.append(written(level.select("model", "gram", (
+            (F.greatest(F.col("letters") - F.lit(DISCOUNT), F.lit(0.0))
+             + F.lit(DISCOUNT) * F.col("kinds") * F.col("lower")) / F.col("total")
+        ).alias("shared")), "shared"))
+    shared = reduce(DataFrame.unionByName, levels).withColumnRenamed("gram", "end")
+    return (own.withColumn("end", F.expr("substr(gram, 2)")).join(shared, ["model", "end"])
+            .select("model", "gram", F.log(_chance(1) / _chance(0)).alias("value"))
+            .unionByName(own.where("first").select(
+                "model", F.concat("history", F.lit(HISTORY)).alias("gram"),
+                F.log(_freed(1) / _freed(0)).alias("value"))))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
@@ -200,58 +324,40 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     path = fresh_path(docs.sparkSession, "labelled")
     joined.write.option("compression", "zstd").parquet(path)
     labelled = docs.sparkSession.read.schema(joined.schema).parquet(path)
-    gram_path = fresh_path(docs.sparkSession, "grams")
-    gathered = _gather(labelled)
-    gathered.write.parquet(gram_path)
-    rows = _bounded(docs.sparkSession.read.schema(gathered.schema).parquet(gram_path))
-    some: dict[int, dict[str, int]] = {0: {}, 1: {}}
-    every: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for row in rows:
-        every[row["toxic"]][row["gram"]] += row["n"]
-        if row["fold"] != CURVE_FOLD:
-            some[row["toxic"]][row["gram"]] = row["n"]
-    if not every[0] or not every[1]:
-        return ToxicityModel({}, {})
-    trial = build(some)
-    given = docs.sparkSession.sparkContext.broadcast((trial.ratio, trial.history, 0.0, 0.0))
+    gathered = written(_gather(labelled), "grams")
+    if gathered.select("toxic").distinct().count() < 2:
+        return ToxicityModel()
+    models = F.when(F.col("fold") == CURVE_FOLD, F.array(F.lit(FINAL))).otherwise(
+        F.array(F.lit(TRIAL), F.lit(FINAL)))
+    found = written(ratios(gathered.withColumn("model", F.explode(models))), "ratios")
+    folder = fresh_path(docs.sparkSession, "ratio-files")
+    found.repartition(found.count() // FILE_ROWS + 1).write.partitionBy("model").parquet(folder)
+    trial, final = f"{folder}/model={TRIAL}", f"{folder}/model={FINAL}"
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        mine = ToxicityModel(*given.value)
-        for batch in batches:
-            yield {"x": [mine.passage(t.as_py().decode()) for t in batch["utf8"]],
-                   "toxic": batch["toxic"]}
+        for batch, found in _known(trial).passages(batches, "utf8"):
+            yield {"x": found, "toxic": batch["toxic"]}
 
     tried = arrow_map(labelled.where(F.col("fold") == CURVE_FOLD), passages, "x double, toxic int")
     sample = (tried.orderBy(F.xxhash64("x", "toxic"), "x").limit(CURVE_ROWS)).toPandas()
-    model = build(every)
-    model.slope, model.at = fit_curve(sample["x"].to_numpy(), sample["toxic"].to_numpy())
-    return model
-
-
-_models: dict[int, ToxicityModel] = {}
+    return ToxicityModel(final, *fit_curve(sample["x"].to_numpy(), sample["toxic"].to_numpy()))
 
 
 def predict(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """All columns of ``docs`` with score and predicted; columns of these names are replaced.
     A null text is an empty one. The text alone decides."""
-    given = docs.sparkSession.sparkContext.broadcast(
-        (model.ratio, model.history, model.slope, model.at))
+    kept = docs.drop("score", "predicted")
+    if model.folder is None:
+        return kept.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        value = given.value
-        if id(value) not in _models:  # one per process, so that tasks share the words it has met
-            _models.clear()
-            _models[id(value)] = ToxicityModel(*value)
-        mine = _models[id(value)]
-        for batch in batches:
-            scores = [mine.score(t.as_py() or "")
-                      for t in batch[batch.schema.names.index("text")]]
+        for batch, found in _known(model.folder).passages(batches, "text"):
+            scores = [model.score(x) for x in found]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64()),
                  pa.array([int(s >= TOXIC_FROM) for s in scores], pa.int32())],
                 names=[*batch.schema.names, "score", "predicted"])
 
-    kept = docs.drop("score", "predicted")
     return kept.mapInArrow(run, with_columns(kept, "score double, predicted int"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -103,3 +104,47 @@ def test_toxicity_without_labels(spark):
     assert {(r.score, r.predicted) for r in
             toxicity.toxicity(docs, labels.where("toxic = 0")).collect()} == {(0.0, 0)}
     assert toxicity.toxicity(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_ratio_table_equals_the_ratios_in_memory(spark):
+    rng, counts = np.random.default_rng(3), {}
+    for label, letters in ((0, "abcde"), (1, "cdefé語")):
+        found = toxicity.Counter()
+        for _ in range(300):
+            found.update(toxicity.grams("".join(rng.choice(list(letters), rng.integers(1, 8)))))
+        counts[label] = dict(found)
+    rows = [(m, c, g, n + m) for m in (0, 1) for c, own in counts.items() for g, n in own.items()]
+    found = toxicity.ratios(spark.createDataFrame(
+        rows, "model int, toxic int, gram string, n long")).collect()
+    for m in (0, 1):
+        meant = toxicity.build({c: {g: n + m for g, n in own.items()}
+                                for c, own in counts.items()})
+        own = {r.gram: r.value for r in found if r.model == m}
+        meant = meant.ratio | {h + toxicity.HISTORY: v for h, v in meant.history.items()}
+        assert own == pytest.approx(meant, rel=1e-12)
+    assert len(found) == 2 * len(meant)
+
+
+def test_words_met_once_count_however_many_there_are(spark):
+    """About 540,000 grams; held-out documents have only words that one learnt document has."""
+    rng, letters = np.random.default_rng(4), np.array(list("abcdefghijklmnopqrstuvwxyz"))
+
+    def some(n):
+        return ["".join(w) for w in letters[rng.integers(0, 26, (n, 9))]]
+
+    common, once = (some(10), some(10)), ([], [])
+    texts, held = {}, [i for i in range(600) if zlib.crc32(str(i).encode()) % 3 == 1]
+    for i in set(range(600)) - set(held):  # odd ids are toxic
+        new = some(150)
+        once[i % 2].extend(new)
+        texts[i] = common[i % 2] + new
+    for i in held:
+        texts[i] = rng.choice(once[i % 2], 2)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in texts], LABEL)
+    rows = [r for r in toxicity.toxicity(docs, labels).collect() if r.held_out]
+    assert len(rows) == len(held) > 100
+    clean, toxic = ([r.score for r in rows if r.doc_id % 2 == c] for c in (0, 1))
+    # the common words set the curve; these words lie below its middle, but apart from each other
+    assert np.mean([a < b for a, b in itertools.product(clean, toxic)]) > 0.999
