@@ -112,6 +112,12 @@ class FeatureSteps:
                 handleInvalid="keep"))
             self.inputs += codes
 
+    def codes_as_numbers(self):
+        """Codes without their kind: trees take no more categories than there are rows."""
+        codes = [f"__code_{c}" for c in self.text]
+        self.stages.insert(-1, _sql([f"{quoted(c)} + 0D AS {quoted(c)}" for c in codes],
+                                    dropped=codes))
+
     def _scale(self, moments):
         self.stages.append(_sql(
             [f"{_z_score(c, moments.mean[c], moments.std[c])} AS {quoted(c)}"
@@ -193,10 +199,16 @@ def fit(features: DataFrame, settings: Settings = Settings(), quarter: int | Non
     model = build(settings)
     if model.hasParam("maxBins") and steps.text and not settings.one_hot_encode:
         # Trees need a bin for every category, and one for unseen values.
-        most = max(train.agg(*[F.count_distinct(quoted(c)) for c in steps.text]).first())
-        model.set(model.maxBins, max(model.getOrDefault(model.maxBins), most + 2))
+        n, *kinds = train.agg(F.count(F.lit(1)),
+                              *[F.count_distinct(quoted(c)) for c in steps.text]).first()
+        model.set(model.maxBins, max(model.getOrDefault(model.maxBins), max(kinds) + 2))
+        if n < max(kinds) + 2:
+            steps.codes_as_numbers()
     uses_held_out = (model.hasParam("validationIndicatorCol")
                      and model.isDefined("validationIndicatorCol"))
+    if uses_held_out and marked.where(HELD_OUT).isEmpty():  # a few rows: nothing to stop early by
+        model.clear(model.validationIndicatorCol)
+        uses_held_out = False
     pipeline = Pipeline(stages=[*steps.stages, model]).fit(marked if uses_held_out else train)
     scored = pipeline.transform(marked.where(HELD_OUT)).select(
         *KEY, settings.target, "prediction")

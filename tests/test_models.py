@@ -9,6 +9,9 @@ from quarterdeck.operators import encoding
 from quarterdeck.plans import training, walk_forward as walk
 from quarterdeck.plans.features import labelled_and_candidates
 from quarterdeck.plans.settings import Settings
+from workload import model_queries
+
+SMOKE = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("rows, size", [(1000, 0.2), (997, 0.33), (3, 0.2), (10, 1.0), (200, 0.0)])
@@ -150,3 +153,39 @@ def test_trees_take_more_categories_than_the_default_bins(spark):
         "10.0D AS PriceAvg", "CAST(id % 60 AS DOUBLE) AS goal")
     settings = Settings(target="goal", model="shallow_trees", n_estimators=2, one_hot_encode=False)
     assert training.fit(rows, settings).scored.count() > 0
+
+
+class Asked(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["train_predict", "train_metrics", "feature_importance",
+                                  "recommendation", "walk_forward"])
+def test_model_queries_learn_from_the_whole_feature_table(spark, monkeypatch, name):
+    """All columns, 100 trees of the default depth, all quarters that can be learnt from."""
+    def stop(*args, **kw):
+        raise Asked(*args)
+
+    monkeypatch.setattr(model_queries.training, "fit", stop)
+    monkeypatch.setattr(model_queries.walk, "recommend", stop)
+    monkeypatch.setattr(model_queries.walk, "walk_forward", stop)
+    with pytest.raises(Asked) as asked:
+        getattr(model_queries, name)(spark, SMOKE)
+    rows, settings = asked.value.args[0], asked.value.args[-1]
+    whole = model_queries.feature_rows(spark, SMOKE)
+    assert {*rows.columns, "PriceAvg"} == {*whole.columns}
+    assert (settings.n_estimators, settings.max_depth) == (100, 5)
+    assert settings.model == ("shallow_trees" if name == "train_metrics" else "boosted_trees")
+    if name == "walk_forward":
+        start, end = asked.value.args[2:4]
+        known = {r.q_ord for r in rows.where(f"{settings.target} IS NOT NULL").collect()}
+        assert start == min(known) + settings.horizon
+        assert end == max(r.q_ord for r in rows.select("q_ord").collect()) > max(known)
+
+
+@pytest.mark.parametrize("rows", [1, 3, 8])
+def test_trees_learn_from_fewer_rows_than_categories(spark, rows):
+    df = spark.createDataFrame([(f"e{i}", 100, f"kind {i}", float(i), float(i)) for i in range(rows)],
+                               f"entity string, q_ord int, Industry string, x double, {TARGET} double")
+    fitted = training.fit(df, Settings(n_estimators=2), stored=True)
+    assert training.predict(fitted.pipeline, df.drop(TARGET)).count() == rows

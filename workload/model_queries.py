@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import KEY, TARGET
 from quarterdeck.functions.periods import ordinal
-from quarterdeck.functions.ratios import RATIOS, add_formulas
 from quarterdeck.operators import backtest, changes, encoding, metrics, ranking
-from quarterdeck.operators.merging import add_dimension
 from quarterdeck.plans import training, walk_forward as walk
 from quarterdeck.plans.settings import Settings
 from quarterdeck.session import fresh_path, written
@@ -324,8 +323,7 @@ def price_adjustment(spark, sf_dir):
 
 # ---------------------------------------------------------------- models
 
-_TREES = Settings(market_indices=(views.MARKET,), n_estimators=10, max_depth=4)
-_LINEAR = Settings(market_indices=(views.MARKET,), model="linear")
+_DEFAULTS = Settings(market_indices=(views.MARKET,))
 
 
 @query("linear_regression", """
@@ -346,21 +344,23 @@ def linear_regression(spark, sf_dir):
                          F.round("rmse", 2).alias("rmse"))
 
 
-def _small_features(spark, sf_dir):
-    """A feature table of ratios and price changes."""
-    rows = add_formulas(add_dimension(views.facts(spark, sf_dir), views.dimension(spark, sf_dir)))
-    changed = changes.add_changes(rows, ["PriceAvg", "TotalRevenue", "Volume"])
-    wanted = [c for c in changed.columns if "_Delta_" in c]
-    return changes.add_target(changed.select(
-        *KEY, "PriceAvg", "DividendPerShare", *RATIOS, *wanted, "Industry")).drop(
-        "DividendPerShare")
+def _features(spark, sf_dir):
+    """The whole feature table: archive, ratios, 56 changes, index comparison, target."""
+    return written(feature_rows(spark, sf_dir), "features")
+
+
+def learnable_quarters(rows, settings=_DEFAULTS):
+    """(first, last): the first quarter with a labelled one in its training window, the last one."""
+    row = rows.agg(F.min(F.when(F.col(settings.target).isNotNull(), F.col("q_ord"))).alias("first"),
+                   F.max("q_ord").alias("last")).first()
+    return row["first"] + (settings.horizon if settings.purge else 1), row["last"]
 
 
 @query("train_predict")
 def train_predict(spark, sf_dir):
     """Boosted trees on the whole feature table, saved, loaded and applied to the candidates."""
-    rows = written(feature_rows(spark, sf_dir), "features")
-    fitted = training.fit(rows.drop("PriceAvg"), _TREES, stored=True)
+    rows = _features(spark, sf_dir)
+    fitted = training.fit(rows.drop("PriceAvg"), _DEFAULTS, stored=True)
     path = fresh_path(spark, "model")
     fitted.save(path)
     candidates = rows.where(F.col(TARGET).isNull()).drop(TARGET, "PriceAvg")
@@ -371,28 +371,31 @@ def train_predict(spark, sf_dir):
 def train_metrics(spark, sf_dir):
     """Errors of the shallow trees on the held-out part, with outliers cut, 0/1 categories and
     scaled numbers."""
-    settings = Settings(model="shallow_trees", n_estimators=10, extract_outliers=True,
-                        one_hot_encode=True, scale_numerics=True)
-    return training.fit(_small_features(spark, sf_dir).drop("PriceAvg"), settings).metrics
+    settings = replace(_DEFAULTS, model="shallow_trees", extract_outliers=True,
+                       one_hot_encode=True, scale_numerics=True)
+    return training.fit(_features(spark, sf_dir).drop("PriceAvg"), settings, stored=True).metrics
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    return training.fit(_small_features(spark, sf_dir).drop("PriceAvg"), _TREES).importance
+    return training.fit(
+        _features(spark, sf_dir).drop("PriceAvg"), _DEFAULTS, stored=True).importance
 
 
 @query("recommendation")
 def recommendation(spark, sf_dir):
-    """Train on the labelled rows, adjust the candidates by the latest price, show the best."""
-    _, best = walk.recommend(
-        _small_features(spark, sf_dir), views.supplier_prices(spark, sf_dir), date(2001, 8, 1),
-        ordinal(2001, 1), ordinal(2001, 3), _LINEAR)
+    """Train on the labelled rows, adjust the candidates of the two quarters before the last price
+    by that price, show the best."""
+    prices = views.supplier_prices(spark, sf_dir)
+    today = prices.agg(F.max("date")).first()[0]
+    now = ordinal(today.year, (today.month + 2) // 3)
+    _, best = walk.recommend(feature_rows(spark, sf_dir), prices, today, now - 2, now, _DEFAULTS)
     return best
 
 
 @query("walk_forward")
 def walk_forward(spark, sf_dir):
-    """One linear model per quarter, its picks bought and held."""
-    rows = _small_features(spark, sf_dir)
+    """Boosted trees for every quarter that has one to learn from, its picks bought and held."""
+    rows = _features(spark, sf_dir)
     panel = rows.select(*KEY, "Q_Delta_PriceAvg")
-    return walk.walk_forward(rows, panel, ordinal(1998, 1), ordinal(2000, 4), _LINEAR)
+    return walk.walk_forward(rows, panel, *learnable_quarters(rows), _DEFAULTS)
