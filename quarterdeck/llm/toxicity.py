@@ -9,7 +9,8 @@ nothing then, and rare expressions are told apart by their common parts.
 A passage of ``PASSAGE`` words is scored by the difference of the two log-likelihoods divided by its
 length in letters; a document by its highest passage, so that length does not hide
 an expression. A logistic curve turns this into a score between 0 and 1. The curve is fitted on
-training documents that the counts it is fitted with do not hold.
+training documents that the counts it is fitted with do not hold, as many of each class; where a
+training fold lacks a class, it is ``FIXED_CURVE``, about what the given tables lead to.
 
 Counts cover all training documents and every gram that they have. Counts, continuation counts and
 ratios are tables with a row per gram; the ratios lie in the shared folder in files of about
@@ -44,6 +45,7 @@ FOLDS, HELD_OUT, CURVE_FOLD = 3, 1, 2
 CURVE_ROWS, KEPT_WORDS, COUNTED_WORDS = 20_000, 300_000, 100_000
 FILE_ROWS, FILES_READ, HELD_BYTES = 1 << 16, 16, 1 << 24
 TRIAL, FINAL = 0, 1
+FIXED_CURVE = 6.0, 0.32
 HISTORY = " "  # in no gram
 TOXIC_FROM = 0.7
 
@@ -325,7 +327,8 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     joined.write.option("compression", "zstd").parquet(path)
     labelled = docs.sparkSession.read.schema(joined.schema).parquet(path)
     gathered = written(_gather(labelled), "grams")
-    if gathered.select("toxic").distinct().count() < 2:
+    classes = {tuple(row) for row in gathered.select("fold", "toxic").distinct().collect()}
+    if len({label for _, label in classes}) < 2:
         return ToxicityModel()
     models = F.when(F.col("fold") == CURVE_FOLD, F.array(F.lit(FINAL))).otherwise(
         F.array(F.lit(TRIAL), F.lit(FINAL)))
@@ -334,13 +337,20 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     found.repartition(found.count() // FILE_ROWS + 1).write.partitionBy("model").parquet(folder)
     trial, final = f"{folder}/model={TRIAL}", f"{folder}/model={FINAL}"
 
+    if len(classes) < 2 * (FOLDS - 1):
+        return ToxicityModel(final, *FIXED_CURVE)
+
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch, found in _known(trial).passages(batches, "utf8"):
             yield {"x": found, "toxic": batch["toxic"]}
 
-    tried = arrow_map(labelled.where(F.col("fold") == CURVE_FOLD), passages, "x double, toxic int")
-    sample = (tried.orderBy(F.xxhash64("x", "toxic"), "x").limit(CURVE_ROWS)).toPandas()
-    return ToxicityModel(final, *fit_curve(sample["x"].to_numpy(), sample["toxic"].to_numpy()))
+    tried = written(arrow_map(labelled.where(F.col("fold") == CURVE_FOLD), passages,
+                              "x double, toxic int"), "passages")
+    sample = reduce(DataFrame.unionByName, [
+        tried.where(F.col("toxic") == label).orderBy(F.xxhash64("x", "toxic"), "x")
+        .limit(CURVE_ROWS // 2) for label in (0, 1)]).toPandas()
+    slope, at = fit_curve(sample["x"].to_numpy(), sample["toxic"].to_numpy())
+    return ToxicityModel(final, *((slope, at) if slope else FIXED_CURVE))
 
 
 def predict(docs: DataFrame, model: ToxicityModel) -> DataFrame:

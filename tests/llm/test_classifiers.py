@@ -148,3 +148,23 @@ def test_words_met_once_count_however_many_there_are(spark):
     clean, toxic = ([r.score for r in rows if r.doc_id % 2 == c] for c in (0, 1))
     # the common words set the curve; these words lie below its middle, but apart from each other
     assert np.mean([a < b for a, b in itertools.product(clean, toxic)]) > 0.999
+
+
+@pytest.mark.parametrize("without", [0, 2])
+def test_toxicity_where_a_training_fold_has_no_toxic_document(spark, without):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    fewer = labels.where((toxicity.F.col("toxic") == 0)
+                         | (toxicity.fold("doc_id", toxicity.FOLDS) != without))
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [r for r in toxicity.toxicity(docs, fewer).collect() if r.held_out]
+    toxic = [r.predicted for r in rows if truth.get(r.doc_id) == 1]
+    clean = [r.predicted for r in rows if truth.get(r.doc_id) == 0]
+    assert sum(toxic) / len(toxic) > 0.4 and sum(clean) / len(clean) < 0.05
+
+
+def test_the_curve_is_drawn_from_both_classes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "CURVE_ROWS", 4)
+    monkeypatch.setattr(toxicity, "fit_curve", lambda x, toxic: (seen.extend(toxic), (1.0, 0.0))[1])
+    toxicity.train(table(spark, SF, "documents"), table(spark, SF, "labels"))
+    assert sorted(seen) == [0, 0, 1, 1]
