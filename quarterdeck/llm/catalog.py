@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from quarterdeck.llm import (  # noqa: F401
-    classifier_queries, join_queries, merkle_queries, pii_queries, secret_queries,
-    token_queries, vector_queries)
+    classifier_queries, collocation_queries, join_queries, merkle_queries, near_queries, pii_queries,
+    secret_queries, token_queries, vector_queries)
 from quarterdeck.llm.common import ORACLES, QUERIES  # noqa: F401

@@ -2,7 +2,8 @@
 
 Words are runs of bytes other than space and 09-0D, with A-Z lowered. A word's hash is a polynomial
 of its bytes modulo 2^64 (from running sums over the whole block), mixed; a shingle's hash mixes
-the hashes of ``SIZE`` words in a row. Texts of fewer words have one shingle, the whole sequence.
+the hashes of ``size`` words in a row (``SIZE`` and at most that). Texts of fewer words have one shingle,
+the whole sequence.
 """
 
 from __future__ import annotations
@@ -52,18 +53,18 @@ def word_hashes(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts, mix(hashes + (ends - starts).astype(np.uint64) * PLACES[-1])
 
 
-def _of_words(words: np.ndarray) -> np.ndarray:
-    if len(words) < SIZE:
+def _of_words(words: np.ndarray, size: int) -> np.ndarray:
+    if len(words) < size:
         return np.unique(mix((words * np.array(PLACES[:len(words)], np.uint64)).sum(keepdims=True)
                              + U(len(words)))) if len(words) else np.empty(0, np.uint64)
-    n = len(words) - SIZE + 1
+    n = len(words) - size + 1
     total = words[:n] * PLACES[0]
-    for i in range(1, SIZE):
+    for i in range(1, size):
         total += words[i:i + n] * PLACES[i]
     return np.unique(mix(total))
 
 
-def _long(text: bytes) -> np.ndarray:
+def _long(text: bytes, size: int) -> np.ndarray:
     parts, start = [], 0
     while start < len(text):
         end = start + BLOCK
@@ -71,11 +72,11 @@ def _long(text: bytes) -> np.ndarray:
             end += 1
         parts.append(word_hashes(text[start:end])[1])
         start = end
-    return _of_words(np.concatenate(parts))
+    return _of_words(np.concatenate(parts), size)
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """The set of each text, ascending."""
+def shingle_sets(texts: list[bytes], words: int = SIZE) -> list[np.ndarray]:
+    """The set of each text, ascending; shingles of ``words`` words."""
     found: list[np.ndarray] = []
     now: list[bytes] = []
     size = 0
@@ -87,14 +88,14 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
         starts, hashes = word_hashes(b" ".join(now))
         at = np.cumsum([0, *(len(t) + 1 for t in now)])
         cuts = np.searchsorted(starts, at)
-        found.extend(_of_words(hashes[a:b]) for a, b in zip(cuts[:-1], cuts[1:]))
+        found.extend(_of_words(hashes[a:b], words) for a, b in zip(cuts[:-1], cuts[1:]))
         now.clear()
         size = 0
 
     for text in texts:
         if len(text) > BLOCK:
             flush()
-            found.append(_long(text))
+            found.append(_long(text, words))
             continue
         now.append(text)
         size += len(text)
@@ -104,9 +105,9 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return found
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """100 * size of the intersection >= 75 * size of the union; empty sets are never linked."""
-    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < 75 * max(len(a), len(b)):
+def linked(a: np.ndarray, b: np.ndarray, percent: int = 75) -> bool:
+    """100 * size of the intersection >= percent * size of the union; empty sets are never linked."""
+    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= 75 * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
