@@ -157,6 +157,53 @@ def _hash_limit(hashes: DataFrame, test_size: float) -> str | None:
         prefix, width = p, min(width + 4, 32)
 
 
+def key_hash(seed: int = 7, key: Sequence[str] = KEY) -> Column:
+    """The hash by which :func:`hold_out` chooses rows."""
+    return _key_hash(seed, key)
+
+
+def hold_out_limits(hashes: DataFrame, windows: Mapping[int, range], test_size: float = 0.2,
+                    ) -> dict[int, str | None]:
+    """For each window of quarters the largest hash that :func:`hold_out` would hold out of its rows.
+
+    ``hashes`` is (q_ord, h), one row for each row. One histogram by quarter and hash prefix serves
+    all windows; only the rows of the prefixes in which a limit falls are looked at closer, for all
+    windows together.
+    """
+    wanted: dict[int, int] = {}
+    answer: dict[int, str | None] = dict.fromkeys(windows)
+    prefix = dict.fromkeys(windows, "")
+    still, width = set(windows), 3
+    while still:
+        length = len(next(iter(prefix[w] for w in still)))
+        near = hashes
+        if length:
+            near = hashes.where(F.substring("h", 1, length).isin(sorted({prefix[w] for w in still})))
+        by_quarter: dict[int, list] = {}
+        for r in (near.groupBy(Q_ORD, F.substring("h", 1, width).alias("p"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect()):
+            by_quarter.setdefault(r[Q_ORD], []).append((r["p"], r["n"]))
+        for w in list(still):
+            counts: dict[str, int] = {}
+            for quarter in windows[w]:
+                for p, n in by_quarter.get(quarter, ()):
+                    if p.startswith(prefix[w]):
+                        counts[p] = counts.get(p, 0) + n
+            wanted.setdefault(w, int(sum(counts.values()) * test_size))
+            for p in sorted(counts):
+                if counts[p] > wanted[w]:
+                    prefix[w] = p
+                    break
+                wanted[w] -= counts[p]
+                answer[w] = p.ljust(32, "f")
+            else:
+                still.discard(w)
+            if wanted[w] == 0 or width == 32:
+                still.discard(w)
+        width = min(width + 4, 32)
+    return answer
+
+
 def split_hold_out(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(training rows, held-out rows)."""
     return (marked.where(~F.col("held_out")).drop("held_out"),

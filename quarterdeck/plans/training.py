@@ -1,7 +1,8 @@
 """Fit a regressor on a window of quarters, score rows, keep the model.
 
-Every fitted step is a stage of one MLlib pipeline, so outlier bounds, categories and scaling are
-saved and loaded together with the regressor.
+Text columns become numbers by joined tables (``operators/categories``), for any number of categories;
+every other fitted step is a stage of one MLlib pipeline. Tables, outlier bounds, scaling and the
+regressor are saved and loaded together.
 """
 
 from __future__ import annotations
@@ -10,20 +11,22 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import ENTITY, KEY, Q_ORD, TARGET
 from quarterdeck.functions.ratios import quoted
-from quarterdeck.operators.encoding import fit_categories, fit_moments, hold_out
+from quarterdeck.operators.categories import (
+    CODES, MEANS, SLOTS, Encoder, fit_encoder, load_encoder)
+from quarterdeck.operators.encoding import fit_moments, hold_out
 from quarterdeck.operators.filters import between_quarters
 from quarterdeck.operators.metrics import absolute_error, feature_importance, regression_metrics
 from quarterdeck.plans.settings import Settings
 from quarterdeck.session import written
 
-VECTOR, HELD_OUT = "__features", "held_out"
+VECTOR, HELD_OUT, HASH = "__features", "held_out", "__hash"
 
 
 def boosted_trees(settings: Settings) -> Estimator:
@@ -47,12 +50,6 @@ def linear(settings: Settings) -> Estimator:
 MODELS = {"boosted_trees": boosted_trees, "shallow_trees": shallow_trees, "linear": linear}
 
 
-def _text(value) -> str:
-    if isinstance(value, str):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return repr(value)
-
-
 def _sql(expressions: Sequence[str], dropped: Sequence[str] = (), where: str = "") -> Transformer:
     star = f"* EXCEPT ({', '.join(map(quoted, dropped))})" if dropped else "*"
     tail = f" WHERE {where}" if where else ""
@@ -66,14 +63,28 @@ def _z_score(column: str, mean: float | None, std: float | None) -> str:
     return f"(({quoted(column)} - ({mean!r}D)) / {(std or 1.0)!r}D)"
 
 
+def category_kind(settings: Settings) -> str:
+    """0/1 places when asked for, else the number in sorted order when asked for or for a linear model,
+    else the mean target of the category, by whose order a tree cuts."""
+    if settings.one_hot_encode:
+        return SLOTS
+    return CODES if settings.numeric_encode_categories or settings.model == "linear" else MEANS
+
+
+def feature_columns(train: DataFrame, settings: Settings) -> tuple[list[str], list[str]]:
+    """(text columns, number columns) to learn from."""
+    skipped = {ENTITY, Q_ORD, "fy", settings.target, "PriceAvg", HELD_OUT, HASH}
+    kinds = {c: t for c, t in train.dtypes if c not in skipped}
+    text = [c for c, t in kinds.items() if t == "string"]
+    return text, [c for c in kinds if c not in text]
+
+
 class FeatureSteps:
     """Builds the fitted preparation stages for one training frame."""
 
     def __init__(self, train: DataFrame, settings: Settings):
-        skipped = {ENTITY, Q_ORD, "fy", settings.target, "PriceAvg", HELD_OUT}
-        kinds = {c: t for c, t in train.dtypes if c not in skipped}
-        self.text = [c for c, t in kinds.items() if t == "string"]
-        self.numbers = [c for c in kinds if c not in self.text]
+        text, self.numbers = feature_columns(train, settings)
+        self.encoder = fit_encoder(train, text, category_kind(settings), settings.target)
         self.stages: list[Transformer | Estimator] = []
         self.inputs: list[str] = []
         moments = None
@@ -81,7 +92,7 @@ class FeatureSteps:
             moments = fit_moments(train, self.numbers)
         if settings.extract_outliers:
             self._drop_outliers(moments)
-        self._categories(train, settings)
+        self.inputs += self.encoder.inputs
         if settings.scale_numerics:
             self._scale(moments)
         self._impute()
@@ -92,32 +103,6 @@ class FeatureSteps:
                  " true)" for c in self.numbers]
         self.stages.append(_sql([], where=" AND ".join(tests)))
 
-    def _categories(self, train: DataFrame, settings: Settings):
-        """0/1 columns when asked for, else sorted codes with the last for unseen values."""
-        if settings.one_hot_encode:
-            flags = []
-            for c, values in fit_categories(train, self.text).items():
-                present = [v for v in values if v is not None]
-                if len(present) < len(values):
-                    flags.append((f"{c}_nan", f"{quoted(c)} IS NULL"))
-                flags += [(f"{c}_{v}", f"{quoted(c)} <=> {_text(v)}") for v in present[1:]]
-            if flags:
-                self.stages.append(_sql(
-                    [f"CAST({test} AS INT) AS {quoted(n)}" for n, test in flags]))
-            self.inputs += [n for n, _ in flags]
-        elif self.text:
-            codes = [f"__code_{c}" for c in self.text]
-            self.stages.append(StringIndexer(
-                inputCols=self.text, outputCols=codes, stringOrderType="alphabetAsc",
-                handleInvalid="keep"))
-            self.inputs += codes
-
-    def codes_as_numbers(self):
-        """Codes without their kind: trees take no more categories than there are rows."""
-        codes = [f"__code_{c}" for c in self.text]
-        self.stages.insert(-1, _sql([f"{quoted(c)} + 0D AS {quoted(c)}" for c in codes],
-                                    dropped=codes))
-
     def _scale(self, moments):
         self.stages.append(_sql(
             [f"{_z_score(c, moments.mean[c], moments.std[c])} AS {quoted(c)}"
@@ -133,12 +118,31 @@ class FeatureSteps:
         self.inputs += [f"__x_{c}" for c in self.numbers]
         self.inputs += [f"__null_{c}" for c in self.numbers]
 
+    def names(self) -> list[str]:
+        """A name for each number of the vector."""
+        return [*self.encoder.names(), *self.inputs[len(self.encoder.inputs):]]
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Encoded categories and the fitted stages."""
+
+    encoder: Encoder
+    stages: PipelineModel
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.stages.transform(self.encoder.add(rows))
+
+    def save(self, path: str) -> None:
+        self.stages.write().overwrite().save(f"{path}/stages")
+        self.encoder.save(f"{path}/categories")
+
 
 @dataclass(frozen=True)
 class Fitted:
-    """A fitted pipeline, its errors on the held-out rows and its inputs."""
+    """A fitted pipeline, its errors on the held-out rows and the names of its inputs."""
 
-    pipeline: PipelineModel
+    pipeline: Prepared
     inputs: tuple[str, ...]
     settings: Settings
     scored: DataFrame
@@ -154,17 +158,18 @@ class Fitted:
     @property
     def importance(self) -> DataFrame:
         """Importance of each input; for a linear model its coefficients."""
-        model = self.pipeline.stages[-1]
+        model = self.pipeline.stages.stages[-1]
         values = (model.coefficients if hasattr(model, "coefficients")
                   else model.featureImportances).toArray()
         return feature_importance(self.scored.sparkSession, self.inputs, values)
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(path)
+        self.pipeline.save(path)
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_pipeline(path: str) -> Prepared:
+    stages = PipelineModel.load(f"{path}/stages")
+    return Prepared(load_encoder(SparkSession.active(), f"{path}/categories"), stages)
 
 
 def training_window(quarter: int, settings: Settings) -> range:
@@ -192,30 +197,28 @@ def fit(features: DataFrame, settings: Settings = Settings(), quarter: int | Non
     rows = training_rows(features, quarter, settings)
     if not stored:
         rows = written(rows, "training")
-    marked = hold_out(rows, settings.test_size)
+    return fit_marked(hold_out(rows, settings.test_size), settings)
+
+
+def fit_marked(marked: DataFrame, settings: Settings) -> Fitted:
+    """Fit on the rows that are not marked as held out."""
     train = marked.where(~F.col(HELD_OUT))
     steps = FeatureSteps(train, settings)
     build = MODELS[settings.model] if isinstance(settings.model, str) else settings.model
     model = build(settings)
-    if model.hasParam("maxBins") and steps.text and not settings.one_hot_encode:
-        # Trees need a bin for every category, and one for unseen values.
-        n, *kinds = train.agg(F.count(F.lit(1)),
-                              *[F.count_distinct(quoted(c)) for c in steps.text]).first()
-        model.set(model.maxBins, max(model.getOrDefault(model.maxBins), max(kinds) + 2))
-        if n < max(kinds) + 2:
-            steps.codes_as_numbers()
     uses_held_out = (model.hasParam("validationIndicatorCol")
                      and model.isDefined("validationIndicatorCol"))
     if uses_held_out and marked.where(HELD_OUT).isEmpty():  # a few rows: nothing to stop early by
         model.clear(model.validationIndicatorCol)
         uses_held_out = False
-    pipeline = Pipeline(stages=[*steps.stages, model]).fit(marked if uses_held_out else train)
+    rows = steps.encoder.add(marked if uses_held_out else train)
+    pipeline = Prepared(steps.encoder, Pipeline(stages=[*steps.stages, model]).fit(rows))
     scored = pipeline.transform(marked.where(HELD_OUT)).select(
         *KEY, settings.target, "prediction")
-    return Fitted(pipeline, tuple(steps.inputs), settings, scored)
+    return Fitted(pipeline, tuple(steps.names()), settings, scored)
 
 
-def predict(pipeline: PipelineModel, rows: DataFrame, target: str = TARGET) -> DataFrame:
+def predict(pipeline: Prepared, rows: DataFrame, target: str = TARGET) -> DataFrame:
     """(entity, q_ord, target): the prediction for each row."""
     ready = rows.withColumn(HELD_OUT, F.lit(False))
     return pipeline.transform(ready).select(*KEY, F.col("prediction").alias(target))

@@ -14,12 +14,15 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from quarterdeck.functions.names import KEY, Q_ORD
 from quarterdeck.functions.periods import fiscal_year
 from quarterdeck.operators.backtest import portfolio_values
+from quarterdeck.operators.encoding import hold_out_limits, key_hash
 from quarterdeck.operators.filters import between_quarters
 from quarterdeck.operators.ranking import top_n, top_n_per_quarter
 from quarterdeck.operators.rollups import latest_price
 from quarterdeck.plans.features import labelled_and_candidates
+from quarterdeck.plans.linear_windows import linear_windows, predict_windows, summable
 from quarterdeck.plans.settings import Settings
-from quarterdeck.plans.training import Fitted, adjust_for_price, fit, predict, training_window
+from quarterdeck.plans.training import (
+    HASH, HELD_OUT, Fitted, adjust_for_price, fit, fit_marked, predict, training_rows, training_window)
 from quarterdeck.session import fresh_path, written
 
 
@@ -40,15 +43,16 @@ def walk_forward_picks(features: DataFrame, start: int, end: int,
                        settings: Settings = Settings()) -> DataFrame:
     """Ranked picks of every quarter, each from a model that saw only the quarters before it.
 
-    The loop is over quarters, never over entities, and as no quarter needs another's model some
-    are fitted at a time. Features and picks are written to the shared folder: each fit reads its
-    window of partitions, and a quarter's few picks do not drag the model that made them through
-    the rest of the run. Quarters end at the first one without training rows or candidates.
+    Features are written once, with the hash that chooses the rows to hold out; one histogram of it
+    gives the limits of all windows. Linear models of all quarters come from sums by quarter, in one reading
+    (``linear_windows``). Other models are fitted some at a time, as no quarter needs another's, each from
+    its window of partitions; the picks are written, so that they do not drag the model that made them
+    through the rest of the run. Quarters end at the first one without training rows or candidates.
     """
     spark = features.sparkSession
     stored, picks = fresh_path(spark, "features"), fresh_path(spark, "picks")
-    (features.withColumn("fy", fiscal_year(F.col(Q_ORD))).hint("rebalance", "fy")
-     .write.partitionBy("fy").parquet(stored))
+    (features.withColumn("fy", fiscal_year(F.col(Q_ORD))).withColumn(HASH, key_hash())
+     .hint("rebalance", "fy").write.partitionBy("fy").parquet(stored))
     table = spark.read.parquet(stored).drop("PriceAvg")
     # One row per quarter says which quarters can be predicted and from which one can learn.
     known = {r[Q_ORD]: r["labelled"] for r in table.groupBy(Q_ORD).agg(
@@ -58,13 +62,6 @@ def walk_forward_picks(features: DataFrame, start: int, end: int,
         return quarter in known and any(
             known.get(q) for q in training_window(quarter, settings))
 
-    def pick(quarter: int) -> None:
-        fitted = fit(table, settings, quarter, stored=True)
-        candidates = between_quarters(table, quarter, quarter + 1).drop(settings.target)
-        scored = predict(fitted.pipeline, candidates, settings.target)
-        top_n_per_quarter(scored, settings.n_to_buy, settings.target).write.parquet(
-            f"{picks}/bought={quarter}")
-
     quarters = list(takewhile(possible, range(start, end + 1)))
     columns = [c for c in table.columns if c in KEY]
     schema = StructType([*table.select(*columns).schema.fields,
@@ -72,6 +69,25 @@ def walk_forward_picks(features: DataFrame, start: int, end: int,
                          StructField("rank", IntegerType())])
     if not quarters:
         return spark.createDataFrame([], schema)
+    windows = {q: training_window(q, settings) for q in quarters}
+    if summable(settings):
+        made, models = linear_windows(table, windows, settings)
+        scored = predict_windows(made.rows, models, settings.target)
+        return written(top_n_per_quarter(scored, settings.n_to_buy, settings.target), "picks")
+    labelled = table.where(F.col(settings.target).isNotNull())
+    limits = hold_out_limits(labelled.select(Q_ORD, F.col(HASH).alias("h")), windows,
+                             settings.test_size)
+
+    def pick(quarter: int) -> None:
+        limit = limits[quarter]
+        rows = training_rows(table, quarter, settings)
+        fitted = fit_marked(rows.withColumn(
+            HELD_OUT, F.col(HASH) <= limit if limit else F.lit(False)), settings)
+        candidates = between_quarters(table, quarter, quarter + 1).drop(settings.target)
+        scored = predict(fitted.pipeline, candidates, settings.target)
+        top_n_per_quarter(scored, settings.n_to_buy, settings.target).write.parquet(
+            f"{picks}/bought={quarter}")
+
     with ThreadPoolExecutor(settings.parallelism) as pool:
         list(pool.map(inheritable_thread_target(spark)(pick), quarters))
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(picks)

@@ -1,3 +1,4 @@
+from bisect import bisect_right
 from datetime import date, timedelta
 
 import pytest
@@ -8,11 +9,11 @@ from quarterdeck.functions.ratios import RATIOS, add_formulas
 from quarterdeck.operators import filters
 
 
-def by_hand(day: date, shift: int) -> int:
-    moved = day + timedelta(days=shift) if day.day > 24 else day
-    quarter = {2: 1, 3: 1, 4: 1, 5: 2, 6: 2, 7: 2, 8: 3, 9: 3, 10: 3, 11: 4, 12: 4, 1: 4}
-    year = moved.year - 1 if moved.month == 1 else moved.year
-    return periods.ordinal(year, quarter[moved.month])
+def quarter_starts(shift: int) -> list[date]:
+    """First days of the fiscal quarters from the first one of 1989 on: the 25th of January, April, July
+    and October, or, where days are not moved, the first day after that month."""
+    starts = [date(1989 + i // 4, 1 + i % 4 * 3, 25) for i in range(50 * 4)]
+    return starts if shift else [(day + timedelta(days=10)).replace(day=1) for day in starts]
 
 
 @pytest.mark.parametrize("shift", [7, 0])
@@ -20,7 +21,8 @@ def test_fiscal_quarter_of_every_day(spark, shift):
     days = [date(1990, 1, 1) + timedelta(days=i) for i in range(41 * 365)]
     df = spark.createDataFrame([(d,) for d in days], "day date")
     rows = df.select("day", periods.fiscal_ordinal(F.col("day"), shift)).collect()
-    assert all(q == by_hand(day, shift) for day, q in rows)
+    first, starts = periods.ordinal(1989, 1), quarter_starts(shift)
+    assert all(q == first + bisect_right(starts, day) - 1 for day, q in rows)
     assert all(q == periods.fiscal_ordinal_value(day, shift) for day, q in rows)
 
 

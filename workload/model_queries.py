@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import KEY, TARGET
 from quarterdeck.functions.periods import ordinal
-from quarterdeck.operators import backtest, changes, encoding, metrics, ranking
-from quarterdeck.plans import training, walk_forward as walk
+from quarterdeck.operators import backtest, categories, changes, encoding, metrics, ranking
+from quarterdeck.plans import linear_windows as sums, training, walk_forward as walk
 from quarterdeck.plans.settings import Settings
 from quarterdeck.session import fresh_path, written
 from workload import tables as views
@@ -104,10 +104,56 @@ def category_codes_many(spark, sf_dir):
     SELECT 'Sector' AS name, "Sector" AS value FROM dimension
     UNION SELECT 'Industry', "Industry" FROM dimension""")
 def distinct_values(spark, sf_dir):
-    rows = views.dimension(spark, sf_dir)
-    fitted = encoding.fit_categories(rows, ["Sector", "Industry"])
-    return spark.createDataFrame([(c, v) for c, values in fitted.items() for v in values],
-                                 "name string, value string")
+    found = categories.distinct_values(views.dimension(spark, sf_dir), ["Sector", "Industry"])
+    return found.withColumnRenamed("column", "name")
+
+
+_GRADED = """SELECT o_orderkey, o_totalprice, CAST(o_custkey AS VARCHAR) AS customer,
+    nullif(o_orderpriority, '4-NOT SPECIFIED') AS grade FROM orders"""
+_COLUMNS = ["grade", "customer"]
+
+
+def _graded(spark, sf_dir):
+    """Orders with a column of few and one of many categories."""
+    return views.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.col("o_custkey").cast("string").alias("customer"),
+        F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("grade"))
+
+
+_ALL_CODES = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", v AS value, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code
+        FROM (SELECT DISTINCT {c} AS v FROM graded WHERE {c} IS NOT NULL)""" for c in _COLUMNS)
+
+
+@query("category_codes_all", _ALL_CODES, graded=_GRADED)
+def category_codes_all(spark, sf_dir):
+    """The codes of all columns in one pass."""
+    return categories.sorted_codes(_graded(spark, sf_dir), _COLUMNS)
+
+
+@query("one_hot_vectors", """
+    SELECT o_orderkey, CAST(0 AS INTEGER) AS slot, 'grade' AS "column", NULL AS value
+    FROM graded WHERE grade IS NULL
+    UNION ALL SELECT o_orderkey, code, "column", value FROM graded JOIN codes
+        ON "column" = 'grade' AND value = grade WHERE code > 0
+    UNION ALL SELECT o_orderkey, code + (SELECT max(code) FROM codes WHERE "column" = 'grade'),
+        "column", value FROM graded JOIN codes ON "column" = 'customer' AND value = customer
+        WHERE code > 0""", graded=_GRADED, codes=_ALL_CODES)
+def one_hot_vectors(spark, sf_dir):
+    """The entries of a sparse vector that has a place for each grade and each customer but the first."""
+    vectors, slots = categories.one_hot_vectors(_graded(spark, sf_dir), _COLUMNS)
+    entries = vectors.select("o_orderkey", F.explode(categories.places("categories")).alias("slot"))
+    return entries.join(slots, "slot").select("o_orderkey", "slot", "column", "value")
+
+
+@query("category_means", " UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", {c} AS value, round((sum(o_totalprice) + 10 * (
+        SELECT avg(o_totalprice) FROM graded)) / (count(*) + 10), 4) AS number
+    FROM graded GROUP BY {c}""" for c in _COLUMNS), graded=_GRADED)
+def category_means(spark, sf_dir):
+    """The mean order total of each grade and customer, drawn to that of all orders."""
+    means = categories.mean_targets(_graded(spark, sf_dir), _COLUMNS, "o_totalprice")
+    return means.withColumn("number", F.round("number", 4))
 
 
 @query("holdout_split", """
@@ -117,6 +163,39 @@ def holdout_split(spark, sf_dir):
     return encoding.hold_out(views.facts(spark, sf_dir).select(*KEY), 0.2)
 
 
+_WINDOW = """SELECT w.q_ord AS quarter, f.entity, f.q_ord, f."Volume" AS x, f."TotalRevenue" AS y,
+        md5(f.entity || '|' || f.q_ord || '|7') AS h,
+        row_number() OVER (PARTITION BY w.q_ord ORDER BY md5(f.entity || '|' || f.q_ord || '|7')) AS place,
+        count(*) OVER (PARTITION BY w.q_ord) AS n
+    FROM (SELECT DISTINCT q_ord FROM facts) w
+    JOIN facts f ON f.q_ord >= w.q_ord - 16 AND f.q_ord < w.q_ord - 3"""
+_LINEAR = Settings(model="linear", target="TotalRevenue", horizon=4)
+
+
+def _windows(rows) -> dict[int, range]:
+    """The training window of every quarter that has rows in it."""
+    quarters = {r["q_ord"] for r in rows.select("q_ord").distinct().collect()}
+    windows = {q: training.training_window(q, _LINEAR) for q in sorted(quarters)}
+    return {q: w for q, w in windows.items() if quarters & set(w)}
+
+
+@query("holdout_windows", """
+    SELECT CAST(quarter AS INTEGER) AS q_ord, max(h) AS last_held FROM windows
+    WHERE place <= floor(n * 0.2) GROUP BY 1""", windows=_WINDOW)
+def holdout_windows(spark, sf_dir):
+    """The last hash that is held out of each of the overlapping training windows."""
+    rows = views.facts(spark, sf_dir)
+    hashes = rows.select("q_ord", encoding.key_hash().alias("h"))
+    limits = encoding.hold_out_limits(hashes, _windows(rows))
+    found = spark.createDataFrame(list(limits.items()), "q_ord int, last string")
+    # A limit is a prefix filled up; the hash it lets through last is in the window's rows.
+    spans = spark.createDataFrame([(q, w.start, w.stop) for q, w in _windows(rows).items()],
+                                  "q_ord int, first int, end int")
+    held = hashes.withColumnRenamed("q_ord", "own").join(
+        F.broadcast(spans.join(found, "q_ord")), F.expr("own >= first AND own < end AND h <= last"))
+    return held.groupBy("q_ord").agg(F.max("h").alias("last_held"))
+
+
 @query("holdout_parts", """
     SELECT 'train' AS part, entity, q_ord, "PriceAvg" FROM marked WHERE NOT held_out
     UNION ALL SELECT 'test', entity, q_ord, "PriceAvg" FROM marked WHERE held_out""",
@@ -344,6 +423,42 @@ def linear_regression(spark, sf_dir):
                          F.round("rmse", 2).alias("rmse"))
 
 
+def _linear_rows(spark, sf_dir):
+    return views.facts(spark, sf_dir).select(
+        *KEY, "Volume", "TotalRevenue").withColumn(training.HASH, encoding.key_hash())
+
+
+@query("linear_windows", """
+    SELECT CAST(quarter AS INTEGER) AS q_ord, count(*) AS rows, round(regr_slope(y, x), 3) AS slope,
+           round(regr_intercept(y, x), 1) AS intercept
+    FROM windows WHERE place > floor(n * 0.2) GROUP BY 1 HAVING count(DISTINCT x) > 1""", windows=_WINDOW)
+def linear_windows(spark, sf_dir):
+    """The linear model of every training window, all from one reading of the rows."""
+    rows = _linear_rows(spark, sf_dir)
+    made, models = sums.linear_windows(rows, _windows(rows), _LINEAR)
+    return sums.unscaled(models, made).where("rows > 1").select(
+        F.col("window").alias("q_ord"), "rows", F.round(F.col("coefficients")[0], 3).alias("slope"),
+        F.round("intercept", 1).alias("intercept"))
+
+
+_LINEAR_TOP = """SELECT entity, q_ord, CAST(row_number() OVER (
+        PARTITION BY q_ord ORDER BY (slope * "Volume" + intercept) DESC, entity) AS INTEGER) AS rank
+    FROM facts JOIN models ON quarter = q_ord"""
+_LINEAR_MODELS = """SELECT quarter, coalesce(regr_slope(y, x), 0) AS slope,
+        coalesce(regr_intercept(y, x), avg(y)) AS intercept
+    FROM windows WHERE place > floor(n * 0.2) GROUP BY 1"""
+
+
+@query("walk_forward_linear", """
+    SELECT entity, q_ord, rank FROM top WHERE rank <= 7""",
+       windows=_WINDOW, models=_LINEAR_MODELS, top=_LINEAR_TOP)
+def walk_forward_linear(spark, sf_dir):
+    """The picks of every quarter by a linear model of the quarters before it."""
+    rows = views.facts(spark, sf_dir).select(*KEY, "Volume", "TotalRevenue")
+    windows = _windows(rows)
+    return walk.walk_forward_picks(rows, min(windows), max(windows), _LINEAR).select(*KEY, "rank")
+
+
 def _features(spark, sf_dir):
     """The whole feature table: archive, ratios, 56 changes, index comparison, target."""
     return written(feature_rows(spark, sf_dir), "features")

@@ -232,23 +232,19 @@ def incremental_archive(spark, sf_dir):
 
 
 @query("bulk_build", f"""
-    SELECT n_name AS entity, {fiscal('"QuarterEnd"')} AS q_ord, count(*) AS rows,
+    SELECT entity, {fiscal('"QuarterEnd"')} AS q_ord, count(*) AS rows,
            count("Revenue") AS with_revenue, sum("Shares")::BIGINT AS shares
-    FROM archive a JOIN supplier ON a.entity = CAST(s_suppkey AS VARCHAR)
-    JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2""")
+    FROM archive GROUP BY 1, 2""")
 def bulk_build(spark, sf_dir):
-    """CSV files of all nations into the stored archive, then read by quarter."""
-    homes = (views.table(spark, sf_dir, "supplier")
-             .join(views.table(spark, sf_dir, "nation"),
-                   F.col("s_nationkey") == F.col("n_nationkey"))
-             .select(F.col("s_suppkey").cast("string").alias("entity"), "n_name"))
-    archive = views.archive(spark, sf_dir).join(homes, "entity")
+    """CSV files of all suppliers, a file each, into the stored archive, then read by quarter."""
+    archive = views.archive(spark, sf_dir)
     columns = [F.col(f.name) if f.name in archive.columns
                else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.ARCHIVE_SCHEMA]
     folder, path = fresh_path(spark, "csv"), fresh_path(spark, "archive")
-    (archive.select(F.lit(0).alias("row"), "n_name", *columns).write.option("header", True)
-     .option("nullValue", "None").partitionBy("n_name").csv(folder))
-    built = loading.build_archive(spark, folder, path, r"n_name=([^/]+)/")
+    (archive.select(F.lit(0).alias("row"), F.col("entity").alias("supplier"), *columns)
+     .repartition("supplier").write.option("header", True)
+     .option("nullValue", "None").partitionBy("supplier").csv(folder))
+    built = loading.build_archive(spark, folder, path, r"supplier=([^/]+)/")
     return built.groupBy("entity", fiscal_ordinal(F.col("QuarterEnd")).alias("q_ord")).agg(
         F.count(F.lit(1)).alias("rows"), F.count("Revenue").alias("with_revenue"),
         F.sum("Shares").alias("shares"))
