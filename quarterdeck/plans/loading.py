@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.functions.names import ENTITY, KEY, Q_ORD, QUARTER_DAYS
+from quarterdeck.functions.names import GRADE_SCORES, Q_ORD, STATEMENT_ITEMS
 from quarterdeck.functions.periods import fiscal_ordinal, fiscal_year
 from quarterdeck.operators.filters import fresh_entities, split_symbols
-from quarterdeck.operators.merging import statements_to_panel, union_by_name
-from quarterdeck.operators.rollups import (
-    dividends_per_quarter, label_windows, price_rollup, price_rollup_from,
-    recommendation_rollup_from, splits_per_quarter,
-)
+from quarterdeck.operators.merging import union_by_name
+from quarterdeck.operators.rollups import price_rollup, splits_per_quarter
 from quarterdeck.operators.splits import adjust_archive, adjust_panel, batch_split_factors
+from quarterdeck.operators.timeline import daily_events, quarters_of_events
 from quarterdeck.session import fresh_path, written
 from quarterdeck.sources.readers import FILE_NAME_PATTERN, read_archive
 from quarterdeck.sources.schemas import ARCHIVE_KEY, duplicate_keys
@@ -25,33 +23,20 @@ from quarterdeck.sources.tables import append_table, merge_rows, replace_table,
 
 def quarterly_facts(statements: Sequence[DataFrame], dividends: DataFrame, splits: DataFrame,
                     prices: DataFrame, recommendations: DataFrame, end: date,
-                    earnings: DataFrame | None = None,
-                    market_caps: DataFrame | None = None) -> DataFrame:
+                    earnings: DataFrame | None = None, market_caps: DataFrame | None = None,
+                    scores: Mapping[str, int] = GRADE_SCORES) -> DataFrame:
     """One row per entity and fiscal quarter from all raw sources, for all entities at once.
 
-    Price and rating windows of 91 days start 91 days before an entity's oldest statement and
-    meet the statements by fiscal quarter. The statements are pivoted once and written; the
-    quarter ends and the starts are read from there. ``earnings`` is (entity, q_ord, Earnings),
-    ``market_caps`` (entity, MarketCap).
+    All sources lie on one time axis per entity (``operators/timeline``), so entities are hashed to
+    their places once, and nothing is joined. ``earnings`` is (entity, q_ord, Earnings), ``market_caps``
+    (entity, MarketCap).
     """
-    panel = written(statements_to_panel(*statements).withColumn("quarter_end", F.col("date")),
-                    "statements")
-    spine = panel.select(*KEY, "quarter_end")
-    paid = dividends_per_quarter(spine, dividends).drop("quarter_end")
-    split = splits_per_quarter(spine, splits).drop("quarter_end")
-    panel = panel.join(paid, list(KEY), "left").join(split, list(KEY), "left")
-    if earnings is not None:
-        panel = panel.join(earnings, list(KEY), "left")
-    starts = spine.groupBy(ENTITY).agg(
-        F.date_sub(F.min("quarter_end"), QUARTER_DAYS).alias("start"))
-    price_windows = label_windows(price_rollup_from(prices, starts, end))
-    rating_windows = label_windows(recommendation_rollup_from(recommendations, starts, end))
-    for windows in (price_windows, rating_windows):
-        new = [c for c in windows.columns if c not in panel.columns]
-        panel = panel.join(windows.select(*KEY, *new), list(KEY), "left")
-    if market_caps is not None:
-        panel = panel.join(market_caps, ENTITY, "left")
-    return panel.drop("quarter_end").withColumn("fy", fiscal_year(F.col(Q_ORD)))
+    daily = daily_events(statements, dividends, splits, prices, recommendations, end, STATEMENT_ITEMS,
+                         scores)
+    for given in (earnings, market_caps):
+        if given is not None:
+            daily = daily.unionByName(given, allowMissingColumns=True)
+    return quarters_of_events(daily, end).withColumn("fy", fiscal_year(F.col(Q_ORD)))
 
 
 def index_price_history(prices: DataFrame, splits: DataFrame, start: date,
@@ -64,12 +49,12 @@ def index_price_history(prices: DataFrame, splits: DataFrame, start: date,
 
 def collect_batch(statements: Sequence[DataFrame], dividends: DataFrame, splits: DataFrame,
                   prices: DataFrame, recommendations: DataFrame, symbols: Sequence[str],
-                  start: date, end: date) -> DataFrame:
+                  start: date, end: date, scores: Mapping[str, int] = GRADE_SCORES) -> DataFrame:
     """One batch of quarterly facts: companies from all raw sources, index symbols, which have
     no statements, from prices since ``start``."""
     index_prices, company_prices = split_symbols(prices, symbols)
     companies = quarterly_facts(statements, dividends, splits, company_prices, recommendations,
-                                end)
+                                end, scores=scores)
     indices = index_price_history(index_prices, splits, start, end).withColumn(
         "fy", fiscal_year(F.col(Q_ORD)))
     return union_by_name(companies, indices)

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.cells import mean_of_json
-from quarterdeck.functions.names import KEY
+from quarterdeck.functions.names import KEY, STATEMENT_ITEMS
 from quarterdeck.functions.periods import ordinal
 from quarterdeck.operators import rollups, splits
 from quarterdeck.operators.merging import statements_to_panel, union_by_name
@@ -202,64 +202,87 @@ def index_price_history(spark, sf_dir):
     ).drop("PriceAvg")
 
 
-@query("quarterly_facts", """
-    SELECT f.entity, f.date, f.q_ord, CAST(f.q_ord // 4 AS INTEGER) AS fy, f."Cash",
-           f."TotalRevenue", f."ResearchDevelopment", d."DividendPerShare", s."Split",
-           f."Earnings", round(w."PriceAvg", 6) AS "PriceAvg", w."PriceLow", w."PriceHigh",
-           w."PriceEoQ", w."Volume", c."MarketCap"
+_RATED = f"""
+    SELECT f.*, bucket, start FROM (
+        SELECT r.entity, start, {_bucket('date', 'start')} AS bucket, replace(firm, ' ', '') AS firm,
+               avg(CASE grade WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 1 WHEN '5-LOW' THEN -1
+                   ELSE 0 END) AS score
+        FROM supplier_ratings r JOIN starts s ON r.entity = s.entity
+        WHERE date >= start AND date < DATE '{END}' GROUP BY 1, 2, 3, 4) f"""
+_RATED_QUARTERS = f"""
+    SELECT entity, q_ord, arg_max(firms, day) AS firms, arg_max(total, day) AS total FROM (
+        SELECT entity, start + (bucket + 1) * 91 AS day,
+               {fiscal("start + (bucket + 1) * 91")} AS q_ord, count(*) AS firms, sum(score) AS total
+        FROM rated WHERE start + (bucket + 1) * 91 <= DATE '{END}' GROUP BY entity, start, bucket)
+    GROUP BY 1, 2"""
+_SPLIT_LAST = """SELECT e.entity, e.q_ord, arg_max(s.split, s.date) AS "Split"
+    FROM quarter_ends e LEFT JOIN splits s ON s.entity = e.entity
+    AND s.date > e.quarter_end - 91 AND s.date < e.quarter_end GROUP BY 1, 2"""
+_ALL_ITEMS = ", ".join(f'f."{c}"::DOUBLE AS "{c}"' for c in STATEMENT_ITEMS)
+_EVENT_VIEWS = {"starts": _STARTS, "price_windows": _WINDOWS, "labelled": _LABELLED,
+                "paid": _DIVIDENDS_SQL, "split_quarters": _SPLIT_LAST, "rated": _RATED,
+                "rated_quarters": _RATED_QUARTERS,
+                "caps": 'SELECT entity, max("MarketCap") AS "MarketCap" FROM facts GROUP BY 1'}
+_EVENT_JOINS = """
     FROM facts f JOIN paid d ON d.entity = f.entity AND d.q_ord = f.q_ord
     JOIN split_quarters s ON s.entity = f.entity AND s.q_ord = f.q_ord
     JOIN caps c ON c.entity = f.entity
-    LEFT JOIN labelled w ON w.entity = f.entity AND w.q_ord = f.q_ord""",
-       starts=_STARTS, price_windows=_WINDOWS, labelled=_LABELLED,
-       paid=_DIVIDENDS_SQL,
-       split_quarters="""SELECT e.entity, e.q_ord, arg_max(s.split, s.date) AS "Split"
-           FROM quarter_ends e LEFT JOIN splits s ON s.entity = e.entity
-           AND s.date > e.quarter_end - 91 AND s.date < e.quarter_end GROUP BY 1, 2""",
-       caps='SELECT entity, max("MarketCap") AS "MarketCap" FROM facts GROUP BY 1')
+    LEFT JOIN labelled w ON w.entity = f.entity AND w.q_ord = f.q_ord
+    LEFT JOIN rated_quarters r ON r.entity = f.entity AND r.q_ord = f.q_ord"""
+_EVENT_COLUMNS = f"""f.entity, f.date, f.q_ord, CAST(f.q_ord // 4 AS INTEGER) AS fy, {_ALL_ITEMS},
+    d."DividendPerShare", s."Split" """
+_EVENT_WINDOWS = """round(w."PriceAvg", 6) AS "PriceAvg", w."PriceLow", w."PriceHigh",
+    w."PriceEoQ", w."Volume", r.firms AS "RatingFirms", round(r.total, 6) AS "RatingTotal" """
+
+
+def _statements(facts):
+    """The items of a balance sheet, an income statement and a cash flow statement."""
+    return [views.long_form(facts, list(STATEMENT_ITEMS[a:b])) for a, b in ((0, 6), (6, 14), (14, 21))]
+
+
+def _with_ratings(rows):
+    """The cell of firm scores, read back as its size and sum."""
+    scores = F.map_values(F.from_json("AvgRecommendations", "map<string,double>"))
+    total = F.aggregate(scores, F.lit(0.0), lambda a, v: a + v)
+    firms = F.when(F.col("AvgRecommendations").isNotNull(), F.size(scores).cast("long"))
+    return rounded(rows.withColumn("RatingFirms", firms).withColumn("RatingTotal", total)
+                   .drop("AvgRecommendations"), "DividendPerShare", "PriceAvg", "RatingTotal")
+
+
+@query("quarterly_facts", f"""
+    SELECT {_EVENT_COLUMNS}, f."Earnings", c."MarketCap", {_EVENT_WINDOWS} {_EVENT_JOINS}""",
+       **_EVENT_VIEWS)
 def quarterly_facts(spark, sf_dir):
-    """Statements, dividends, splits, prices, earnings and market value in one plan."""
+    """Statements of 21 items, dividends, splits, prices, ratings, earnings and market value."""
     facts = written(views.facts(spark, sf_dir), "facts")
-    statements = [views.long_form(facts, part) for part in (_BALANCE, _INCOME, _FLOW)]
-    rows = loading.quarterly_facts(
-        statements, views.dividends(spark, sf_dir), views.splits(spark, sf_dir),
-        views.supplier_prices(spark, sf_dir), views.recommendations(spark, sf_dir), END,
+    return _with_ratings(loading.quarterly_facts(
+        _statements(facts), views.dividends(spark, sf_dir), views.splits(spark, sf_dir),
+        views.supplier_prices(spark, sf_dir), views.supplier_ratings(spark, sf_dir), END,
         earnings=facts.select(*KEY, "Earnings"),
-        market_caps=facts.groupBy("entity").agg(F.max("MarketCap").alias("MarketCap")))
-    return rounded(rows.select(
-        *KEY, "date", "fy", "Cash", "TotalRevenue", "ResearchDevelopment", "DividendPerShare",
-        "Split", "Earnings", "PriceAvg", "PriceLow", "PriceHigh", "PriceEoQ", "Volume", "MarketCap"),
-        "DividendPerShare", "PriceAvg")
-
-
-_MARKET_START = date(2000, 8, 1)
-_MARKET_LAST = _MARKET_START + timedelta(days=91 * (((END - _MARKET_START).days - 1) // 91))
+        market_caps=facts.groupBy("entity").agg(F.max("MarketCap").alias("MarketCap")),
+        scores=views.GRADES))
 
 
 @query("collected_batch", f"""
-    SELECT f.entity, f.date, f.q_ord, CAST(f.q_ord // 4 AS INTEGER) AS fy, f."Cash",
-           d."DividendPerShare", w."PriceHigh", w."PriceEoQ", w."Volume"
-    FROM facts f JOIN paid d ON d.entity = f.entity AND d.q_ord = f.q_ord
-    LEFT JOIN labelled w ON w.entity = f.entity AND w.q_ord = f.q_ord
+    SELECT {_EVENT_COLUMNS}, {_EVENT_WINDOWS} {_EVENT_JOINS}
     UNION ALL
-    SELECT entity, end_day, {fiscal('end_day')}, CAST({fiscal('end_day')} // 4 AS INTEGER), NULL,
-           NULL, "PriceHigh", "PriceEoQ", "Volume"
-    FROM (SELECT *, DATE '{_MARKET_START}' + (bucket + 1) * 91 AS end_day FROM (
-        SELECT entity, {_bucket('date', f"DATE '{_MARKET_START}'")} AS bucket, {_PRICE_AGGREGATES}
-        FROM market_prices WHERE date >= DATE '{_MARKET_START}' AND date < DATE '{_MARKET_LAST}'
-        GROUP BY 1, 2))""",
-       starts=_STARTS, price_windows=_WINDOWS, labelled=_LABELLED, paid=_DIVIDENDS_SQL)
+    SELECT entity, end_day, {fiscal('end_day')}, CAST({fiscal('end_day')} // 4 AS INTEGER),
+           {", ".join("NULL" for _ in STATEMENT_ITEMS)}, NULL, NULL, round("PriceAvg", 6), "PriceLow",
+           "PriceHigh", "PriceEoQ", "Volume", NULL, NULL
+    FROM (SELECT *, first_day + (bucket + 1) * 91 AS end_day FROM (
+        SELECT entity, first_day, {_bucket('date', 'first_day')} AS bucket, {_PRICE_AGGREGATES}
+        FROM market_prices, (SELECT min(date) AS first_day FROM market_prices)
+        WHERE date < DATE '{END}' GROUP BY 1, 2, 3))
+    WHERE end_day < DATE '{END}'""", **_EVENT_VIEWS)
 def collected_batch(spark, sf_dir):
-    """Suppliers with statements and one index that only has prices."""
+    """Suppliers with all sources and one index that only has prices, since its first."""
     facts = written(views.facts(spark, sf_dir), "facts")
-    prices = union_by_name(views.supplier_prices(spark, sf_dir),
-                           views.market_prices(spark, sf_dir))
-    rows = loading.collect_batch(
-        [views.long_form(facts, _BALANCE), views.long_form(facts, _FLOW)],
-        views.dividends(spark, sf_dir), views.splits(spark, sf_dir), prices,
-        views.recommendations(spark, sf_dir), [views.MARKET], _MARKET_START, END)
-    return rounded(rows.select(*KEY, "date", "fy", "Cash", "DividendPerShare", "PriceHigh",
-                               "PriceEoQ", "Volume"), "DividendPerShare")
+    market = views.market_prices(spark, sf_dir)
+    prices = union_by_name(views.supplier_prices(spark, sf_dir), market)
+    return _with_ratings(loading.collect_batch(
+        _statements(facts), views.dividends(spark, sf_dir), views.splits(spark, sf_dir), prices,
+        views.supplier_ratings(spark, sf_dir), [views.MARKET],
+        market.agg(F.min("date")).first()[0], END, scores=views.GRADES))
 
 
 # ---------------------------------------------------------------- split corrections

@@ -109,6 +109,10 @@ VIEWS = {
         SELECT CAST(c_nationkey AS VARCHAR) AS entity, CAST(o_orderdate AS DATE) AS date,
                c_mktsegment || ' & CO' AS firm, o_orderpriority AS grade
         FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "supplier_ratings": """
+        SELECT CAST(l_suppkey AS VARCHAR) AS entity, CAST(o_orderdate AS DATE) AS date,
+               'Desk ' || l_linenumber || ' & CO' AS firm, o_orderpriority AS grade
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 }
 
 

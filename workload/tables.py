@@ -195,6 +195,16 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderpriority").alias("grade")))
 
 
+def supplier_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order priorities as ratings of a line's supplier by a firm per line number."""
+    return (table(spark, sf_dir, "lineitem")
+            .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(F.col("l_suppkey").cast("string").alias("entity"),
+                    F.col("o_orderdate").cast("date").alias("date"),
+                    F.concat(F.lit("Desk "), F.col("l_linenumber"), F.lit(" & CO")).alias("firm"),
+                    F.col("o_orderpriority").alias("grade")))
+
+
 def long_form(rows: DataFrame, items: list[str]) -> DataFrame:
     """Facts as a statement: one row per entity, date and item."""
     return (rows.select("entity", "date", *[F.col(i).cast("double") for i in items])
