@@ -3,7 +3,7 @@
 Two texts link when their sets of 2-word shingles have a Jaccard similarity of 0.8 or more.
 
 1. Texts with equal sets (by a 128-bit digest) form a class; one text stands for it.
-2. A class has ``BANDS * ROWS`` MinHash samples. Each band of ``ROWS`` samples is a bucket; a link at
+2. A class has ``SAMPLES`` MinHash samples. Each band of ``ROWS`` of the first ones is a bucket; a link at
    the threshold is in no common bucket with a chance of 3e-8.
 3. The samples, each with its number, are folded into an odd sketch of ``BITS`` bits: a bit says whether
    an odd number of samples fell on it. Samples that two sets share cancel out in the XOR of their
@@ -11,13 +11,14 @@ Two texts link when their sets of 2-word shingles have a Jaccard similarity of 0
    these are. A pair of one bucket is a candidate if sizes allow a link and that count is at most ``most()``,
    which a link at the threshold exceeds with a chance of 2e-8.
 4. Candidates are confirmed on the full sets of both texts.
-5. A few turns go first: each class is compared with one class, the head of one of its buckets that its
-   sketch is nearest to. Linked classes are one group and need no more comparing. Then all
-   candidate pairs of classes of different groups are compared. All links give the components.
+5. A few turns go first: each class is compared with one class, the one of ``HEADS`` heads of each of its
+   buckets that its sketch is nearest to. Linked classes are one group and need no more comparing. Then
+   all candidate pairs of classes of different groups are compared: in each bucket the classes outside its
+   largest group with each other and with that group. All links give the components.
 
 Heads are drawn anew in each turn, so groups of any size come together in some turns of at most one
-comparison for each class. Pairs are found by joins on buckets that both sides of a hot one can be split
-in; comparing is done in cells of one class and about ``CELL`` texts.
+comparison for each class. Sketches are compared inside the joins on buckets, which give candidates
+only; comparing texts is done in cells of one class and about ``CELL`` texts.
 
 Nulls: null and wordless texts have no shingles and no links. Repeated rows are in one class, each gives a
 row. A null doc_id is no component_id unless its component has no other. Columns other than doc_id
@@ -41,11 +42,10 @@ from quarterdeck.llm.shingles import linked, mix, shingle_sets
 from quarterdeck.session import written
 
 WORDS, PERCENT = 2, 80
-BANDS, ROWS, BITS = 44, 5, 512
+BANDS, ROWS, SAMPLES, BITS = 44, 5, 440, 1024
 SIGMAS = 5.5
-TURNS, CELL, STRETCH = 3, 64, 1 << 16
+TURNS, HEADS, CELL, STRETCH = 3, 8, 64, 1 << 16
 U = np.uint64
-SAMPLES = BANDS * ROWS
 FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15)) | U(1)
 SETS = "row binary, doc_id long, n long, class binary, buckets array<long>, sketch array<long>"
 
@@ -83,7 +83,8 @@ def samples(sets: list[np.ndarray]) -> np.ndarray:
 
 def buckets(found: np.ndarray) -> np.ndarray:
     """One key for each band."""
-    bands = (found.reshape(len(found), BANDS, ROWS) * FACTORS[:ROWS]).sum(axis=2, dtype=np.uint64)
+    first = found[:, :BANDS * ROWS].reshape(len(found), BANDS, ROWS)
+    bands = (first * FACTORS[:ROWS]).sum(axis=2, dtype=np.uint64)
     return mix(bands + np.arange(BANDS, dtype=np.uint64) * FACTORS[-1])
 
 
@@ -118,13 +119,16 @@ def described(docs: DataFrame) -> DataFrame:
     return written(arrow_map(rows, run, SETS), "described")
 
 
+def _differ(a: str, b: str) -> Column:
+    """The bits in which the sketches of two entries differ."""
+    return sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i]))
+                for i in range(BITS // 64)), F.lit(0))
+
+
 def _may_link(a: str, b: str) -> Column:
-    """What sizes and sketches of two classes allow."""
-    differ = F.bit_count(F.col(f"{a}.sketch")[0].bitwiseXOR(F.col(f"{b}.sketch")[0]))
-    for i in range(1, BITS // 64):
-        differ = differ + F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i]))
+    """What sizes and sketches of two entries allow."""
     x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (100 * F.least(x, y) >= PERCENT * F.greatest(x, y)) & (differ <= most())
+    return (100 * F.least(x, y) >= PERCENT * F.greatest(x, y)) & (_differ(a, b) <= most())
 
 
 def _postings(classes: DataFrame) -> DataFrame:
@@ -152,29 +156,31 @@ def _apart(postings: DataFrame, groups: DataFrame | None) -> DataFrame:
 def _nearest_heads(apart: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b): each class and the nearest head of its buckets, of another group, if one may link."""
     draw = F.xxhash64(F.lit(turn), "entry.class")
-    heads = apart.groupBy("bucket").agg(F.min(F.struct(draw.alias("draw"), "entry")).alias("first")).select(
-        "bucket", F.col("first.entry").alias("head"))
-    differ = sum((F.bit_count(F.col("entry.sketch")[i].bitwiseXOR(F.col("head.sketch")[i]))
-                  for i in range(BITS // 64)), F.lit(0))
+    heads = (apart.groupBy("bucket", F.pmod(draw, F.lit(HEADS)).alias("slot"))
+             .agg(F.min(F.struct(draw.alias("draw"), "entry")).alias("first"))
+             .select("bucket", F.col("first.entry").alias("head")))
     return (apart.join(heads, "bucket")
             .where((F.col("entry.group") != F.col("head.group")) & _may_link("entry", "head"))
             .groupBy(F.col("entry.class").alias("a"))
-            .agg(F.min(F.struct(differ.alias("differ"), F.col("head.class").alias("b"))).alias("near"))
+            .agg(F.min(F.struct(_differ("entry", "head").alias("differ"),
+                                F.col("head.class").alias("b"))).alias("near"))
             .select("a", F.col("near.b").alias("b")))
 
 
 def _candidates(apart: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes of different groups that share a bucket and may link. Groups are paired
-    first, so classes that are in one group by now are never put beside each other."""
-    members = apart.select("bucket", F.col("entry.group").alias("group"), "entry")
-    held = members.select("bucket", "group").distinct()
-    beside = held.select("bucket", F.col("group").alias("x")).join(
-        held.select("bucket", F.col("group").alias("y")), "bucket").where("x < y")
-    left = members.select("bucket", F.col("group").alias("x"), F.col("entry").alias("one"))
-    right = members.select("bucket", F.col("group").alias("y"), F.col("entry").alias("other"))
-    return (beside.join(left, ["bucket", "x"]).join(right, ["bucket", "y"])
-            .where(_may_link("one", "other"))
-            .select(F.col("one.class").alias("a"), F.col("other.class").alias("b")).distinct())
+    """Pairs (a, b) of classes of different groups that share a bucket and may link. Classes of a bucket's
+    largest group are never put beside each other."""
+    sizes = apart.groupBy("bucket", F.col("entry.group").alias("group")).agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
+    placed = apart.join(main, "bucket")
+    rest = placed.where(F.col("entry.group") != F.col("main"))
+    one, other = (rest.select("bucket", F.col("entry").alias(name)) for name in ("one", "other"))
+    inside = placed.where(F.col("entry.group") == F.col("main")).select("bucket", F.col("entry").alias("other"))
+    pair = [F.col("one.class").alias("a"), F.col("other.class").alias("b")]
+    within = one.join(other, "bucket").where(
+        (F.col("one.group") < F.col("other.group")) & _may_link("one", "other")).select(*pair)
+    across = one.join(inside, "bucket").where(_may_link("one", "other")).select(*pair)
+    return within.unionByName(across).distinct()
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
