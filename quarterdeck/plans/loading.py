@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.functions.names import GRADE_SCORES, Q_ORD, STATEMENT_ITEMS
+from quarterdeck.functions.names import ENTITY, GRADE_SCORES, KEY, Q_ORD, STATEMENT_ITEMS
 from quarterdeck.functions.periods import fiscal_ordinal, fiscal_year
 from quarterdeck.operators.filters import fresh_entities, split_symbols
 from quarterdeck.operators.merging import union_by_name
@@ -18,7 +18,8 @@ from quarterdeck.operators.timeline import daily_events, quarters_of_events
 from quarterdeck.session import fresh_path, written
 from quarterdeck.sources.readers import FILE_NAME_PATTERN, read_archive
 from quarterdeck.sources.schemas import ARCHIVE_KEY, duplicate_keys
-from quarterdeck.sources.tables import append_table, merge_rows, replace_table, stored
+from quarterdeck.sources.tables import (
+    append_table, finish, merge_rows, part_of_rows, replace_in_place, replace_table, stored)
 
 
 def quarterly_facts(statements: Sequence[DataFrame], dividends: DataFrame, splits: DataFrame,
@@ -87,6 +88,34 @@ def load_tables(spark: SparkSession, panel_path: str, archive_path: str, batch:
     return new_panel, new_archive
 
 
+def load_in_place(spark: SparkSession, panel_path: str, archive_path: str, batch: DataFrame,
+                  today: date, backfill_splits: bool = True, max_age_days: int = 365) -> None:
+    """The same load into the stored tables as they are. Of the panel only the parts are replaced that
+    the batch lies in or whose history a split puts into other terms, of the archive only those of
+    entities with a split: without one it is not written. Both tables change or, after a failure, still
+    do at the next load, before anything else."""
+    finish(spark, panel_path)
+    fresh = written(fresh_entities(batch, today, max_age_days)
+                    .withColumn("fy", fiscal_year(F.col(Q_ORD))), "fresh")
+    if fresh.isEmpty():
+        return
+    if not duplicate_keys(fresh, KEY).isEmpty():
+        raise ValueError(f"a key of {list(KEY)} is in the batch more than once")
+    place = fresh.select(ENTITY, "fy")
+    changed = []
+    if backfill_splits:
+        factors = written(batch_split_factors(fresh, part_of_rows(place, panel_path)), "factors")
+        split = stored(spark, panel_path).select(ENTITY, Q_ORD, "fy").join(factors, ENTITY)
+        place = place.unionByName(split.where(F.col(Q_ORD) < F.col("split_quarter")).select(ENTITY, "fy"))
+        panel = adjust_panel(part_of_rows(place, panel_path), factors)
+        if not factors.isEmpty():
+            old = stored(spark, archive_path).select(ENTITY, "fy").join(factors, ENTITY, "left_semi")
+            changed.append((adjust_archive(part_of_rows(old, archive_path), factors), archive_path))
+    else:
+        panel = part_of_rows(place, panel_path)
+    replace_in_place(panel_path, [(merge_rows(panel, fresh), panel_path), *changed])
+
+
 def build_archive(spark: SparkSession, csv_folder: str, path: str,
                   entity_pattern: str = FILE_NAME_PATTERN) -> DataFrame:
     """First build of the archive table from its CSV files, partitioned by fiscal year. Built again

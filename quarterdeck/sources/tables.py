@@ -1,18 +1,22 @@
 """Stored Parquet tables: append, keyed upsert, keyed update, insert-if-absent.
 
 Pure DataFrame functions say what the new table is; the ``..._table`` functions write it. A table
-is partitioned by fiscal year and a write replaces only the years it touches. New contents are
-first written beside the table and then moved in from there, so that no task ever reads a file
-that is being replaced and a failed write can be run again.
+is partitioned by fiscal year and by ``BUCKETS`` hashes of the entity, and a write replaces only the pairs
+of both that it touches. New contents are first written beside the table and then moved in from there, so
+that no task ever reads a file that is being replaced; until they are, a note in the table's folder says
+where they lie, and the next write finishes what was cut off. The schema lies beside the table, too, so
+that no reader has to open all its files for it.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from quarterdeck.functions.cells import plain_name
 from quarterdeck.functions.names import ENTITY, KEY, Q_ORD
@@ -21,7 +25,9 @@ from quarterdeck.operators.merging import except_key, keep_one, union_by_name
 from quarterdeck.session import fresh_path, written
 from quarterdeck.sources.schemas import duplicate_keys
 
-PARTITION = "fy"
+PARTITION, BUCKET, BUCKETS = "fy", "entity_bucket", 16
+_PLACE = (PARTITION, BUCKET)
+_SCHEMA_NOTE, _PENDING_NOTE = "_schema", "_pending"
 
 
 def clean_names(df: DataFrame) -> DataFrame:
@@ -47,10 +53,84 @@ def insert_absent(table: DataFrame, rows: DataFrame, key: Sequence[str] = (ENTIT
     return union_by_name(table, except_key(rows, table, key))
 
 
-def _write(df: DataFrame, path: str, mode: str) -> None:
-    # The rebalance hint cuts a crowded year into several files and packs thin ones together.
-    (df.hint("rebalance", PARTITION).write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path))
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64(ENTITY), F.lit(BUCKETS)).cast("int")
+
+
+def _write(df: DataFrame, path: str, mode: str, overwrite: str = "dynamic") -> None:
+    # The rebalance hint cuts a crowded part into several files and packs thin ones together.
+    (df.withColumn(BUCKET, _bucket()).hint("rebalance", *_PLACE).write.mode(mode)
+     .option("partitionOverwriteMode", overwrite).partitionBy(*_PLACE).parquet(path))
+
+
+def _note(spark: SparkSession, path: str, name: str):
+    """A small note in the table's folder, where names with an underscore are no data; or None."""
+    try:
+        row = spark.read.schema("note string").text(f"{path}/{name}").first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return json.loads(row[0]) if row else None
+
+
+def _leave_note(spark: SparkSession, path: str, name: str, note) -> None:
+    (spark.createDataFrame([(json.dumps(note),)], "note string").coalesce(1)
+     .write.mode("overwrite").text(f"{path}/{name}"))
+
+
+def _declare(df: DataFrame, path: str) -> None:
+    """Add the columns of ``df`` to the schema beside the table. Done before the rows are written: a
+    column that no file has yet is read as nulls."""
+    spark = df.sparkSession
+    note = _note(spark, path, _SCHEMA_NOTE)
+    if note is None and _exists(spark, path):
+        raise ValueError(f"{path} holds files of another layout; replace_table makes it a table")
+    known = StructType.fromJson(note) if note else StructType()
+    names = {f.name for f in known.fields}
+    added = [f for f in df.schema.fields if f.name not in names]
+    if added or note is None:
+        _leave_note(spark, path, _SCHEMA_NOTE, StructType([*known.fields, *added]).jsonValue())
+
+
+def _move_in(spark: SparkSession, home: str, parts: list[list[str]]) -> None:
+    """Replace the parts of tables that occur in [staged, path] pairs; cut off, ``finish(home)`` does
+    the rest."""
+    _leave_note(spark, home, _PENDING_NOTE, parts)
+    finish(spark, home)
+
+
+def finish(spark: SparkSession, path: str) -> None:
+    """Move in what an earlier write to this table left staged; without any, nothing."""
+    parts = _note(spark, path, _PENDING_NOTE)
+    if not parts:
+        return
+    for staged, target in parts:
+        rows = stored(spark, staged)
+        _declare(rows, target)
+        _write(rows, target, "overwrite")
+    _leave_note(spark, path, _PENDING_NOTE, [])
+
+
+def _pairs(rows: DataFrame) -> list[tuple[int, int]]:
+    """The parts of a table that rows with a fiscal year lie in: at most ``BUCKETS`` a year."""
+    return [tuple(r) for r in rows.select(PARTITION, _bucket().alias(BUCKET)).distinct().collect()]
+
+
+def _part(spark: SparkSession, path: str, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """The stored rows of these parts; other parts are not listed for the scan."""
+    years, buckets = ({*found} for found in zip(*pairs))
+    wanted = spark.createDataFrame(list(pairs), "__year int, __bucket int")
+    near = _all_stored(spark, path).where(F.col(PARTITION).isin(years) & F.col(BUCKET).isin(buckets))
+    return near.join(F.broadcast(wanted), (F.col(PARTITION) == F.col("__year"))
+                     & (F.col(BUCKET) == F.col("__bucket")), "left_semi").drop(BUCKET)
+
+
+def _stage(rows: DataFrame, name: str) -> str:
+    staged = fresh_path(rows.sparkSession, name)
+    _declare(rows, staged)
+    _write(rows, staged, "overwrite")
+    return staged
 
 
 def _as_stored(df: DataFrame, path: str) -> DataFrame:
@@ -74,29 +154,48 @@ def _as_stored(df: DataFrame, path: str) -> DataFrame:
     return df.select(*[cast(name, kind) for name, kind in df.dtypes])
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    _write(_as_stored(df, path), path, "append")
+def append_table(df: DataFrame, path: str, key: Sequence[str] = ()) -> None:
+    """Add rows. With a ``key`` no two rows of the table may share it: a row that is stored already is left
+    out, so rows delivered twice change nothing, and another row of a stored key ends the write."""
+    spark = df.sparkSession
+    finish(spark, path)
+    df = _as_stored(df, path)
+    if key:
+        df = written(df, "append")
+        if not duplicate_keys(df, key).isEmpty():
+            raise ValueError(f"a key of {list(key)} is in the rows more than once")
+        pairs = _pairs(df)
+        if pairs and _exists(spark, path):
+            there = _part(spark, path, pairs)
+            met = df.join(there.select(*key), list(key), "left_semi")
+            same = [c for c in df.columns if c in there.columns]
+            if not met.select(*same).exceptAll(there.select(*same)).isEmpty():
+                raise ValueError(f"other rows of a key of {list(key)} are stored already")
+            df = except_key(df, there, key)
+    _declare(df, path)
+    _write(df, path, "append")
 
 
 def replace_table(df: DataFrame, path: str) -> None:
     """The table holds these rows and no others."""
-    (df.hint("rebalance", PARTITION).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy(PARTITION).parquet(path))
+    _write(df, path, "overwrite", "static")
+    _leave_note(df.sparkSession, path, _SCHEMA_NOTE, df.schema.jsonValue())
 
 
-def update_column_table(events: DataFrame, path: str, column: str,
-                        date_column: str = "date") -> None:
-    """``update_column`` on the stored panel; only the fiscal years with an event are replaced."""
+def update_column_table(events: DataFrame, path: str, column: str, date_column: str = "date",
+                        key: Sequence[str] = KEY) -> None:
+    """``update_column`` on the stored panel; only parts with a row that an event meets are replaced."""
     spark = events.sparkSession
+    finish(spark, path)
     events = written(events, "events")
-    years = [r[0] for r in events.select(fiscal_year(F.col(Q_ORD))).distinct().collect()]
-    if not years:
-        return
-    touched = stored(spark, path).where(F.col(PARTITION).isin(*years))
-    staged = fresh_path(spark, "update")
-    _write(update_column(touched, events, column, date_column), staged, "overwrite")
-    if _exists(spark, staged):
-        _write(stored(spark, staged), path, "overwrite")
+    placed = events.withColumn(PARTITION, fiscal_year(F.col(Q_ORD)))
+    pairs = _pairs(placed)
+    if pairs:
+        keys = events.select(*key).distinct()
+        pairs = _pairs(_part(spark, path, pairs).join(keys, list(key), "left_semi"))
+    if pairs:
+        rows = update_column(_part(spark, path, pairs), events, column, date_column, key)
+        _move_in(spark, path, [[_stage(rows, "update"), path]])
 
 
 def insert_absent_table(rows: DataFrame, path: str, key: Sequence[str] = (ENTITY,)) -> None:
@@ -119,15 +218,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _all_stored(spark: SparkSession, path: str) -> DataFrame:
+    note = _note(spark, path, _SCHEMA_NOTE)
+    if note is None:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    schema = StructType.fromJson(note)
+    return spark.read.schema(schema.add(BUCKET, IntegerType())).parquet(path)
+
+
 def stored(spark: SparkSession, path: str) -> DataFrame:
     """The table with the columns of all its files."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return _all_stored(spark, path).drop(BUCKET)
 
 
 def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY,
                  order: str | None = None) -> None:
-    """Merge a batch into the stored table, which need not exist yet. Only the years in the batch
-    are read and replaced; running the same batch again changes nothing.
+    """Merge a batch into the stored table, which need not exist yet. Only the parts that the batch
+    lies in are read and replaced; running the same batch again changes nothing.
 
     With ``order``, the row with the largest value in that column stays of each key, whether it is
     stored or new (of equal ones the new one). Without it a key may be only once in the batch.
@@ -138,15 +245,15 @@ def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY,
     batch = written(batch, "batch")
     if order is None and not duplicate_keys(batch, key).isEmpty():
         raise ValueError(f"a key of {list(key)} is in the batch more than once; name an order")
-    years = [r[0] for r in batch.select(PARTITION).distinct().collect()]
-    if not years:
+    finish(spark, path)
+    pairs = _pairs(batch)
+    if not pairs:
         return
     if not _exists(spark, path):
         append_table(batch, path)
         return
     batch = _as_stored(batch, path)
-    touched = stored(spark, path).where(F.col(PARTITION).isin(*years))
-    staged = fresh_path(spark, "upsert")
+    touched = _part(spark, path, pairs)
     if order is None:
         merged = merge_rows(touched, batch, key)
     else:
@@ -154,5 +261,16 @@ def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY,
             touched.withColumn("__new", F.lit(0)), allowMissingColumns=True)
         merged = keep_one(both, key, [F.col(order).desc_nulls_last(),
                                       F.col("__new").desc()]).drop("__new")
-    _write(merged, staged, "overwrite")
-    _write(stored(spark, staged), path, "overwrite")
+    _move_in(spark, path, [[_stage(merged, "upsert"), path]])
+
+
+def replace_in_place(home: str, changed: Sequence[tuple[DataFrame, str]]) -> None:
+    """Replace the parts that rows lie in, in several tables, with one note in the first one's folder."""
+    spark = changed[0][0].sparkSession
+    _move_in(spark, home, [[_stage(rows, "part"), path] for rows, path in changed])
+
+
+def part_of_rows(rows: DataFrame, path: str) -> DataFrame:
+    """The stored rows of all parts that these rows (entity, fy) lie in."""
+    pairs = _pairs(rows)
+    return _part(rows.sparkSession, path, pairs) if pairs else stored(rows.sparkSession, path).limit(0)

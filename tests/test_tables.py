@@ -88,6 +88,81 @@ def test_upsert_leaves_other_years_untouched(spark):
     assert files(2019) == before[0] and not files(2020) & before[1]
 
 
+def files(spark, path):
+    """The files of a stored table by fiscal year and bucket of the entity."""
+    found = {}
+    for r in tables._all_stored(spark, path).select(
+            "fy", tables.BUCKET, F.col("_metadata.file_path").alias("file")).distinct().collect():
+        found.setdefault((r.fy, r[tables.BUCKET]), set()).add(r.file)
+    return found
+
+
+def test_writes_touch_only_the_buckets_of_their_entities(spark):
+    path = session.fresh_path(spark, "buckets")
+    rows = [(f"e{i}", q, float(q), q // 4) for i in range(40) for q in (8076, 8080, 8081)]
+    tables.append_table(frame(spark, rows), path)
+    before = files(spark, path)
+    assert len(before) > 20
+    tables.upsert_table(frame(spark, [("e7", 8081, -1.0, 2020)]), path)
+    after = files(spark, path)
+    changed = {k for k in after if after[k] != before[k]}
+    assert len(changed) == 1 and next(iter(changed))[0] == 2020
+    # Of events only those that meet a row cause a write.
+    events = spark.createDataFrame(
+        [("e9", 8076, date(2020, 1, 1), 7.0), ("nobody", 8080, date(2020, 1, 1), 9.0)],
+        "entity string, q_ord int, date date, x double")
+    tables.update_column_table(events, path, "x")
+    last = files(spark, path)
+    assert {k[0] for k in last if last[k] != after[k]} == {2019}
+    assert sum(last[k] != after[k] for k in last) == 1
+    found = {(r.entity, r.q_ord): r.x for r in tables.stored(spark, path).collect()}
+    assert found == {(e, q): x for e, q, x, _ in rows} | {("e7", 8081): -1.0, ("e9", 8076): 7.0}
+
+
+def test_append_with_a_key_twice_changes_nothing(spark):
+    path = session.fresh_path(spark, "keyed")
+    rows = frame(spark, [("a", 8076, 1.0, 2019), ("b", 8080, None, 2020)])
+    for part in (rows, rows, rows.union(frame(spark, [("c", 8080, 3.0, 2020)])).select("q_ord", "entity", "x", "fy")):
+        tables.append_table(part, path, ["entity", "q_ord"])
+    assert sorted(map(tuple, tables.stored(spark, path).select("entity", "x").collect())) == [
+        ("a", 1.0), ("b", None), ("c", 3.0)]
+    with pytest.raises(ValueError, match="stored already"):
+        tables.append_table(frame(spark, [("a", 8076, 2.0, 2019)]), path, ["entity", "q_ord"])
+    with pytest.raises(ValueError, match="more than once"):
+        tables.append_table(frame(spark, [("d", 1, 2.0, 0), ("d", 1, 2.0, 0)]), path, ["entity", "q_ord"])
+    assert tables.stored(spark, path).count() == 3
+
+
+def test_a_write_that_was_cut_off_is_finished_by_the_next(spark, monkeypatch):
+    path = session.fresh_path(spark, "cut")
+    tables.append_table(frame(spark, [("a", 8076, 1.0, 2019), ("b", 8080, 2.0, 2020)]), path)
+    write = tables._write
+
+    def fails(df, target, *rest):
+        if target == path:
+            raise OSError("lost")
+        write(df, target, *rest)
+
+    monkeypatch.setattr(tables, "_write", fails)
+    with pytest.raises(OSError):
+        tables.upsert_table(frame(spark, [("a", 8076, 5.0, 2019, 1)], ", more int"), path)
+    monkeypatch.setattr(tables, "_write", write)
+    assert {r.x for r in tables.stored(spark, path).collect()} == {1.0, 2.0}
+    tables.upsert_table(frame(spark, [("b", 8080, 6.0, 2020)]), path)
+    assert {(r.entity, r.x, r.more) for r in tables.stored(spark, path).collect()} == {
+        ("a", 5.0, 1), ("b", 6.0, None)}
+
+
+def test_files_of_another_layout_are_not_written_to(spark):
+    path = session.fresh_path(spark, "other")
+    frame(spark, [("a", 8076, 1.0, 2019)]).write.partitionBy("fy").parquet(path)
+    with pytest.raises(ValueError, match="another layout"):
+        tables.append_table(frame(spark, [("b", 8076, 1.0, 2019)]), path)
+    tables.replace_table(tables.stored(spark, path).transform(lambda df: session.written(df, "copy")), path)
+    tables.append_table(frame(spark, [("b", 8076, 1.0, 2019)]), path)
+    assert tables.stored(spark, path).count() == 2
+
+
 def test_column_update_and_insert_absent(spark):
     old = frame(spark, [("a", 1, 1.0, 0), ("a", 2, 2.0, 0)])
     events = spark.createDataFrame(
@@ -140,6 +215,39 @@ def test_load_tables_writes_new_folders(spark):
     assert tables.stored(spark, panel).count() == 1
 
 
+def test_load_in_place_writes_what_changed(spark):
+    schema = "entity string, q_ord int, date date, PriceAvg double, Split double, fy int"
+    day = date(2020, 6, 1)
+    old = [(f"e{i}", q, day, 8.0, None, q // 4) for i in range(30) for q in (8072, 8076, 8080)]
+    kept = [(f"e{i}", day, 6.0, 2019) for i in range(30)]
+    paths = {}
+    for name in ("place", "folder"):
+        paths[name] = panel, archive = session.fresh_path(spark, "p"), session.fresh_path(spark, "a")
+        tables.append_table(spark.createDataFrame(old, schema), panel)
+        tables.append_table(spark.createDataFrame(kept, "entity string, QuarterEnd date, Price double, fy int"),
+                            archive)
+    panel, archive = paths["place"]
+    before = files(spark, panel), files(spark, archive)
+    plain = spark.createDataFrame([("e3", 8080, day, 5.0, None, 2020)], schema)
+    loading.load_in_place(spark, panel, archive, plain, day)
+    assert files(spark, archive) == before[1]
+    now = files(spark, panel)
+    assert {k[0] for k in now if now[k] != before[0][k]} == {2020}
+    split = spark.createDataFrame([("e4", 8084, day, 4.0, 2.0, 2021), ("late", 8084, date(2001, 1, 1), 1.0, 2.0, 2021)],
+                                  schema)
+    for _ in range(2):  # delivered again it changes nothing
+        loading.load_in_place(spark, panel, archive, split, day)
+    last = files(spark, panel), files(spark, archive)
+    assert sum(last[1][k] != before[1][k] for k in last[1]) == 1
+    assert len({k[1] for k in last[0] if last[0][k] != now.get(k)}) == 1
+    new = paths["folder"]
+    for batch in (plain, split):
+        new = loading.load_tables(spark, *new, batch, day)
+    for mine, theirs in zip(paths["place"], new):
+        found, meant = (tables.stored(spark, x) for x in (mine, theirs))
+        assert found.select(*meant.columns).exceptAll(meant).isEmpty() and found.count() == meant.count()
+
+
 def test_row_counts_come_with_the_action(spark):
     df, seen = count_rows(spark.range(10), "ten")
     df.where("id < 3").collect()

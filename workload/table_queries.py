@@ -61,9 +61,11 @@ def upsert_stored(spark, sf_dir):
 
 @query("append_stored", "SELECT * FROM stored", stored=_STORED)
 def append_stored(spark, sf_dir):
+    """Two parts, the second one delivered twice."""
     rows, path = _stored(spark, sf_dir), fresh_path(spark, "table")
-    tables.append_table(rows.where(F.col("q_ord") < CUT), path)
-    tables.append_table(rows.where(F.col("q_ord") >= CUT), path)
+    old, new = rows.where(F.col("q_ord") < CUT), rows.where(F.col("q_ord") >= CUT)
+    for part in (old, new, new):
+        tables.append_table(part, path, KEY)
     return tables.stored(spark, path)
 
 
@@ -218,19 +220,50 @@ def incremental_load(spark, sf_dir):
     return _loaded(spark, sf_dir)[0].drop("date")
 
 
-@query("incremental_archive", """
+_ADJUSTED_ARCHIVE = """
     SELECT a.entity, "QuarterEnd", "Price" / coalesce(factor, 1) AS "Price",
            "PriceHigh" / coalesce(factor, 1) AS "PriceHigh",
            "PriceLow" / coalesce(factor, 1) AS "PriceLow",
            "DividendPerShare" / coalesce(factor, 1) AS "DividendPerShare",
            "SharesSplitAdjusted" * coalesce(factor, 1) AS "SharesSplitAdjusted",
            "SplitFactor" * coalesce(factor, 1) AS "SplitFactor"
-    FROM archive a LEFT JOIN fresh_factors s ON s.entity = a.entity""", **_LOAD_VIEWS)
+    FROM archive a LEFT JOIN fresh_factors s ON s.entity = a.entity"""
+
+
+@query("incremental_archive", _ADJUSTED_ARCHIVE, **_LOAD_VIEWS)
 def incremental_archive(spark, sf_dir):
     """The archive after the same load."""
     return _loaded(spark, sf_dir)[1]
 
 
+def _loaded_in_place(spark, sf_dir) -> tuple[str, str]:
+    """The stored tables after the same load, delivered twice."""
+    rows = _split_facts(spark, sf_dir).select(*KEY, "date", "PriceAvg", "Split")
+    rows = rows.withColumn("fy", fiscal_year(F.col("q_ord")))
+    archive = views.archive(spark, sf_dir).select(
+        "entity", "QuarterEnd", *splits.ARCHIVE_DIVIDED, *splits.ARCHIVE_MULTIPLIED,
+        fiscal_year(fiscal_ordinal(F.col("QuarterEnd"))).alias("fy"))
+    panel_path, archive_path = fresh_path(spark, "panel"), fresh_path(spark, "archive")
+    tables.append_table(rows.where(F.col("q_ord") < _TABLE_END), panel_path, KEY)
+    tables.append_table(archive, archive_path, schemas.ARCHIVE_KEY)
+    for _ in range(2):
+        loading.load_in_place(spark, panel_path, archive_path,
+                              rows.where(F.col("q_ord") >= _TABLE_END - 2), date(2001, 11, 4), max_age_days=30)
+    return panel_path, archive_path
+
+
+@query("load_in_place", _LOADED, **_LOAD_VIEWS)
+def load_in_place(spark, sf_dir):
+    """The panel, of which only touched parts were written."""
+    return tables.stored(spark, _loaded_in_place(spark, sf_dir)[0]).drop("date", "fy")
+
+
+@query("load_in_place_archive", _ADJUSTED_ARCHIVE, **_LOAD_VIEWS)
+def load_in_place_archive(spark, sf_dir):
+    """The archive after the same load."""
+    return tables.stored(spark, _loaded_in_place(spark, sf_dir)[1]).drop("fy")
+
+
 @query("bulk_build", f"""
     SELECT entity, {fiscal('"QuarterEnd"')} AS q_ord, count(*) AS rows,
            count("Revenue") AS with_revenue, sum("Shares")::BIGINT AS shares
