@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import ENTITY, Q_ORD
 from quarterdeck.functions.periods import label
+from quarterdeck.operators.membership import key_bitmap, may_contain
 from quarterdeck.operators.ranking import add_weights
 from quarterdeck.session import written
 
 CHANGE = "Q_Delta_PriceAvg"
-BROADCAST_ROWS = 500_000
 
 
 def live_cohorts(picks: DataFrame, start: int, end: int) -> DataFrame:
@@ -34,7 +34,7 @@ def live_cohorts(picks: DataFrame, start: int, end: int) -> DataFrame:
 
 
 def holding_paths(weighted: DataFrame, panel: DataFrame, cohorts: DataFrame, hold: int,
-                  broadcast_picks: bool, change: str = CHANGE) -> DataFrame:
+                  change: str = CHANGE) -> DataFrame:
     """Growth factor of every pick at every age up to the sale.
 
     A quarter without a panel row makes a holding worthless for good; a row whose change is
@@ -45,10 +45,10 @@ def holding_paths(weighted: DataFrame, panel: DataFrame, cohorts: DataFrame, hol
             .withColumn("age", F.explode(F.sequence(
                 F.lit(1), F.least(F.lit(hold), F.col("last") + 1 - F.col("cohort")))))
             .withColumn(Q_ORD, F.col("cohort") + F.col("age")))
-    # The inner join lets the small side be the built one, so the panel is not shuffled.
+    # A bitmap of one size cuts the panel to little more than the holdings before it moves.
     wanted = held.select(ENTITY, Q_ORD).distinct()
-    wanted = F.broadcast(wanted) if broadcast_picks else wanted
-    found = (panel.select(ENTITY, Q_ORD, F.col(change).alias("__change"))
+    rows = panel.select(ENTITY, F.col(Q_ORD).cast("int").alias(Q_ORD), F.col(change).alias("__change"))
+    found = (may_contain(rows, key_bitmap(wanted, [ENTITY, Q_ORD]), [ENTITY, Q_ORD])
              .join(wanted, [ENTITY, Q_ORD])
              .withColumn("__factor", F.coalesce(1.0 + F.col("__change"), F.lit(float("nan")))))
     factor = F.coalesce(F.col("__factor"), F.lit(0.0))
@@ -80,11 +80,10 @@ def cohort_amounts(cohorts: DataFrame, growth: DataFrame, hold: int, cash: float
 
 def portfolio_values(picks: DataFrame, panel: DataFrame, start: int, end: int, hold: int = 4,
                      cash: float = 1000.0, allocation: str = "equal",
-                     picks_per_quarter: int = 21, change: str = CHANGE) -> DataFrame:
+                     change: str = CHANGE) -> DataFrame:
     """(q_ord, label, value) from the first purchase to one quarter after the last.
 
-    ``picks`` are ranked rows (q_ord, entity, rank), at most ``picks_per_quarter`` a quarter;
-    that number bounds what is broadcast to the panel's tasks.
+    ``picks`` are ranked rows (q_ord, entity, rank), any number a quarter.
     """
     spark = picks.sparkSession
     if start >= end:
@@ -96,8 +95,7 @@ def portfolio_values(picks: DataFrame, panel: DataFrame, start: int, end: int, h
     weighted = written(add_weights(inside, allocation).select(
         Q_ORD, ENTITY, "weight"), "picks")
     cohorts = live_cohorts(weighted, start, end)
-    bounded = picks_per_quarter * hold * (end - start + 1) <= BROADCAST_ROWS
-    paths = holding_paths(weighted, panel, cohorts, hold, bounded, change)
+    paths = holding_paths(weighted, panel, cohorts, hold, change)
     growth = written(cohort_paths(paths, cohorts), "growth")
     amounts = cohort_amounts(cohorts, growth, hold, cash)
     held = (growth.join(amounts, "cohort")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import ENTITY, Q_ORD
 
-SALTS = 256
+SALTS = (256, 16)  # sub-groups of a quarter, round by round
 
 
 def top_n(df: DataFrame, n: int, score: str) -> DataFrame:
@@ -20,20 +20,16 @@ def top_n(df: DataFrame, n: int, score: str) -> DataFrame:
 def top_n_per_quarter(df: DataFrame, n: int, score: str) -> DataFrame:
     """The ``n`` best scored rows of every quarter with their rank.
 
-    All entities of a quarter form one group, so tasks must not receive it whole. Up to
-    ``windowGroupLimitThreshold`` Spark cuts each map task to ``n`` rows per quarter before the
-    shuffle by itself; above that a first round over salted sub-groups does the same.
+    All entities of a quarter form one group, so no task may receive it whole: rounds over fewer and
+    fewer salted sub-groups cut it down first, whatever n is.
     """
-    scored = df.where(F.col(score).isNotNull())
+    rows = df.where(F.col(score).isNotNull())
     order = [F.col(score).desc(), F.col(ENTITY)]
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > limit:
-        salt = F.pmod(F.xxhash64(ENTITY), F.lit(SALTS))
-        scored = (scored.withColumn("__salt", salt)
-                  .withColumn("__place", F.row_number().over(
-                      Window.partitionBy(Q_ORD, "__salt").orderBy(*order)))
-                  .where(F.col("__place") <= n).drop("__salt", "__place"))
-    ranked = scored.withColumn("rank", F.row_number().over(
+    for salts in SALTS:
+        salt = F.pmod(F.xxhash64(ENTITY), F.lit(salts))
+        rows = (rows.withColumn("rank", F.row_number().over(
+            Window.partitionBy(Q_ORD, salt).orderBy(*order))).where(F.col("rank") <= n))
+    ranked = rows.withColumn("rank", F.row_number().over(
         Window.partitionBy(Q_ORD).orderBy(*order)))
     return ranked.where(F.col("rank") <= n)
 

@@ -18,11 +18,28 @@ from quarterdeck.functions.periods import fiscal_ordinal
 from quarterdeck.operators.merging import keep_one
 
 
-def price_aggregates(day: Column) -> list[Column]:
-    """Mean, low and high close, last close and last volume of a group of daily prices."""
+def price_aggregates(moment: Column) -> list[Column]:
+    """Mean, low and high close, last close and last volume of a group of prices. Of several prices of
+    the last moment the highest is the last."""
+    last = F.struct(moment, "close")
     return [F.avg("close").alias("PriceAvg"), F.min("close").alias("PriceLow"),
-            F.max("close").alias("PriceHigh"), F.max_by("close", day).alias("PriceEoQ"),
-            F.max_by("volume", day).alias("Volume")]
+            F.max("close").alias("PriceHigh"), F.max_by("close", last).alias("PriceEoQ"),
+            F.max_by("volume", last).alias("Volume")]
+
+
+def _daily(prices: DataFrame) -> DataFrame:
+    """One row per entity and day, so that an entity with many prices is no hot key. Of several prices of
+    a day the highest is the last."""
+    return prices.groupBy(ENTITY, "date").agg(
+        F.sum("close").alias("sum"), F.count("close").alias("n"), F.min("close").alias("low"),
+        F.max("close").alias("high"), F.max_by("volume", "close").alias("volume"))
+
+
+def _of_days() -> list[Column]:
+    """The same as ``price_aggregates`` from daily rows."""
+    return [F.try_divide(F.sum("sum"), F.sum("n")).alias("PriceAvg"),
+            F.min("low").alias("PriceLow"), F.max("high").alias("PriceHigh"),
+            F.max_by("high", "date").alias("PriceEoQ"), F.max_by("volume", "date").alias("Volume")]
 
 
 def _windows(start: date, end: date, days: int, inclusive: bool) -> int:
@@ -46,29 +63,22 @@ def price_rollup(prices: DataFrame, start: date, end: date,
     absent. The date bounds are constants and reach the scan."""
     last = start + timedelta(days=days * _windows(start, end, days, inclusive=False))
     bucket = _window_bucket(start, days)
-    return (prices.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(last)))
+    return (_daily(prices.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(last))))
             .groupBy(ENTITY, bucket.alias("bucket"))
-            .agg(*price_aggregates(F.col("date")))
+            .agg(*_of_days())
             .withColumn("date", _window_end(F.lit(start), F.col("bucket"), days))
             .drop("bucket"))
 
 
 def price_rollup_from(prices: DataFrame, starts: DataFrame, end: date,
                       days: int = QUARTER_DAYS) -> DataFrame:
-    """The same with a start per entity (entity, start). Prices are brought to one row per entity
-    and day before they meet the starts, so that an entity with many prices is no hot key. Of several
-    prices of a day the highest is the last."""
+    """The same with a start per entity (entity, start), which daily rows meet."""
     bucket = F.floor(F.datediff(F.col("date"), F.col("start")) / days).cast("int")
-    daily = prices.where(F.col("date") < F.lit(end)).groupBy(ENTITY, "date").agg(
-        F.sum("close").alias("sum"), F.count("close").alias("n"), F.min("close").alias("low"),
-        F.max("close").alias("high"), F.max_by("volume", "close").alias("volume"))
+    daily = _daily(prices.where(F.col("date") < F.lit(end)))
     return (daily.join(starts, ENTITY)
             .where(F.col("date") >= F.col("start"))
             .groupBy(ENTITY, "start", bucket.alias("bucket"))
-            .agg(F.try_divide(F.sum("sum"), F.sum("n")).alias("PriceAvg"),
-                 F.min("low").alias("PriceLow"), F.max("high").alias("PriceHigh"),
-                 F.max_by("high", "date").alias("PriceEoQ"),
-                 F.max_by("volume", "date").alias("Volume"))
+            .agg(*_of_days())
             .withColumn("date", _window_end(F.col("start"), F.col("bucket"), days))
             .where(F.col("date") < F.lit(end))
             .drop("start", "bucket"))
@@ -202,8 +212,8 @@ def dividends_per_quarter(quarter_ends: DataFrame, dividends: DataFrame) -> Data
 
 
 def latest_price(prices: DataFrame, as_of: date, days: int = 5) -> DataFrame:
-    """Last close per entity within ``days`` up to ``as_of``."""
+    """Last close per entity within ``days`` up to ``as_of``; of several of a day the highest."""
     since = as_of - timedelta(days=days)
     return (prices.where((F.col("date") >= F.lit(since)) & (F.col("date") <= F.lit(as_of)))
             .groupBy(ENTITY)
-            .agg(F.max_by("close", "date").alias("CurrentPrice")))
+            .agg(F.max_by("close", F.struct("date", "close")).alias("CurrentPrice")))

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from quarterdeck.functions.names import ENTITY, GRADE_SCORES, KEY, Q_ORD, STATEMENT_ITEMS
 from quarterdeck.functions.periods import fiscal_ordinal, fiscal_year
 from quarterdeck.operators.filters import fresh_entities, split_symbols
-from quarterdeck.operators.merging import union_by_name
+from quarterdeck.operators.merging import repair_labels, union_by_name
 from quarterdeck.operators.rollups import price_rollup, splits_per_quarter
-from quarterdeck.operators.splits import adjust_archive, adjust_panel, batch_split_factors
+from quarterdeck.operators.splits import (
+    ARCHIVE_MULTIPLIED, adjust_archive, adjust_panel, batch_split_factors)
 from quarterdeck.operators.timeline import daily_events, quarters_of_events
 from quarterdeck.session import fresh_path, written
 from quarterdeck.sources.readers import FILE_NAME_PATTERN, read_archive
 from quarterdeck.sources.schemas import ARCHIVE_KEY, duplicate_keys
 from quarterdeck.sources.tables import (
-    append_table, finish, merge_rows, part_of_rows, replace_in_place, replace_table, stored)
+    append_table, finish, merge_rows, part_of_rows, replace_in_place, replace_table, stored,
+    update_column_table)
 
 
 def quarterly_facts(statements: Sequence[DataFrame], dividends: DataFrame, splits: DataFrame,
@@ -76,6 +78,20 @@ def incremental_load(table: DataFrame, archive: DataFrame, batch: DataFrame, tod
     return merge_rows(table, fresh), archive
 
 
+def dividend_updates(dividends: DataFrame, since: date) -> DataFrame:
+    """(entity, date, q_ord, DividendPerShare) of the dividends after ``since``, the highest of a day, each
+    in its fiscal quarter as an entity's other dividends put it right (``repair_labels``): a drifted one
+    does not replace its neighbour's."""
+    daily = (dividends.where(F.col("date") > F.lit(since)).groupBy(ENTITY, "date")
+             .agg(F.max("dividend").alias("DividendPerShare")))
+    return repair_labels(daily, "date")
+
+
+def load_dividends(dividends: DataFrame, panel_path: str, since: date) -> None:
+    """Write them into the stored panel; only parts with a row they meet are replaced."""
+    update_column_table(dividend_updates(dividends, since), panel_path, "DividendPerShare")
+
+
 def load_tables(spark: SparkSession, panel_path: str, archive_path: str, batch: DataFrame,
                 today: date, backfill_splits: bool = True) -> tuple[str, str]:
     """Run an incremental load from stored tables into new folders and return their paths; the
@@ -119,8 +135,10 @@ def load_in_place(spark: SparkSession, panel_path: str, archive_path: str, batch
 def build_archive(spark: SparkSession, csv_folder: str, path: str,
                   entity_pattern: str = FILE_NAME_PATTERN) -> DataFrame:
     """First build of the archive table from its CSV files, partitioned by fiscal year. Built again
-    it is the same; a key that occurs twice ends the build before the table is touched."""
+    it is the same; a key that occurs twice ends the build before the table is touched. What a later
+    split multiplies is stored as a double, which also holds fractions."""
     rows = read_archive(spark, csv_folder, entity_pattern=entity_pattern)
+    rows = rows.withColumns({c: F.col(c).cast("double") for c in ARCHIVE_MULTIPLIED})
     rows = written(rows.withColumn("fy", fiscal_year(fiscal_ordinal(F.col("QuarterEnd")))),
                    "archive")
     twice = duplicate_keys(rows, ARCHIVE_KEY).first()

@@ -98,4 +98,4 @@ def walk_forward(features: DataFrame, panel: DataFrame, start: int, end: int,
     """Portfolio value by quarter when every quarter's picks are bought and held."""
     picks = walk_forward_picks(features, start, end, settings)
     return portfolio_values(picks, panel, start, end, settings.horizon, cash,
-                            settings.allocation, settings.n_to_buy)
+                            settings.allocation)

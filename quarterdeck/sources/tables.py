@@ -195,7 +195,7 @@ def update_column_table(events: DataFrame, path: str, column: str, date_column:
         pairs = _pairs(_part(spark, path, pairs).join(keys, list(key), "left_semi"))
     if pairs:
         rows = update_column(_part(spark, path, pairs), events, column, date_column, key)
-        _move_in(spark, path, [[_stage(rows, "update"), path]])
+        _move_in(spark, path, [[_stage(_as_stored(rows, path), "update"), path]])
 
 
 def insert_absent_table(rows: DataFrame, path: str, key: Sequence[str] = (ENTITY,)) -> None:
@@ -267,7 +267,7 @@ def upsert_table(batch: DataFrame, path: str, key: Sequence[str] = KEY,
 def replace_in_place(home: str, changed: Sequence[tuple[DataFrame, str]]) -> None:
     """Replace the parts that rows lie in, in several tables, with one note in the first one's folder."""
     spark = changed[0][0].sparkSession
-    _move_in(spark, home, [[_stage(rows, "part"), path] for rows, path in changed])
+    _move_in(spark, home, [[_stage(_as_stored(rows, path), "part"), path] for rows, path in changed])
 
 
 def part_of_rows(rows: DataFrame, path: str) -> DataFrame:

@@ -93,7 +93,7 @@ def test_closed_form_equals_the_loop(spark, seed):
                                   for i, e in enumerate(es)],
                                  "q_ord int, entity string, rank int")
     done = {r.q_ord: r.value for r in backtest.portfolio_values(
-        rows, panel, start, end, hold, 1000.0, allocation, 4).collect()}
+        rows, panel, start, end, hold, 1000.0, allocation).collect()}
     meant = loop(picks, changes, start, end, hold, 1000.0, allocation)
     if start not in picks:
         meant = {start: 1000.0, start + 1: 1000.0}

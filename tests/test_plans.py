@@ -58,6 +58,13 @@ def test_rows_per_key_are_cut_before_the_shuffle(facts):
         assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
+def test_one_plan_for_any_number_of_picks(facts):
+    """Salted rounds for few and many rows a quarter, below and above Spark's own limit."""
+    few, many = (re.sub(r"\d+", "", plan(ranking.top_n_per_quarter(facts, n, "a"))) for n in (7, 5000))
+    nodes = [re.findall(r"(?<!\w)Window \[|Exchange hashpartitioning", text) for text in (few, many)]
+    assert nodes[0] == nodes[1] and len(nodes[0]) == 6
+
+
 def test_top_n_takes_ordered(facts):
     assert "TakeOrderedAndProject" in plan(ranking.top_n(facts, 5, "a"))
 
@@ -117,7 +124,7 @@ def test_holdings_do_not_shuffle_the_panel(spark, facts):
         ranking.top_n_per_quarter(facts.where("q_ord BETWEEN 5 AND 9"), 3, "a")
         .select(*KEY, "rank"), "picks"))
     cohorts = backtest.live_cohorts(picks, 5, 9)
-    paths = backtest.holding_paths(picks, changed, cohorts, 4, True)
+    paths = backtest.holding_paths(picks, changed, cohorts, 4)
     above = plan(paths).split("ReadSchema: struct<entity:string,q_ord:int,a:double>")[0]
     nodes = re.findall(r"(BroadcastHashJoin|SortMergeJoin|Exchange hashpartitioning)", above)
     assert nodes[-1] == "BroadcastHashJoin"

@@ -120,6 +120,17 @@ def test_latest_price(spark):
     assert [tuple(r) for r in rollups.latest_price(prices, START).collect()] == [("a", 1.0)]
 
 
+def test_ties_of_a_moment_go_to_the_highest(spark):
+    rows = [("a", START + DAY, c, v) for c, v in ((3.0, 30), (5.0, 50), (4.0, 40))] + [("a", START, 9.0, 90)]
+    prices = spark.createDataFrame(rows, "entity string, date date, close double, volume long")
+    for part in (prices, prices.repartition(3), prices.orderBy("close")):
+        window = rollups.price_rollup(part, START, START + 10 * DAY, 4).first()
+        assert (window.PriceEoQ, window.Volume, window.PriceAvg) == (5.0, 50, 5.25)
+        assert rollups.latest_price(part, START + DAY).first().CurrentPrice == 5.0
+        plain = part.groupBy("entity").agg(*rollups.price_aggregates(F.col("date"))).first()
+        assert (plain.PriceEoQ, plain.Volume) == (5.0, 50)
+
+
 def test_windows_in_one_quarter_keep_the_later(spark):
     df = spark.createDataFrame([("a", date(2020, 2, 1), 1), ("a", date(2020, 4, 20), 2)],
                                "entity string, date date, x int")

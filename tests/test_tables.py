@@ -7,7 +7,7 @@ from quarterdeck import session
 from quarterdeck.operators.metrics import count_rows
 from quarterdeck.plans import loading
 from quarterdeck.sources import readers, schemas, tables
-from quarterdeck.streaming.rollup import stream_price_rollup
+from quarterdeck.streaming.rollup import open_windows, stream_price_rollup
 from pyspark.sql.types import StructType
 
 from quarterdeck.sources.readers import read_archive
@@ -272,6 +272,41 @@ def test_stream_rollup_equals_batch(spark, tmp_path):
     assert streamed == {tuple(r) for r in batch.collect()} and len(streamed) == 18
 
 
+def test_closed_stream_equals_batch_however_often_prices_come(spark, tmp_path):
+    days = spark.range(600).select(
+        F.concat(F.lit("e"), F.col("id") % 3).alias("entity"),
+        F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") / 3).cast("int")).cast("timestamp").alias("ts"),
+        (F.col("id") * 17 % 101).cast("double").alias("close"), F.col("id").alias("volume"))
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    days.union(days).repartition(2).write.parquet(source)
+    stream = spark.readStream.schema(days.schema).parquet(source)
+    rolled = stream_price_rollup(stream, date(2020, 1, 1), 30, "0 seconds", redelivered=True)
+    (rolled.writeStream.format("parquet").option("path", out)
+     .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True)
+     .start().awaitTermination())
+    emitted = spark.read.schema(rolled.schema).parquet(out)
+    rest = open_windows(spark.read.parquet(source), emitted, date(2020, 1, 1), 30)
+    assert rest.count() == 3  # 200 days: the seventh window is open
+    whole = price_rollup(days.withColumn("date", F.to_date("ts")), date(2020, 1, 1), date(2021, 1, 1), 30)
+    found = {tuple(r) for r in emitted.unionByName(rest).select(*whole.columns).collect()}
+    assert found == {tuple(r) for r in whole.collect()} and len(found) == 21
+    nothing = open_windows(days, emitted.limit(0), date(2020, 1, 1), 30)
+    assert nothing.count() == 21
+
+
+def test_drifted_dividends_do_not_replace_their_neighbours(spark):
+    path = session.fresh_path(spark, "dividends")
+    tables.append_table(frame(spark, [("a", q, 0.0, q // 4) for q in range(8080, 8084)]).withColumnRenamed(
+        "x", "DividendPerShare"), path)
+    # The second quarter's dividend drifted into the third.
+    paid = spark.createDataFrame(
+        [("a", date(2020, 3, 15), 1.0), ("a", date(2020, 8, 3), 2.0), ("a", date(2020, 9, 15), 3.0),
+         ("a", date(2020, 12, 15), 4.0), ("a", date(2018, 3, 15), 9.0)], "entity string, date date, dividend double")
+    loading.load_dividends(paid, path, date(2019, 1, 1))
+    found = {r.q_ord: r.DividendPerShare for r in tables.stored(spark, path).collect()}
+    assert found == {8080: 1.0, 8081: 2.0, 8082: 3.0, 8083: 4.0}
+
+
 def test_stream_upsert_over_several_batches(spark, tmp_path):
     source = str(tmp_path / "in")
     path = session.fresh_path(spark, "stream")

@@ -15,7 +15,7 @@ from quarterdeck.operators.metrics import count_rows
 from quarterdeck.operators import filters
 from quarterdeck.plans import loading
 from quarterdeck.session import fresh_path, written
-from quarterdeck.streaming.rollup import stream_price_rollup
+from quarterdeck.streaming.rollup import open_windows, stream_price_rollup
 from workload import tables as views
 from workload.catalog import query
 from workload.oracle import fiscal
@@ -409,3 +409,27 @@ def stream_rollup(spark, sf_dir):
      .option("checkpointLocation", checkpoint).outputMode("append")
      .trigger(availableNow=True).start().awaitTermination())
     return rounded(spark.read.schema(rolled.schema).parquet(path), "PriceAvg")
+
+
+@query("stream_rollup_closed", """
+    SELECT entity, DATE '2024-01-01' + (bucket + 1) * 7 AS date, round(avg(close), 6) AS "PriceAvg",
+           min(close) AS "PriceLow", max(close) AS "PriceHigh",
+           arg_max(close, (ts, close)) AS "PriceEoQ", arg_max(volume, (ts, close)) AS "Volume"
+    FROM (SELECT CAST(user_id AS VARCHAR) AS entity, value AS close, event_id AS volume, ts,
+                 CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) AS INTEGER)
+                     AS bucket FROM events)
+    GROUP BY entity, bucket""")
+def stream_rollup_closed(spark, sf_dir):
+    """Every event delivered twice; when the stream has ended its open windows are closed."""
+    path, checkpoint = fresh_path(spark, "ticks"), fresh_path(spark, "ticks-state")
+    twice = _tick_stream(spark, sf_dir).union(_tick_stream(spark, sf_dir))
+    rolled = stream_price_rollup(twice, _STREAM_START, 7, redelivered=True)
+    (rolled.writeStream.format("parquet").option("path", path)
+     .option("checkpointLocation", checkpoint).outputMode("append")
+     .trigger(availableNow=True).start().awaitTermination())
+    emitted = spark.read.schema(rolled.schema).parquet(path)
+    events = views.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("entity"), F.col("ts").cast("timestamp").alias("ts"),
+        F.col("value").alias("close"), F.col("event_id").alias("volume"))
+    rest = open_windows(events, emitted, _STREAM_START, 7)
+    return rounded(emitted.unionByName(rest), "PriceAvg")

@@ -353,7 +353,7 @@ _PERFORMANCE = f"""
 def _performance(rows, allocation):
     changed = _changed(rows)
     return backtest.portfolio_values(_picks(changed), changed, _START, _END, _HOLD, 1000.0,
-                                     allocation, 7)
+                                     allocation)
 
 
 @query("backtest_equal", _PERFORMANCE, **_backtest_views("facts", "1.0::DOUBLE / n"))
@@ -380,7 +380,7 @@ def cohort_values(spark, sf_dir):
     picks = _picks(changed).where(F.col("q_ord").between(_START, _END))
     cohorts = backtest.live_cohorts(picks, _START, _END)
     paths = backtest.holding_paths(ranking.add_weights(picks, "equal"), changed, cohorts,
-                                   _HOLD, True)
+                                   _HOLD)
     return paths.select("cohort", "entity", "age", F.round("growth", 6).alias("growth"))
 
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.names import KEY
-from quarterdeck.functions.periods import fiscal_ordinal, fiscal_year, ordinal
+from quarterdeck.functions.periods import fiscal_ordinal, fiscal_year, ordinal, quarter_date
 from quarterdeck.operators import splits
 from quarterdeck.plans import loading
 from quarterdeck.session import fresh_path
@@ -124,6 +124,41 @@ def column_update_stored(spark, sf_dir):
     return tables.stored(spark, path)
 
 
+_DRIFTED = """SELECT entity, make_date(q_ord // 4, (q_ord % 4 + 1) * 3, 15)
+        + CASE WHEN "CommonStock" < 2000 THEN 60 ELSE 0 END AS date, "Volume" / 8 AS dividend
+    FROM facts"""
+
+
+@query("dividend_update_repaired", f"""
+    SELECT f.entity, f.q_ord, CAST(f.q_ord // 4 AS INTEGER) AS fy,
+           coalesce(d.dividend, f."DividendPerShare") AS "DividendPerShare"
+    FROM facts f LEFT JOIN (
+        SELECT entity, q_ord, arg_max(dividend, date) AS dividend FROM (
+            SELECT entity, date, dividend, CASE
+                WHEN q = nq AND (p IS NULL OR p <> q) AND (p = q - 2 OR (p IS NULL AND nnq = q + 1))
+                    THEN q - 1
+                WHEN q = p AND (nq IS NULL OR nq <> q) AND (
+                    (nq = q + 2 AND (pp IS NULL OR pp <> q - 2)) OR (nq IS NULL AND pp = q - 1))
+                    THEN q + 1
+                ELSE q END AS q_ord
+            FROM (SELECT *, lag(q) OVER w AS p, lag(q, 2) OVER w AS pp, lead(q) OVER w AS nq,
+                         lead(q, 2) OVER w AS nnq
+                  FROM (SELECT entity, date, max(dividend) AS dividend, {fiscal('date')} AS q
+                        FROM drifted WHERE date > DATE '1993-01-01' GROUP BY entity, date)
+                  WINDOW w AS (PARTITION BY entity ORDER BY date)))
+        GROUP BY 1, 2) d ON d.entity = f.entity AND d.q_ord = f.q_ord""", drifted=_DRIFTED)
+def dividend_update_repaired(spark, sf_dir):
+    """Dividends of drifted dates written into the stored panel."""
+    facts = views.facts(spark, sf_dir)
+    path = fresh_path(spark, "panel")
+    tables.append_table(facts.select(*KEY, "DividendPerShare", fiscal_year(F.col("q_ord")).alias("fy")), path)
+    slow = F.when(F.col("CommonStock") < 2000, 60).otherwise(0)
+    drifted = facts.select("entity", F.date_add(quarter_date(F.col("q_ord"), 15), slow).alias("date"),
+                           (F.col("Volume") / 8).alias("dividend"))
+    loading.load_dividends(drifted, path, date(1993, 1, 1))
+    return tables.stored(spark, path)
+
+
 @query("dim_insert_stored", """
     SELECT entity, "Sector", "Industry" FROM dimension
     UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL FROM supplier
@@ -241,8 +276,8 @@ def _loaded_in_place(spark, sf_dir) -> tuple[str, str]:
     rows = _split_facts(spark, sf_dir).select(*KEY, "date", "PriceAvg", "Split")
     rows = rows.withColumn("fy", fiscal_year(F.col("q_ord")))
     archive = views.archive(spark, sf_dir).select(
-        "entity", "QuarterEnd", *splits.ARCHIVE_DIVIDED, *splits.ARCHIVE_MULTIPLIED,
-        fiscal_year(fiscal_ordinal(F.col("QuarterEnd"))).alias("fy"))
+        "entity", "QuarterEnd", *splits.ARCHIVE_DIVIDED,
+        *[F.col(c).cast("double").alias(c) for c in splits.ARCHIVE_MULTIPLIED], fiscal_year(fiscal_ordinal(F.col("QuarterEnd"))).alias("fy"))
     panel_path, archive_path = fresh_path(spark, "panel"), fresh_path(spark, "archive")
     tables.append_table(rows.where(F.col("q_ord") < _TABLE_END), panel_path, KEY)
     tables.append_table(archive, archive_path, schemas.ARCHIVE_KEY)
