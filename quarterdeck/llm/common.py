@@ -55,12 +55,24 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % folds
 
 
+#: How each module lets go of what it keeps in a process from task to task.
+STORES: dict[str, Callable[[], None]] = {}
+
+
+def let_go(but: str) -> None:
+    """A process that starts on another module's work frees what earlier work has left in it."""
+    for module, forget in STORES.items():
+        if module != but:
+            forget()
+
+
 def arrow_map(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],
               schema: str) -> DataFrame:
     """``df.mapInArrow`` for a function that yields column dictionaries."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(rows.__module__)
         for columns in rows(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import arrow_map, fold, utf8, with_columns
+from quarterdeck.llm.common import STORES, arrow_map, fold, utf8, with_columns
 
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # fixed value: the vocabulary's mark of a word's start
@@ -265,6 +265,7 @@ def _together(texts: pa.Array) -> Iterator[list[list[str]]]:
 
 
 _models: dict[int, LanguageModel] = {}
+STORES[__name__] = _models.clear
 
 
 def _model(given) -> LanguageModel:

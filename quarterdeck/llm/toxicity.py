@@ -36,7 +36,8 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import arrow_map, fold, utf8, with_columns
+from quarterdeck.llm.common import STORES, arrow_map, fold, let_go, utf8, with_columns
+from quarterdeck.operators.membership import key_bitmap, may_contain
 from quarterdeck.session import fresh_path, written
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -46,6 +47,7 @@ CURVE_ROWS, KEPT_WORDS, COUNTED_WORDS = 20_000, 300_000, 100_000
 FILE_ROWS, FILES_READ, HELD_BYTES = 1 << 16, 16, 1 << 24
 TRIAL, FINAL = 0, 1
 FIXED_CURVE = 6.0, 0.32
+LABEL_BITS = 24  # 2 MB, whatever the number of labels
 HISTORY = " "  # in no gram
 TOXIC_FROM = 0.7
 
@@ -158,6 +160,7 @@ class Words:
 
 
 _words: dict[str, Words] = {}
+STORES[__name__] = _words.clear
 
 
 def _known(folder: str) -> Words:
@@ -318,11 +321,13 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Learn from the documents outside the held-out fold that have a label 0 or 1 (with several
     labels, the highest). Without documents of both classes the model scores everything 0."""
     part = fold("doc_id", FOLDS)
-    marks = (labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id")
+    marks = (labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max("toxic").cast("int").alias("toxic")))
-    joined = (docs.where(part != HELD_OUT)
-              .select("doc_id", utf8().alias("utf8"), part.cast("int").alias("fold"))
-              .join(marks, "doc_id").select("utf8", "fold", "toxic"))
+    learnt = docs.where(part != HELD_OUT).select(
+        F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("utf8"), part.cast("int").alias("fold"))
+    # Texts without a label stay where they are; those that a bitmap of their ids lets through move.
+    near = may_contain(learnt, key_bitmap(marks, ["doc_id"], LABEL_BITS), ["doc_id"], LABEL_BITS)
+    joined = near.join(marks, "doc_id").select("utf8", "fold", "toxic")
     path = fresh_path(docs.sparkSession, "labelled")
     joined.write.option("compression", "zstd").parquet(path)
     labelled = docs.sparkSession.read.schema(joined.schema).parquet(path)
@@ -361,6 +366,7 @@ def predict(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         return kept.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(predict.__module__)
         for batch, found in _known(model.folder).passages(batches, "text"):
             scores = [model.score(x) for x in found]
             yield pa.RecordBatch.from_arrays(
