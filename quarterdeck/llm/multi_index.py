@@ -13,7 +13,6 @@ operations on the JVM.
 
 from __future__ import annotations
 
-from itertools import combinations
 from math import comb, log2
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,9 +39,9 @@ def _distance(a: Column, b: Column) -> Column:
 
 
 def _best(rows: DataFrame, k: int) -> DataFrame:
-    """The k nearest entries of each query code; ``rows`` may repeat entries."""
+    """The k nearest entries of each query code; each task cuts its rows to k before they move."""
     place = Window.partitionBy("q").orderBy("distance", "vec_id")
-    return (rows.distinct().withColumn("place", F.row_number().over(place))
+    return (rows.withColumn("place", F.row_number().over(place))
             .where(F.col("place") <= k).drop("place"))
 
 
@@ -73,17 +72,15 @@ def search(codes: DataFrame, queries: str, k: int = 10) -> DataFrame:
         if max(comb(w, r) for w in widths) > n:
             done.append(_best(_all(entries, left), k + 1))
             break
-        met = None
-        for a, width in enumerate(widths):
-            masks = [sum(1 << b for b in bits) for bits in combinations(range(width), r)]
-            probes = left.select("q", segment(F.col("q"), a).alias("own"), F.explode(
-                F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask")).select(
-                "q", F.lit(a).alias("segment"), F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
-            met = probes if met is None else met.unionByName(probes)
-        met = (placed.join(met, ["segment", "part"])
-               .select("q", "vec_id", _distance(F.col("q"), F.col("code")).alias("distance")))
+        parts = F.array(*[F.struct(segment(F.col("q"), i).alias("part"), F.lit(w).alias("width"))
+                          for i, w in enumerate(widths)])
+        probes = _flipped(left.select("q", F.posexplode(parts).alias("segment", "own"))
+                          .select("q", "segment", "own.part", "own.width"), r)
+        # Spark takes exploded rows for as few as there were before, so it is told not to broadcast them.
+        met = (placed.join(probes.hint("merge"), ["segment", "part"])
+               .select("q", "vec_id", _distance(F.col("q"), F.col("code")).alias("distance")).distinct())
         if best is not None:
-            met = met.unionByName(best.join(left, "q"))
+            met = met.unionByName(best.join(left, "q")).distinct()
         best = written(_best(met, k + 1), "best")
         covered = written(best.groupBy("q").agg(
             F.count("*").alias("n"), F.max("distance").alias("d")).where(
@@ -101,6 +98,17 @@ def search(codes: DataFrame, queries: str, k: int = 10) -> DataFrame:
             .select("query_id", "rank", "vec_id", "distance"))
 
 
+def _flipped(probes: DataFrame, r: int) -> DataFrame:
+    """(q, segment, part) with each r bits of ``part`` flipped: one after the other, each above the last."""
+    rows = probes.where(F.col("width") >= r).withColumn("next", F.lit(0))
+    for i in range(r):
+        rows = rows.select("q", "segment", "part", "width", F.explode(F.sequence(
+            "next", F.col("width") - F.lit(r - i))).alias("bit")).select(
+            "q", "segment", F.col("part").bitwiseXOR(F.expr("shiftleft(1L, bit)")).alias("part"), "width",
+            (F.col("bit") + 1).alias("next"))
+    return rows.select("q", "segment", "part")
+
+
 def _all(entries: DataFrame, left: DataFrame) -> DataFrame:
     """The distance of every entry to each query that is left, block by block of the entries."""
     n = max(1, entries.count() // BLOCK)
