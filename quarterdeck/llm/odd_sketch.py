@@ -14,11 +14,12 @@ Two texts link when their sets of 2-word shingles have a Jaccard similarity of 0
 5. A few turns go first: each class is compared with one class, the one of ``HEADS`` heads of each of its
    buckets that its sketch is nearest to. Linked classes are one group and need no more comparing. Then
    all candidate pairs of classes of different groups are compared: in each bucket the classes outside its
-   largest group with each other and with that group. All links give the components.
+   largest group with each other, and each of them with that group as a whole, whose sets are held
+   together in parts. All links give the components.
 
 Heads are drawn anew in each turn, so groups of any size come together in some turns of at most one
 comparison for each class. Sketches are compared inside the joins on buckets, which give candidates
-only; comparing texts is done in cells of one class and about ``CELL`` texts.
+only; comparing texts is done in cells of one class and about ``CELL`` texts, or of a part of a group.
 
 Nulls: null and wordless texts have no shingles and no links. Repeated rows are in one class, each gives a
 row. A null doc_id is no component_id unless its component has no other. Columns other than doc_id
@@ -44,7 +45,8 @@ from quarterdeck.session import written
 WORDS, PERCENT = 2, 80
 BANDS, ROWS, SAMPLES, BITS = 44, 5, 440, 1024
 SIGMAS = 5.5
-TURNS, HEADS, CELL, STRETCH = 3, 8, 64, 1 << 16
+TURNS, HEADS, CELL, STRETCH = 2, 8, 64, 1 << 16
+CHUNK, CHUNK_TOKENS = 256, 1 << 20  # sets of a group, and their tokens, held together
 U = np.uint64
 FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15)) | U(1)
 SETS = "row binary, doc_id long, n long, class binary, buckets array<long>, sketch array<long>"
@@ -167,20 +169,85 @@ def _nearest_heads(apart: DataFrame, turn: int) -> DataFrame:
             .select("a", F.col("near.b").alias("b")))
 
 
-def _candidates(apart: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes of different groups that share a bucket and may link. Classes of a bucket's
-    largest group are never put beside each other."""
+def _candidates(apart: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is left to compare: pairs (a, b) of classes of different groups outside the largest group of a
+    bucket they share, and (a, group) for a class that may link with some class of that group."""
     sizes = apart.groupBy("bucket", F.col("entry.group").alias("group")).agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
     placed = apart.join(main, "bucket")
     rest = placed.where(F.col("entry.group") != F.col("main"))
-    one, other = (rest.select("bucket", F.col("entry").alias(name)) for name in ("one", "other"))
-    inside = placed.where(F.col("entry.group") == F.col("main")).select("bucket", F.col("entry").alias("other"))
-    pair = [F.col("one.class").alias("a"), F.col("other.class").alias("b")]
-    within = one.join(other, "bucket").where(
-        (F.col("one.group") < F.col("other.group")) & _may_link("one", "other")).select(*pair)
-    across = one.join(inside, "bucket").where(_may_link("one", "other")).select(*pair)
-    return within.unionByName(across).distinct()
+    one, other = (rest.select("bucket", "main", F.col("entry").alias(name)) for name in ("one", "other"))
+    within = one.join(other.drop("main"), "bucket").where(
+        (F.col("one.group") < F.col("other.group")) & _may_link("one", "other"))
+    inside = placed.where(F.col("entry.group") == F.col("main")).select(
+        F.col("bucket").alias("own"), F.col("entry").alias("inner"))
+    facing = one.join(inside, (F.col("bucket") == F.col("own")) & _may_link("one", "inner"), "left_semi")
+    return (within.select(F.col("one.class").alias("a"), F.col("other.class").alias("b")).distinct(),
+            facing.select(F.col("one.class").alias("a"), F.col("main").alias("group")).distinct())
+
+
+class _Chunk:
+    """Some members of a group, their tokens in one order, each with its owner."""
+
+    def __init__(self, names: list[bytes], sets: list[np.ndarray]) -> None:
+        self.names, self.sizes = names, np.array([len(s) for s in sets])
+        tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(tokens, kind="stable")
+        self.tokens, self.owners = tokens[order], owners[order]
+
+    def linked(self, tokens: np.ndarray) -> bytes | None:
+        """The first member that this set is linked with."""
+        low = np.searchsorted(self.tokens, tokens, "left")
+        met = np.searchsorted(self.tokens, tokens, "right") - low
+        at = np.repeat(low - np.append(0, np.cumsum(met)[:-1]), met) + np.arange(met.sum())
+        both = np.bincount(self.owners[at], minlength=len(self.names))
+        found = np.flatnonzero(100 * both >= PERCENT * (self.sizes + len(tokens) - both))
+        return self.names[found[0]] if len(found) else None
+
+
+def _joining(facing: DataFrame, groups: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) of classes to members of the groups they face, told on full sets: one for each part
+    of a group suffices, as its members are linked already. A group's members are dealt to parts of about
+    ``CHUNK`` sets, each held as one, and the classes that face the group come by one after the other."""
+    facing = written(facing, "facing")
+    known = groups.select(F.col("node").alias("class"), F.col("component").alias("group"))
+    members = written(classes.select("class", "row", "n").join(known, "class", "left")
+                      .withColumn("group", F.coalesce("group", "class"))
+                      .join(facing.select("group").distinct(), "group", "left_semi"), "members")
+    parts = members.groupBy("group").agg(F.ceil(F.greatest(
+        F.count("*") / CHUNK, F.sum("n") / CHUNK_TOKENS)).alias("parts"))
+    held = members.join(parts, "group").select(
+        "group", F.pmod(F.xxhash64("class"), "parts").alias("part"), F.lit(0).alias("turn"), "class", "row")
+    asking = (facing.withColumnRenamed("a", "class").join(parts, "group")
+              .join(classes.select("class", "row"), "class")
+              .select("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+                      F.lit(1).alias("turn"), "class", "row"))
+    texts = docs.select(_row().alias("row"), utf8().alias("utf8"))
+    cells = (texts.join(held.unionByName(asking), "row").select("group", "part", "turn", "class", "utf8")
+             .repartition("group", "part").sortWithinPartitions("group", "part", "turn"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        key, names, sets, chunk = None, [], [], None
+        for batch in batches:
+            a, b = [], []
+            found = shingle_sets([t.as_py() for t in batch["utf8"]], WORDS)
+            keys = zip(*(batch[c].to_pylist() for c in ("group", "part", "turn", "class")))
+            for (group, part, turn, own), tokens in zip(keys, found):
+                if (group, part) != key:
+                    key, names, sets, chunk = (group, part), [], [], None
+                if turn == 0:
+                    names.append(own)
+                    sets.append(tokens)
+                    continue
+                if chunk is None and names:
+                    chunk, sets = _Chunk(names, sets), []
+                other = chunk.linked(tokens) if chunk else None
+                if other is not None:
+                    a.append(own)
+                    b.append(other)
+            yield {"a": a, "b": b}
+
+    return arrow_map(cells, run, "a binary, b binary").distinct()
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -234,7 +301,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for turn in range(TURNS):
         pairs = _nearest_heads(_apart(postings, groups), turn)
         groups = written(_joined(groups, _confirmed(pairs, classes, docs)), "groups")
-    whole = _joined(groups, _confirmed(_candidates(_apart(postings, groups)), classes, docs))
+    pairs, facing = _candidates(_apart(postings, groups))
+    whole = _joined(groups, _confirmed(pairs, classes, docs).unionByName(
+        _joining(facing, groups, classes, docs)))
     named = written(classes.select("class", "doc_id").join(
         whole.select(F.col("node").alias("class"), "component"), "class", "left")
         .withColumn("component", F.coalesce("component", "class")), "named")

@@ -9,8 +9,8 @@ import numpy as np
 import pytest
 
 from quarterdeck.llm.common import DOCUMENT, table
-from quarterdeck.llm.odd_sketch import SAMPLES, buckets, most, near_duplicates, samples, sketches
-from quarterdeck.llm.shingles import shingle_sets
+from quarterdeck.llm.odd_sketch import SAMPLES, _Chunk, buckets, most, near_duplicates, samples, sketches
+from quarterdeck.llm.shingles import linked, shingle_sets
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,6 +85,18 @@ def test_samples_do_not_depend_on_the_block():
     assert (samples(sets) == alone).all()
 
 
+def test_a_part_of_a_group_finds_its_first_link():
+    rng = np.random.default_rng(7)
+    sets = [np.unique(rng.integers(0, 300, 200).astype(np.uint64)) for _ in range(40)]
+    chunk = _Chunk([b"%d" % i for i in range(40)], sets)
+    for _ in range(40):
+        own = sets[rng.integers(40)]
+        own = np.unique(np.append(own[rng.random(len(own)) > 0.12], rng.integers(0, 900, 12).astype(np.uint64)))
+        meant = [i for i, s in enumerate(sets) if linked(s, own, 80)]
+        assert chunk.linked(own) == (b"%d" % meant[0] if meant else None)
+    assert chunk.linked(np.array([10**6], np.uint64)) is None
+
+
 def family(rng, size):
     words, out = [f"w{rng.randrange(400)}" for _ in range(120)], []
     for _ in range(size):
