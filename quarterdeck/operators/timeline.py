@@ -1,8 +1,10 @@
 """All dated events of an entity on one time axis, summed to its fiscal quarters.
 
-Statements, dividends, splits, prices and ratings are brought to one row per entity and day first, so an
-entity with a third of all events is no hot key; then every entity's days are hashed to one place once, and
-labels, windows and quarters are all found there, without a join.
+Statements, dividends, splits, prices and ratings are brought to one narrow row per entity, day and item,
+price or firm first, so an entity with a third of all events is no hot key; then every entity's rows are
+hashed to one place once, and labels, windows and quarters are all found there, without a join. Prices and
+ratings need no more than the entity's first quarter end, by which they are summed to windows; only what is
+left is sorted by day.
 """
 
 from __future__ import annotations
@@ -20,44 +22,44 @@ from quarterdeck.functions.names import (
 from quarterdeck.functions.periods import fiscal_ordinal
 
 _PRICES = ("PriceAvg", "PriceLow", "PriceHigh", "PriceEoQ", "Volume")
+# Kinds of daily rows: statement items, dividends and splits; prices; ratings by firm.
+_DAY, _PRICE, _RATING = range(3)
 
 
 def daily_events(statements: Sequence[DataFrame], dividends: DataFrame, splits: DataFrame,
                  prices: DataFrame, ratings: DataFrame, end: date, items: Sequence[str],
                  scores: Mapping[str, int]) -> DataFrame:
-    """One row per entity and day. Prices and ratings from ``end`` on do not count; of several prices of a
-    day the highest is the last, of several splits the largest counts. A rating without a firm counts for
-    none. A day's ratings are one number for each firm by then."""
+    """One row per entity, day, kind and name, the item of a statement or the firm of a rating. Prices and
+    ratings from ``end`` on do not count; of several prices of a day the highest is the last, of several
+    splits the largest counts. A rating without a firm counts for none."""
     before_end = F.col("date") < F.lit(end)
     score = grade_score(F.col("grade"), scores)
     firms = (ratings.where(before_end & F.col("firm").isNotNull())
-             .groupBy(ENTITY, "date", without_blanks(F.col("firm")).alias("firm"))
-             .agg(F.sum(score).alias("sum"), F.count(score).alias("n"))
-             .select(ENTITY, "date", F.struct("firm", "sum", "n").alias("rating")))
-    parts = [s.where(F.col("item").isin(*items)).select(ENTITY, "date", "item", "value")
+             .groupBy(ENTITY, "date", without_blanks(F.col("firm")).alias("name"))
+             .agg(F.sum(score).cast("double").alias("sum"), F.count(score).alias("n"))
+             .withColumn("kind", F.lit(_RATING)))
+    day = [ENTITY, "date", F.lit(_DAY).alias("kind")]
+    parts = [s.where(F.col("item").isin(*items)).select(*day, F.col("item").alias("name"), "value")
              for s in statements]
-    parts += [dividends.select(ENTITY, "date", "dividend"), splits.select(ENTITY, "date", "split"),
-              prices.where(before_end).select(ENTITY, "date", "close", "volume"), firms]
+    priced = F.col("close").isNotNull() | F.col("volume").isNotNull()
+    parts += [dividends.select(*day, "dividend"), splits.select(*day, "split"),
+              prices.where(before_end & priced).select(
+                  ENTITY, "date", F.lit(_PRICE).alias("kind"), "close", "volume")]
     events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return events.groupBy(ENTITY, "date").agg(
-        F.max(F.col("item").isNotNull()).alias("stated"),
-        *[F.max(F.when(F.col("item") == i, F.col("value"))).alias(i) for i in items],
-        F.sum("dividend").alias("dividend"), F.max("split").alias("factor"),
-        F.sum("close").alias("sum"), F.count("close").alias("n"), F.min("close").alias("low"),
-        F.max("close").alias("high"), F.max_by("volume", "close").alias("volume"),
-        F.max(F.col("close").isNotNull() | F.col("volume").isNotNull()).alias("priced"),
-        F.collect_list("rating").alias("ratings"))
+    return events.groupBy(ENTITY, "date", "kind", "name").agg(
+        F.max("value").alias("value"), F.sum("dividend").alias("dividend"),
+        F.max("split").alias("factor"), F.sum("close").alias("sum"), F.count("close").alias("n"),
+        F.min("close").alias("low"), F.max("close").alias("high"),
+        F.max_by("volume", "close").alias("volume")).unionByName(firms, allowMissingColumns=True)
 
 
-def _firm_scores(ratings: Column) -> Column:
-    """The mean score by firm of a window's daily ratings, as a JSON cell; null where there are none."""
-    def mean(firm: Column) -> Column:
-        own = F.filter(ratings, lambda r: r["firm"] == firm)
-        add = lambda name: F.aggregate(own, F.lit(0).cast("long"), lambda t, r: t + r[name])
-        return F.struct(firm.alias("firm"), F.try_divide(add("sum"), add("n")).alias("score"))
-
-    names = F.array_distinct(F.transform(ratings, lambda r: r["firm"]))
-    return F.when(F.size(ratings) > 0, scores_to_json(F.transform(names, mean)))
+def _last_scores(marks: Column) -> Column:
+    """The scores by firm of the last window of these (in, firm, score), as a JSON cell; null where there
+    are none."""
+    last = F.array_max(F.transform(marks, lambda m: m["in"]))
+    own = F.filter(marks, lambda m: m["in"] == last)
+    return F.when(F.size(marks) > 0, scores_to_json(
+        F.transform(own, lambda m: F.struct(m["firm"].alias("firm"), m["score"].alias("score")))))
 
 
 def quarters_of_events(daily: DataFrame, end: date, items: Sequence[str] = STATEMENT_ITEMS,
@@ -72,59 +74,66 @@ def quarters_of_events(daily: DataFrame, end: date, items: Sequence[str] = STATE
     quarter, rows with neither to all of the entity's.
     """
     extra = [c for c in daily.columns if c in ("Earnings", "MarketCap")]
+    given = F.col(Q_ORD) if Q_ORD in daily.columns else F.lit(None).cast("int")
+    is_day, is_price, is_rating = (F.col("kind") == kind for kind in (_DAY, _PRICE, _RATING))
     entity = Window.partitionBy(ENTITY)
-    axis = (daily.repartition(ENTITY).withColumn("day", F.unix_date("date"))
-            .withColumn("label", F.when(F.col("stated"), fiscal_ordinal(F.col("date")))))
-    newest = F.max(F.when(F.col("stated"), F.col("day"))).over(Window.partitionBy(ENTITY, "label"))
-    axis = axis.withColumn("end_day", F.when(F.col("stated") & (F.col("day") == newest), F.col("day")))
-    back = entity.orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    next_end = F.last(F.when(F.col("end_day").isNotNull(), F.struct("day", "label")), ignorenulls=True)
-    before = entity.orderBy("day").rangeBetween(1 - days, -1)
-    axis = (axis.withColumn("next", next_end.over(back))
-            .withColumn("Split", F.last("factor", ignorenulls=True).over(before))
-            .withColumn("oldest", F.min("end_day").over(entity)))
+    # Labels ascend with days: the first end is the last day of the first label.
+    label = F.when(is_day & F.col("name").isNotNull(), fiscal_ordinal(F.col("date")))
+    axis = (daily.repartition(ENTITY).withColumn("day", F.unix_date("date")).withColumn("label", label)
+            .withColumn("start", -F.min(F.when(F.col("label").isNotNull(), F.struct(
+                "label", (-F.col("day")).alias("back")))).over(entity)["back"] - days))
     if "MarketCap" in extra:
         axis = axis.withColumn("MarketCap", F.max("MarketCap").over(entity))
-    start = F.col("oldest") - days
-    axis = (axis.withColumn("bucket", F.floor((F.col("day") - start) / days).cast("int"))
-            .withColumn("window_end", F.date_from_unix_date(
-                (start + (F.col("bucket") + 1) * days).cast("int"))))
+
+    def window_end(bucket: Column) -> Column:
+        return F.date_from_unix_date((F.col("start") + (bucket + 1) * days).cast("int"))
+
+    bucket = F.floor((F.col("day") - F.col("start")) / days).cast("int")
+    counts = (bucket >= 0) & ((is_price & (window_end(bucket) < F.lit(end)))
+                              | (is_rating & (window_end(bucket) <= F.lit(end))))
+    place = F.when(is_day, F.col("day")).when(F.col("kind").isNull(), given).otherwise(bucket)
+    axis = (axis.where(is_day | counts | (F.col("kind").isNull() & given.isNotNull()))
+            .groupBy(ENTITY, "kind", place.alias("place"), F.when(is_rating, F.col("name")).alias("firm"))
+            .agg(F.max("start").alias("start"), F.max("label").alias("label"),
+                 # One column that other kinds leave empty.
+                 F.when(is_day, F.struct(*[F.max(F.when(F.col("name") == i, F.col("value"))).alias(i)
+                                           for i in items])).alias("items"),
+                 F.sum("dividend").alias("dividend"), F.max("factor").alias("factor"),
+                 F.try_divide(F.sum("sum"), F.sum("n")).alias("PriceAvg"),
+                 F.min("low").alias("PriceLow"), F.max("high").alias("PriceHigh"),
+                 F.max_by("high", "day").alias("PriceEoQ"), F.max_by("volume", "day").alias("Volume"),
+                 *[F.max(c).alias(c) for c in extra])
+            .withColumn("day", F.when(is_day, F.col("place"))))
+    by_day = Window.partitionBy(ENTITY, "kind").orderBy(F.col("day").desc())
+    later = by_day.rowsBetween(Window.unboundedPreceding, -1)
+    axis = (axis.withColumn("next_label", F.last("label", ignorenulls=True).over(later))
+            # Back in time, the days before a day follow it.
+            .withColumn("Split", F.first("factor", ignorenulls=True).over(by_day.rangeBetween(1, days - 1)))
+            .withColumn("is_end", F.col("label").isNotNull() & ~F.col("label").eqNullSafe(F.col("next_label")))
+            .withColumn("next", F.last(F.when(F.col("is_end"), F.struct("day", "label")),
+                                       ignorenulls=True).over(later)))
     paid = F.col("dividend").isNotNull() & F.col("next").isNotNull() & (
-        (F.col("day") >= F.col("oldest")) | (F.col("next")["day"] - F.col("day") < days))
-    in_window = (F.col("bucket") >= 0) & (F.col("window_end") <= F.lit(end)) & (
-        F.col("priced") | (F.size("ratings") > 0))
-
-    def to(part: str, when: Column, quarter: Column, bucket: Column) -> Column:
-        return F.when(when, F.struct(F.lit(part).alias("part"), quarter.alias(Q_ORD), bucket.alias("in")))
-
-    none = F.lit(None).cast("int")
-    targets = [to("end", F.col("end_day").isNotNull(), F.col("label"), none),
-               to("paid", paid, F.col("next")["label"], none),
-               to("window", in_window, fiscal_ordinal(F.col("window_end")), F.col("bucket"))]
-    if Q_ORD in daily.columns:
-        axis = axis.withColumnRenamed(Q_ORD, "given")
-        targets.append(to("given", F.col("given").isNotNull(), F.col("given"), none))
+        (F.col("day") >= F.col("start") + days) | (F.col("next")["day"] - F.col("day") < days))
+
+    def to(part: str, when: Column, quarter: Column) -> Column:
+        return F.when(when, F.struct(F.lit(part).alias("part"), quarter.alias(Q_ORD)))
+
+    ended = fiscal_ordinal(window_end(F.col("place")))
+    targets = [to("end", F.col("is_end"), F.col("label")), to("paid", paid, F.col("next")["label"]),
+               to("price", is_price, ended), to("rating", is_rating, ended),
+               to("given", F.col("kind").isNull(), F.col("place"))]
     placed = axis.select("*", F.inline(F.array_compact(F.array(*targets))))
-    of = lambda part, c: F.when(F.col("part") == part, F.col(c))
-    priced = F.col("priced") & (F.col("window_end") < F.lit(end))
-    in_price = lambda c: F.when((F.col("part") == "window") & priced, F.col(c))
-    by_window = placed.groupBy(*KEY, "in").agg(
-        *[F.max(of("end", c)).alias(c) for c in ("date", *items, "Split")],
-        F.sum(of("paid", "dividend")).alias("paid"),
-        *[F.max(of("given" if c == "Earnings" else "end", c)).alias(c) for c in extra],
-        F.max(in_price("bucket")).alias("price_window"),
-        F.try_divide(F.sum(in_price("sum")), F.sum(in_price("n"))).alias("PriceAvg"),
-        F.min(in_price("low")).alias("PriceLow"), F.max(in_price("high")).alias("PriceHigh"),
-        F.max_by(in_price("high"), in_price("day")).alias("PriceEoQ"),
-        F.max_by(in_price("volume"), in_price("day")).alias("Volume"),
-        _firm_scores(F.flatten(F.collect_list(of("window", "ratings")))).alias("scores"))
-    prices = F.struct(*_PRICES)
-    rated = F.when(F.col("scores").isNotNull(), F.col("in"))
-    return (by_window.groupBy(*KEY).agg(
-        *[F.max(c).alias(c) for c in ("date", *items, "Split", *extra)],
-        F.coalesce(F.sum("paid"), F.lit(0.0)).alias("DividendPerShare"),
-        F.max_by(prices, "price_window").alias("prices"),
-        F.max_by("scores", rated).alias("AvgRecommendations"))
-        .where(F.col("date").isNotNull())
-        .select(*KEY, "date", *items, "DividendPerShare", "Split", *extra,
+    of = lambda part, c: F.when(F.col("part") == part, c)
+    mark = F.struct(F.col("place").alias("in"), "firm", F.col("PriceAvg").alias("score"))
+    own = ["day", "items", "Split", *[c for c in extra if c == "MarketCap"]]
+    return (placed.groupBy(*KEY).agg(
+        F.max(of("end", F.struct(*own))).alias("end"),  # one row
+        *[F.max(of("given", F.col(c))).alias(c) for c in extra if c == "Earnings"],
+        F.coalesce(F.sum(of("paid", F.col("dividend"))), F.lit(0.0)).alias("DividendPerShare"),
+        F.max_by(F.struct(*_PRICES), of("price", F.col("place"))).alias("prices"),
+        _last_scores(F.collect_list(of("rating", mark))).alias("AvgRecommendations"))
+        .where(F.col("end").isNotNull())
+        .select(*KEY, F.date_from_unix_date("end.day").alias("date"),
+                *[F.col("end")["items"][i].alias(i) for i in items], "DividendPerShare", "end.Split",
+                *[c if c == "Earnings" else f"end.{c}" for c in extra],
                 *[F.col("prices")[c].alias(c) for c in _PRICES], "AvgRecommendations"))

@@ -138,3 +138,12 @@ def test_one_axis_needs_no_join_and_one_exchange_by_entity(spark):
 def test_no_events(spark):
     statements, *others = frames(spark, ([],) * 5)
     assert quarters_of_events(daily_events([statements], *others, END, ITEMS, SCORES), END, ITEMS).isEmpty()
+
+
+def test_daily_events_are_summed_by_hash(spark):
+    """No list and no column for each item is carried by the rows of prices."""
+    statements, *others = frames(spark, made(random.Random(4)))
+    daily = daily_events([statements], *others, END, ITEMS, SCORES)
+    text = daily._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "ObjectHashAggregate" not in text and "SortAggregate" not in text
+    assert not set(ITEMS) & set(daily.columns)
