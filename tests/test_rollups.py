@@ -168,3 +168,21 @@ def test_archive_split_touches_all_rows(spark):
                                     "entity string, factor double, split_quarter int")
     rows = {r.entity: tuple(r)[1:] for r in splits.adjust_archive(archive, factors).collect()}
     assert rows == {"a": (4.0, 20.0, 2.0), "b": (8.0, 10.0, 1.0)}
+
+
+def test_supplier_prices_lie_in_places_that_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """More lines make more tasks, not larger ones; the rows stay the same."""
+    from quarterdeck import session
+    from workload import tables as views
+    lines = [(k % 7, START + (k % 30) * DAY, float(k), 1.0) for k in range(200)]
+    spark.createDataFrame(lines, "l_suppkey long, l_shipdate date, l_extendedprice double, "
+                                 "l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    few = {tuple(r) for r in views.supplier_prices(spark, str(tmp_path)).collect()}
+    monkeypatch.setattr(session, "ROWS_EACH", 10)
+    many = views.supplier_prices(spark, str(tmp_path))
+    assert many.rdd.getNumPartitions() == 20
+    meant = {}
+    for k, day, close, n in lines:
+        high, volume = meant.get((str(k), day), (0.0, 0))
+        meant[str(k), day] = max(high, close), volume + int(n)
+    assert {tuple(r) for r in many.collect()} == few == {(*k, *v) for k, v in meant.items()}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarterdeck.functions.periods import fiscal_ordinal
+from quarterdeck.session import spread
 
 MARKET = "^DJI"
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -136,10 +137,12 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shipped lines as daily prices of their supplier."""
-    return (table(spark, sf_dir, "lineitem")
-            .groupBy(F.col("l_suppkey").cast("string").alias("entity"),
-                     F.col("l_shipdate").cast("date").alias("date"))
+    """Shipped lines as daily prices of their supplier. Few lines share a day, so sums of parts would be
+    as many as the lines: these go to their day at once, to places that grow with the table."""
+    lines = table(spark, sf_dir, "lineitem")
+    days = lines.select(F.col("l_suppkey").cast("string").alias("entity"),
+                        F.col("l_shipdate").cast("date").alias("date"), "l_extendedprice", "l_quantity")
+    return (spread(days, lines.count(), "entity", "date").groupBy("entity", "date")
             .agg(F.max("l_extendedprice").alias("close"),
                  F.sum("l_quantity").cast("long").alias("volume")))
 
