@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quarterdeck.functions.cells import entity_from_path
+from quarterdeck.session import written
 from quarterdeck.sources.schemas import ARCHIVE_SCHEMA
 
 FILE_NAME_PATTERN = r"_([^_/]+)\.csv$"
@@ -28,8 +29,8 @@ def read_archive(spark: SparkSession, folder: str, schema: StructType = ARCHIVE_
     """All CSV files below a folder. The first, unnamed column is a row number and is dropped; the
     entity is part of the path; ``missing`` stands for no value.
 
-    Each file's columns are found by the names in its header, whatever their order; the headers, one
-    row a file, are joined to the rows by path. No cell is lost: a whole number may be written as
+    Each file's columns are found by the names in its header, whatever their order; the lines are read
+    once and written to few files, where the headers, one row a file, are joined to the rows by path. No cell is lost: a whole number may be written as
     ``5.0`` or ``1e9``; any other cell that does not fit its column's type, a file that lacks a
     column or a header, and one whose name does not hold an entity, end the read. Columns that
     ``schema`` does not name are left out; up to ``SPARE`` of them are read over.
@@ -44,9 +45,15 @@ def read_archive(spark: SparkSession, folder: str, schema: StructType = ARCHIVE_
                      F.col("_c0").alias("row"), F.array(*places[1:]).alias("cells")))
     is_header = F.col("row").try_cast("long").isNull() & F.coalesce(
         F.array_contains("cells", schema.fields[0].name), F.lit(False))
-    headers = lines.where(is_header).select("path", F.col("cells").alias("header"))
-    rows = lines.where(~is_header).join(headers, "path", "left")
-    found = rows.select("path", *[_named(f.name).alias(f.name) for f in schema.fields])
+    # Cells behind the last one are null, as those behind the end of an array are.
+    width = F.coalesce(F.array_max(F.transform("cells", lambda c, i: F.when(c.isNotNull(), i + 1))), F.lit(0))
+    lines = written(lines.select("path", is_header.alias("is_header"), F.slice(
+        "cells", F.lit(1), width).alias("cells")).hint("rebalance"), "lines")
+    # Where each column lies is looked up once a file, not in each row.
+    headers = lines.where("is_header").select("path", F.array(
+        *[F.array_position("cells", f.name).cast("int") for f in schema.fields]).alias("at"))
+    rows = lines.where("NOT is_header").join(headers, "path", "left")
+    found = rows.select("path", *[_named(f.name, i).alias(f.name) for i, f in enumerate(schema.fields)])
     entity = entity_from_path(F.col("path"), entity_pattern)
     named = F.when(entity != "", entity).otherwise(
         F.raise_error(F.concat(F.lit("no entity in the file name "), F.col("path"))))
@@ -55,11 +62,11 @@ def read_archive(spark: SparkSession, folder: str, schema: StructType = ARCHIVE_
                           for f in schema.fields])
 
 
-def _named(name: str) -> Column:
-    """The cell below this name of the file's header."""
-    at = F.array_position("header", name)
+def _named(name: str, number: int) -> Column:
+    """The cell below this name of the file's header, the ``number``-th column asked for."""
+    at = F.get("at", F.lit(number))
     absent = F.raise_error(F.concat(F.lit(f"no column {name} in "), F.col("path")))
-    return F.when(at > 0, F.get("cells", (at - 1).cast("int"))).otherwise(absent)
+    return F.when(at > 0, F.get("cells", at - 1)).otherwise(absent)
 
 
 def _cell(name: str, kind: str) -> Column:

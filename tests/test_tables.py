@@ -423,3 +423,10 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     with pytest.raises(RuntimeError):
         session.shared_folder(FakeSession(None, "yarn"))
     assert session.shared_folder(spark) == session.shared_folder(spark)
+
+
+def test_archive_lines_are_read_once(spark, csv_folder):
+    """Few written files are what later steps read, and a column's place is looked up once a file."""
+    text = read_archive(spark, csv_folder)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in text and "FileScan parquet" in text
+    assert "array_position(" in text and "array_position(" not in text[:text.index("Join")]

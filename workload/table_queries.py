@@ -311,6 +311,8 @@ def bulk_build(spark, sf_dir):
     folder, path = fresh_path(spark, "csv"), fresh_path(spark, "archive")
     (archive.select(F.lit(0).alias("row"), F.col("entity").alias("supplier"), *columns)
      .repartition("supplier").write.option("header", True)
+     # Tasks move their files in, not the driver one by one; a folder that a failed job left is not read.
+     .option("mapreduce.fileoutputcommitter.algorithm.version", 2)
      .option("nullValue", "None").partitionBy("supplier").csv(folder))
     built = loading.build_archive(spark, folder, path, r"supplier=([^/]+)/")
     return built.groupBy("entity", fiscal_ordinal(F.col("QuarterEnd")).alias("q_ord")).agg(
