@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark import StorageLevel
+from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from quarterdeck.plans.settings import Settings
 from quarterdeck.session import written
 
 VECTOR, HELD_OUT, HASH = "__features", "held_out", "__hash"
+NUMBERS, HAS_NAN = "__numbers", "__has_nan"
 
 
 def boosted_trees(settings: Settings) -> Estimator:
@@ -48,6 +50,7 @@ def linear(settings: Settings) -> Estimator:
 
 
 MODELS = {"boosted_trees": boosted_trees, "shallow_trees": shallow_trees, "linear": linear}
+TREES = ("boosted_trees", "shallow_trees")
 
 
 def _sql(expressions: Sequence[str], dropped: Sequence[str] = (), where: str = "") -> Transformer:
@@ -73,19 +76,40 @@ def category_kind(settings: Settings) -> str:
 
 def feature_columns(train: DataFrame, settings: Settings) -> tuple[list[str], list[str]]:
     """(text columns, number columns) to learn from."""
-    skipped = {ENTITY, Q_ORD, "fy", settings.target, "PriceAvg", HELD_OUT, HASH}
+    skipped = {ENTITY, Q_ORD, "fy", settings.target, "PriceAvg", HELD_OUT, HASH, NUMBERS, HAS_NAN}
     kinds = {c: t for c, t in train.dtypes if c not in skipped}
     text = [c for c, t in kinds.items() if t == "string"]
     return text, [c for c in kinds if c not in text]
 
 
+def imputed(numbers: Sequence[str]) -> tuple[list[str], list[str]]:
+    """(expressions, their names). MLlib takes no nulls: 0 stands for a missing number and a flag says so."""
+    values = [f"coalesce(CAST({quoted(c)} AS DOUBLE), 0D) AS {quoted('__x_' + c)}" for c in numbers]
+    flags = [f"CAST({quoted(c)} IS NULL AS INT) AS {quoted('__null_' + c)}" for c in numbers]
+    return values + flags, [f"__x_{c}" for c in numbers] + [f"__null_{c}" for c in numbers]
+
+
+def with_number_vector(rows: DataFrame, settings: Settings) -> DataFrame:
+    """The number columns as one vector, for rows that many windows learn from: putting a hundred columns into
+    a vector costs more than all else that a fit does with a row. Numbers that each fit changes by its own
+    rows (outliers, scaling) stay columns."""
+    _, numbers = feature_columns(rows, settings)
+    if not numbers or settings.extract_outliers or settings.scale_numerics:
+        return rows
+    expressions, names = imputed(numbers)
+    has_nan = " OR ".join(f"isnan({quoted(c)})" for c in names[:len(numbers)])
+    filled = _sql([f"({has_nan}) AS {HAS_NAN}"]).transform(_sql(expressions, numbers).transform(rows))
+    return VectorAssembler(inputCols=names, outputCol=NUMBERS, handleInvalid="keep").transform(
+        filled).drop(*names)
+
+
 class FeatureSteps:
     """Builds the fitted preparation stages for one training frame."""
 
     def __init__(self, train: DataFrame, settings: Settings):
         text, self.numbers = feature_columns(train, settings)
         self.encoder = fit_encoder(train, text, category_kind(settings), settings.target)
-        self.stages: list[Transformer | Estimator] = []
+        self.stages: list[Transformer] = []
         self.inputs: list[str] = []
         moments = None
         if settings.extract_outliers or settings.scale_numerics:
@@ -95,7 +119,10 @@ class FeatureSteps:
         self.inputs += self.encoder.inputs
         if settings.scale_numerics:
             self._scale(moments)
-        self._impute()
+        if NUMBERS in train.columns:
+            self._take_vector(train)
+        else:
+            self._impute()
         self.stages.append(VectorAssembler(inputCols=self.inputs, outputCol=VECTOR))
 
     def _drop_outliers(self, moments, threshold: float = 3.0):
@@ -109,18 +136,21 @@ class FeatureSteps:
              for c in self.numbers], dropped=self.numbers))
 
     def _impute(self):
-        """MLlib takes no nulls: 0 stands for a missing number and a flag says so."""
-        values = [f"coalesce(CAST({quoted(c)} AS DOUBLE), 0D) AS {quoted('__x_' + c)}"
-                  for c in self.numbers]
-        flags = [f"CAST({quoted(c)} IS NULL AS INT) AS {quoted('__null_' + c)}"
-                 for c in self.numbers]
-        self.stages.append(_sql(values + flags))
-        self.inputs += [f"__x_{c}" for c in self.numbers]
-        self.inputs += [f"__null_{c}" for c in self.numbers]
+        expressions, self.number_names = imputed(self.numbers)
+        self.stages.append(_sql(expressions))
+        self.inputs += self.number_names
+
+    def _take_vector(self, train: DataFrame):
+        """As with columns, a row that is not a number ends the work, but only where it is used."""
+        self.stages.append(_sql(
+            [], where=f"assert_true(NOT {HAS_NAN}, 'Encountered NaN among the numbers') IS NULL"))
+        named = train.schema[NUMBERS].metadata["ml_attr"]["attrs"]["numeric"]
+        self.number_names = [a["name"] for a in sorted(named, key=lambda a: a["idx"])]
+        self.inputs.append(NUMBERS)
 
     def names(self) -> list[str]:
         """A name for each number of the vector."""
-        return [*self.encoder.names(), *self.inputs[len(self.encoder.inputs):]]
+        return [*self.encoder.names(), *self.number_names]
 
 
 @dataclass(frozen=True)
@@ -212,12 +242,26 @@ def fit_marked(marked: DataFrame, settings: Settings) -> Fitted:
         model.clear(model.validationIndicatorCol)
         uses_held_out = False
     rows = steps.encoder.add(marked if uses_held_out else train)
-    pipeline = Prepared(steps.encoder, Pipeline(stages=[*steps.stages, model]).fit(rows))
+    fitted = _fit_model(model, PipelineModel(steps.stages).transform(rows), settings)
+    pipeline = Prepared(steps.encoder, PipelineModel([*steps.stages, fitted]))
     scored = pipeline.transform(marked.where(HELD_OUT)).select(
         *KEY, settings.target, "prediction")
     return Fitted(pipeline, tuple(steps.names()), settings, scored)
 
 
+def _fit_model(model: Estimator, ready: DataFrame, settings: Settings) -> Transformer:
+    """Trees read their rows four times before they have bins of their own, so the vectors are kept until
+    then: made once, in memory as far as it goes. An own model may read other columns and keeps its rows
+    itself."""
+    if settings.model not in TREES:
+        return model.fit(ready)
+    kept = ready.select(settings.target, HELD_OUT, VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return model.fit(kept)
+    finally:
+        kept.unpersist()
+
+
 def predict(pipeline: Prepared, rows: DataFrame, target: str = TARGET) -> DataFrame:
     """(entity, q_ord, target): the prediction for each row."""
     ready = rows.withColumn(HELD_OUT, F.lit(False))

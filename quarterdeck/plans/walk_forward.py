@@ -22,7 +22,8 @@ from quarterdeck.plans.features import labelled_and_candidates
 from quarterdeck.plans.linear_windows import linear_windows, predict_windows, summable
 from quarterdeck.plans.settings import Settings
 from quarterdeck.plans.training import (
-    HASH, HELD_OUT, Fitted, adjust_for_price, fit, fit_marked, predict, training_rows, training_window)
+    HASH, HELD_OUT, Fitted, adjust_for_price, fit, fit_marked, predict, training_rows, training_window,
+    with_number_vector)
 from quarterdeck.session import fresh_path, written
 
 
@@ -51,8 +52,11 @@ def walk_forward_picks(features: DataFrame, start: int, end: int,
     """
     spark = features.sparkSession
     stored, picks = fresh_path(spark, "features"), fresh_path(spark, "picks")
-    (features.withColumn("fy", fiscal_year(F.col(Q_ORD))).withColumn(HASH, key_hash())
-     .hint("rebalance", "fy").write.partitionBy("fy").parquet(stored))
+    rows = (features.withColumn("fy", fiscal_year(F.col(Q_ORD))).withColumn(HASH, key_hash())
+            .hint("rebalance", "fy"))
+    if not summable(settings):
+        rows = with_number_vector(rows, settings)
+    rows.write.partitionBy("fy").parquet(stored)
     table = spark.read.parquet(stored).drop("PriceAvg")
     # One row per quarter says which quarters can be predicted and from which one can learn.
     known = {r[Q_ORD]: r["labelled"] for r in table.groupBy(Q_ORD).agg(

@@ -189,3 +189,64 @@ def test_trees_learn_from_fewer_rows_than_categories(spark, rows):
                                f"entity string, q_ord int, Industry string, x double, {TARGET} double")
     fitted = training.fit(df, Settings(n_estimators=2), stored=True)
     assert training.predict(fitted.pipeline, df.drop(TARGET)).count() == rows
+
+
+def test_trees_make_their_vectors_once(spark):
+    """Bins, split points and the two sides of the hold-out all come from the same kept vectors."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(i):
+        made.add(1)
+        return float(i * 37 % 101)
+
+    rows = spark.range(300).select(
+        F.concat(F.lit("e"), "id").alias("entity"), F.lit(100).alias("q_ord"),
+        counted.asNondeterministic()("id").alias("x"), (F.col("id") % 7).cast("double").alias(TARGET))
+    training.fit(rows, Settings(n_estimators=3, max_depth=2), stored=True)
+    assert 300 <= made.value < 2 * 300
+
+
+TREES = Settings(n_estimators=4, max_depth=3, n_to_buy=5, horizon=2)
+
+
+def test_windows_share_one_number_vector(spark, features, monkeypatch):
+    """Every window learns from numbers that were put into a vector once, and picks as from columns."""
+    seen = []
+    fit_marked = training.fit_marked
+
+    def fit(rows, settings):
+        fitted = fit_marked(rows, settings)
+        seen.append((set(rows.columns), fitted.inputs))
+        return fitted
+
+    monkeypatch.setattr(walk, "fit_marked", fit)
+    picks = {(r.q_ord, r["rank"]): (r.entity, r[TARGET])
+             for r in walk.walk_forward_picks(features, 106, 109, TREES).collect()}
+    monkeypatch.undo()
+    expected = {}
+    for quarter in range(106, 110):
+        fitted = training.fit(features.drop("PriceAvg"), TREES, quarter)
+        scored = training.predict(
+            fitted.pipeline, features.where(F.col("q_ord") == quarter).drop(TARGET, "PriceAvg"))
+        for r in walk.top_n_per_quarter(scored, 5, TARGET).collect():
+            expected[r.q_ord, r["rank"]] = (r.entity, r[TARGET])
+        assert all(inputs == fitted.inputs for _, inputs in seen)
+    assert len(picks) == 20 and picks == expected
+    assert len(seen) == 4
+    for columns, _ in seen:
+        assert training.NUMBERS in columns and not columns & {"x", "z z"}
+
+
+def test_numbers_that_a_fit_changes_stay_columns(spark, features):
+    for settings in (Settings(scale_numerics=True), Settings(extract_outliers=True)):
+        assert training.with_number_vector(features, settings).columns == features.columns
+    assert walk.walk_forward_picks(features, 106, 107, Settings(
+        n_estimators=2, max_depth=2, n_to_buy=3, scale_numerics=True, one_hot_encode=True)).count() == 6
+
+
+def test_nan_ends_only_the_windows_that_use_it(spark, features):
+    bad = features.withColumn("x", F.when(F.col("q_ord") == 108, F.lit(float("nan"))).otherwise(F.col("x")))
+    assert walk.walk_forward_picks(bad, 106, 107, TREES).count() == 10
+    with pytest.raises(Exception, match="NaN"):
+        walk.walk_forward_picks(bad, 108, 108, TREES).count()
