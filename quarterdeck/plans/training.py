@@ -91,10 +91,11 @@ def imputed(numbers: Sequence[str]) -> tuple[list[str], list[str]]:
 
 def with_number_vector(rows: DataFrame, settings: Settings) -> DataFrame:
     """The number columns as one vector, for rows that many windows learn from: putting a hundred columns into
-    a vector costs more than all else that a fit does with a row. Numbers that each fit changes by its own
-    rows (outliers, scaling) stay columns."""
+    a vector costs more than all else that a tree fit does with a row. Numbers that each fit changes by its
+    own rows (outliers, scaling) stay columns, and so do those of other models."""
     _, numbers = feature_columns(rows, settings)
-    if not numbers or settings.extract_outliers or settings.scale_numerics:
+    if (settings.model not in TREES or not numbers or settings.extract_outliers
+            or settings.scale_numerics):
         return rows
     expressions, names = imputed(numbers)
     has_nan = " OR ".join(f"isnan({quoted(c)})" for c in names[:len(numbers)])

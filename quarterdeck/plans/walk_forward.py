@@ -47,16 +47,14 @@ def walk_forward_picks(features: DataFrame, start: int, end: int,
     Features are written once, with the hash that chooses the rows to hold out; one histogram of it
     gives the limits of all windows. Linear models of all quarters come from sums by quarter, in one reading
     (``linear_windows``). Other models are fitted some at a time, as no quarter needs another's, each from
-    its window of partitions; the picks are written, so that they do not drag the model that made them
+    its window of partitions, where the numbers that trees learn from are one vector already; the picks are written, so that they do not drag the model that made them
     through the rest of the run. Quarters end at the first one without training rows or candidates.
     """
     spark = features.sparkSession
     stored, picks = fresh_path(spark, "features"), fresh_path(spark, "picks")
     rows = (features.withColumn("fy", fiscal_year(F.col(Q_ORD))).withColumn(HASH, key_hash())
             .hint("rebalance", "fy"))
-    if not summable(settings):
-        rows = with_number_vector(rows, settings)
-    rows.write.partitionBy("fy").parquet(stored)
+    with_number_vector(rows, settings).write.partitionBy("fy").parquet(stored)
     table = spark.read.parquet(stored).drop("PriceAvg")
     # One row per quarter says which quarters can be predicted and from which one can learn.
     known = {r[Q_ORD]: r["labelled"] for r in table.groupBy(Q_ORD).agg(

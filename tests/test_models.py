@@ -239,7 +239,8 @@ def test_windows_share_one_number_vector(spark, features, monkeypatch):
 
 
 def test_numbers_that_a_fit_changes_stay_columns(spark, features):
-    for settings in (Settings(scale_numerics=True), Settings(extract_outliers=True)):
+    for settings in (Settings(scale_numerics=True), Settings(extract_outliers=True),
+                     Settings(model=training.linear)):
         assert training.with_number_vector(features, settings).columns == features.columns
     assert walk.walk_forward_picks(features, 106, 107, Settings(
         n_estimators=2, max_depth=2, n_to_buy=3, scale_numerics=True, one_hot_encode=True)).count() == 6
